@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 ROLES = {"system_msg": "SYSTEM", "customer_msg": "CUSTOMER", "agent_msg": "AGENT"}
 
 
-def _is_message(item: Column, role: str) -> Column:
-    return (item["Type"] == "MESSAGE") & (item["ParticipantRole"] == role)
+def _is_message(kind: Column, speaker: Column, role: str) -> Column:
+    return (kind == "MESSAGE") & (speaker == role)
+
+
+def _messages_of(items: Column, role: str) -> Column:
+    return F.filter(items, lambda item: _is_message(item["Type"], item["ParticipantRole"], role))
 
 
 def _total() -> Column:
@@ -21,8 +25,7 @@ def count_messages(documents: DataFrame) -> DataFrame:
     """Counts of each transcript document, inside its own row: no shuffle."""
     items = F.col("Transcript")
     counted = documents.withColumns({
-        name: F.when(items.isNull(), 0).otherwise(
-            F.size(F.filter(items, lambda item, role=role: _is_message(item, role))))
+        name: F.when(items.isNull(), 0).otherwise(F.size(_messages_of(items, role)))
         for name, role in ROLES.items()
     })
     kept = [c for c in documents.columns if c not in ("ContactId", "InstanceId", "Transcript")]
@@ -37,8 +40,7 @@ def count_message_items(items: DataFrame, *keys: str) -> DataFrame:
     one row per task. Items with a NULL type or role keep their chat in the
     result with zeros.
     """
-    item = {"Type": F.col("Type"), "ParticipantRole": F.col("ParticipantRole")}
     counted = items.groupBy(*keys).agg(*[
-        F.count_if(_is_message(item, role)).cast("int").alias(name) for name, role in ROLES.items()
+        F.count_if(_is_message(F.col("Type"), F.col("ParticipantRole"), role)).cast("int").alias(name) for name, role in ROLES.items()
     ])
     return counted.select(*keys, *ROLES, _total())
