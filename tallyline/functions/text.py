@@ -64,11 +64,9 @@ def split_objects(text: Column | str) -> Column:
 
 
 def parse_objects(text: Column | str, schema: str) -> Column:
-    """Array of the comma-joined JSON objects in ``text``; NULL if malformed.
+    """Array of the comma-joined JSON objects in ``text``; NULL if malformed, empty if blank.
 
     Wrapping in brackets matters: parsed on its own, a line keeps its first
     object and drops the others without a sign.
     """
-    text = F.trim(_column(text))
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{schema}>>")
-    return F.when(F.size(parsed) > 0, parsed)
+    return F.from_json(F.concat(F.lit("["), F.trim(_column(text)), F.lit("]")), f"array<struct<{schema}>>")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyline.functions.text import proper_case
 from tallyline.functions.time import iso_micros
 from tallyline.operators.dialing import country_of, dialled_number, digits
-from tallyline.operators.skew import attach_small
+from tallyline.operators.skew import attach_small, fits_broadcast
 from tallyline.session import materialise
 
 # The events a contact can report.
@@ -88,12 +88,12 @@ def _leg_folds() -> dict[str, Column]:
     }
 
 
-def with_country(events: DataFrame, prefixes: DataFrame | None) -> DataFrame:
+def with_country(events: DataFrame, prefixes: DataFrame | None, small: bool | None = None) -> DataFrame:
     """Add the country each event's leg was dialled in; NULL without a prefix table."""
     if prefixes is None:
         return events.withColumn("country", F.lit(None).cast("string"))
     number = dialled_number(F.col("conn_type"), F.col("extension"), F.col("phone_number"))
-    return country_of(events.withColumn("_dialled", number), "_dialled", prefixes).drop("_dialled")
+    return country_of(events.withColumn("_dialled", number), "_dialled", prefixes, small=small).drop("_dialled")
 
 
 def _completion(as_of: Column | None) -> Column:
@@ -155,6 +155,8 @@ def _parts(events: DataFrame, max_events: int) -> DataFrame:
     The dealing includes the partition number, so that copies of one event do
     not all land in the same part, and a retried task deals the same way.
     """
+    if fits_broadcast(events, max_events):
+        return events.withColumn("part", F.lit(0))
     busy = materialise(
         events.groupBy("contactId").count().filter(F.col("count") > max_events)
         .select("contactId", F.ceil(F.col("count") / max_events).cast("int").alias("_parts")))
@@ -168,14 +170,14 @@ def _seen(order: str) -> Column:
         iso_micros(f"{order}.ts").alias("timestamp"), F.col(f"{order}.event_id").alias("sequence")))
 
 
-def contact_records(events: DataFrame, prefixes: DataFrame | None = None,
-                    max_events: int = MAX_RECORD_EVENTS) -> DataFrame:
+def contact_records(events: DataFrame, prefixes: DataFrame | None = None, max_events: int = MAX_RECORD_EVENTS,
+                    small_prefixes: bool | None = None) -> DataFrame:
     """Nested contact records, in the shape the call-connection table is read with.
 
     A contact with more than ``max_events`` events gives several partial
     records; no record holds more than about that many history entries.
     """
-    events = _parts(known_events(events), max_events).transform(with_country, prefixes)
+    events = _parts(known_events(events), max_events).transform(with_country, prefixes, small_prefixes)
     reason = F.col("reason") if "reason" in events.columns else F.lit(None).cast("string")
     contact = _contact_folds()
     entry = F.struct(F.col("ts"), F.col("event_id"), F.col("conn_state"), F.col("active"))

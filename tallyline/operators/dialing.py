@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import BROADCAST_ROWS, fits_broadcast
+from tallyline.operators.skew import fits_broadcast
 
 LONGEST_PREFIX = 7
 
@@ -24,15 +24,18 @@ def digits(number: Column) -> Column:
 
 
 def country_of(rows: DataFrame, number: str, prefixes: DataFrame, to: str = "country",
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               small: bool | None = None) -> DataFrame:
     """Add the ISO country of ``number`` from a ``prefix, iso`` dimension.
 
     The dimension is the caller's. While it is small, each prefix length is a
     lookup in one broadcast table and the rows do not move. A larger one goes
-    through shuffled joins on the distinct numbers.
+    through shuffled joins on the distinct numbers. ``small`` passes on the
+    outcome of an earlier size check.
     """
+    if small is None:
+        small = fits_broadcast(prefixes)
     dim = prefixes.groupBy("prefix").agg(F.min("iso").alias("iso"))
-    if fits_broadcast(dim, broadcast_rows):
+    if small:
         return _by_broadcast(rows, number, dim, to)
     return _by_shuffle(rows, number, dim, to)
 

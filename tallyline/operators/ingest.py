@@ -22,16 +22,18 @@ def parse_records(lines: DataFrame, schema: str, value: str = "value") -> DataFr
 
     ``records`` holds the parsed objects, NULL where parsing failed.
     """
-    records = parse_objects(value, schema)
-    return lines.withColumn("records", records).withColumn(
-        "result", F.when(F.col("records").isNull(), FAILED).otherwise(OK))
+    return lines.withColumn("records", parse_objects(value, schema)).withColumn(
+        "result", F.when(F.size("records") > 0, OK).otherwise(FAILED))
 
 
 def accepted(parsed: DataFrame, value: str = "value") -> DataFrame:
-    """Objects of the good lines, one per row, next to the columns the line came with."""
+    """Objects of the good lines, one per row, next to the columns the line came with.
+
+    A failed line has nothing to explode. Filtering on the status as well would
+    only have the parse pushed into the filter and done twice.
+    """
     rest = [c for c in parsed.columns if c not in (value, "records", "result")]
-    return (parsed.filter(F.col("result") == OK)
-            .select(*rest, F.explode("records").alias("record")).select(*rest, "record.*"))
+    return parsed.select(*rest, F.explode("records").alias("record")).select(*rest, "record.*")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
@@ -55,21 +57,20 @@ def check_envelope(lines: DataFrame, body: str = "body") -> DataFrame:
     Adds ``valid`` and ``data``. The stream name has to be a string and the
     record an object; its data may be absent, but if present is a string.
     """
-    parsed = F.try_parse_json(body)
-
     def kind(path: str):
-        return F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+        return F.schema_of_variant(F.try_variant_get("_parsed", path, "variant"))
 
-    typed = lines.withColumns({
-        "_name": kind("$.DeliveryStreamName"),
-        "_record": kind("$.Record"),
-        "_data": kind("$.Record.Data"),
-    })
     valid = ((F.col("_name") == "STRING") & F.col("_record").startswith("OBJECT")
              & F.coalesce(F.col("_data") == "STRING", F.lit(True)))
-    return (typed.withColumn("valid", F.coalesce(valid, F.lit(False)))
-            .withColumn("data", F.when(F.col("valid"), F.get_json_object(body, "$.Record.Data")))
-            .drop("_name", "_record", "_data"))
+    return (lines.withColumn("_parsed", F.try_parse_json(body))
+            .withColumns({
+                "_name": kind("$.DeliveryStreamName"),
+                "_record": kind("$.Record"),
+                "_data": kind("$.Record.Data"),
+            })
+            .withColumn("valid", F.coalesce(valid, F.lit(False)))
+            .withColumn("data", F.when(F.col("valid"), F.try_variant_get("_parsed", "$.Record.Data", "string")))
+            .drop("_parsed", "_name", "_record", "_data"))
 
 
 def unwrap_batch(envelopes: DataFrame, schema: str, data: str = "data") -> DataFrame:

@@ -157,8 +157,7 @@ SUBMITTED = "contactId string, inbound string, type string"
 
 def submissions(spark: SparkSession, sf: str) -> DataFrame:
     checked = fx.envelopes(spark, sf).transform(ingest.check_envelope)
-    return (checked.filter("valid and data is not null").drop("body", "valid", "key")
-            .transform(ingest.unwrap_batch, SUBMITTED).transform(ingest.accepted))
+    return (checked.select("data").transform(ingest.unwrap_batch, SUBMITTED).transform(ingest.accepted))
 
 
 def decoded_keys(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,29 +7,20 @@ are released and folded by the same built-in aggregates the batch job uses.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tallyline.operators.contact_fold import (
-    MAX_RECORD_EVENTS, PENDING_LIMIT_SECONDS, contact_records, known_events, merges)
+    MAX_RECORD_EVENTS, contact_records, known_events, merges)
+from tallyline.operators.skew import fits_broadcast
 from tallyline.sources import schemas
 from tallyline.sources.landing import EVENT_TIME_FORMAT
 from tallyline.sources.sinks import write_batch, write_json
+from tallyline.streaming.tasks import hold_until_complete, route_busy
 
 EMIT_INTERVAL = "300 seconds"
-LIMIT_MS = PENDING_LIMIT_SECONDS * 1000
-
-# More events than this of one contact in one Arrow batch make it busy.
-BUSY_EVENTS = 100
-# Lanes a busy contact's events are dealt into.
-LANES = 64
-# More held events than this are released early.
-MAX_HELD = 5_000
 
 _ROUTED = "contactId string, lane int, ts timestamp, event_id bigint, kind string, clock timestamp, payload string"
 _RELEASED = "contactId string, payload string, reason string"
@@ -37,102 +28,6 @@ _STATE = ("first_ms bigint, last_ms bigint, ended_us bigint, ended_id bigint, de
           "destroyed_id bigint, error boolean, held array<string>")
 
 
-def route_busy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Give the events of busy contacts a lane of their own.
-
-    Lane 0 leads to the state. Of a busy contact only the rows that can decide
-    its completion go there; the others are dealt over the remaining lanes,
-    which pass them straight on as part of an early partial record.
-    """
-    for pdf in batches:
-        pdf = pdf.sort_values(["ts", "event_id"], kind="stable").reset_index(drop=True)
-        busy = pdf.groupby("contactId")["event_id"].transform("size") > BUSY_EVENTS
-        lane = (pd.Series(pdf.index, index=pdf.index) % LANES + 1).where(busy, 0)
-        if busy.any():
-            by = pdf[busy]
-            merging = by[by["kind"] != "destroyed"]
-            merging = merging[merging["kind"] != "terminal"]
-            deciding = [
-                merging.drop_duplicates("contactId"),
-                merging[merging["kind"].isin(["ended", "error"])].drop_duplicates(["contactId", "kind"]),
-                by[by["kind"] == "destroyed"].drop_duplicates("contactId", keep="last"),
-                by.drop_duplicates("contactId", keep="last"),
-            ]
-            for rows in deciding:
-                lane[rows.index] = 0
-        yield pdf.assign(lane=lane.astype("int32"))[
-            ["contactId", "lane", "ts", "event_id", "kind", "clock", "payload"]]
-
-
-def _micros(stamps: pd.Series) -> pd.Series:
-    return stamps.astype("datetime64[us]").astype("int64")
-
-
-def hold_until_complete(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State function: keep a contact's events, release them once it completes."""
-    contact, lane = key
-
-    def release(payloads: list[str], reason: str) -> pd.DataFrame:
-        return pd.DataFrame({"contactId": contact, "payload": payloads, "reason": reason})
-
-    if lane > 0:
-        for pdf in batches:
-            yield release(list(pdf["payload"]), "overflow")
-        return
-    if state.hasTimedOut:
-        held = state.get[7]
-        state.remove()
-        yield release(list(held), "abandoned")
-        return
-
-    if state.exists:
-        first, last, ended_us, ended_id, gone_us, gone_id, error, held = state.get
-        ended = None if ended_us is None else (ended_us, ended_id)
-        gone = None if gone_us is None else (gone_us, gone_id)
-        held = list(held)
-    else:
-        first = last = ended = gone = None
-        error, held = False, []
-
-    now = state.getCurrentWatermarkMs()
-    for pdf in batches:
-        us = _micros(pdf["ts"])
-        now = max(now, int(_micros(pdf["clock"]).max()) // 1000)
-        merging = us[~pdf["kind"].isin(["terminal", "destroyed"])]
-        if len(merging):
-            first = min(filter(None.__ne__, [first, int(merging.min()) // 1000]))
-        last = max(filter(None.__ne__, [last, int(us.max()) // 1000]))
-        for at, number, kind in zip(us, pdf["event_id"], pdf["kind"]):
-            if kind == "ended":
-                ended = min(filter(None, [ended, (at, number)]))
-            elif kind == "destroyed":
-                gone = max(filter(None, [gone, (at, number)]))
-        error = error or bool((pdf["kind"] == "error").any())
-        held.extend(pdf["payload"])
-
-    if first is None:
-        return  # terminal events of a contact that has no record
-    if error:
-        reason = "error"
-    elif ended and gone and gone > ended:
-        reason = "destroyed"
-    elif max(now, last) - first > LIMIT_MS:
-        reason = "abandoned"
-    else:
-        reason = None
-    if reason:
-        if state.exists:
-            state.remove()
-        yield release(held, reason)
-        return
-    if len(held) > MAX_HELD:
-        yield release(held, "overflow")
-        held = []
-    state.update((first, last, *(map(int, ended) if ended else (None, None)),
-                  *(map(int, gone) if gone else (None, None)), error, held))
-    state.setTimeoutTimestamp(max(first + LIMIT_MS, state.getCurrentWatermarkMs()) + 1)
-
-
 def _kind() -> Column:
     """What an event means for completion."""
     return (F.when(F.col("event_type") == "Destroyed", "destroyed")
@@ -173,10 +68,13 @@ def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: st
     audit trail, then folds them from there. Both folders are keyed by batch
     number and overwritten on replay, so every event lands exactly once.
     """
+    small = None if prefixes is None else fits_broadcast(prefixes)
+
     def submit(released: DataFrame, batch_id: int) -> None:
         target = write_batch(released, submitted, batch_id, "parquet")
         stored = released.sparkSession.read.schema(_RELEASED).parquet(target)
-        write_batch(contact_records(released_events(stored), prefixes, max_events), path, batch_id)
+        if not stored.isEmpty():
+            write_batch(contact_records(released_events(stored), prefixes, max_events, small), path, batch_id)
 
     writer = (release_completed(events, clock, delay).writeStream
               .foreachBatch(submit).outputMode("append").option("checkpointLocation", checkpoint))
