@@ -20,7 +20,7 @@ def hot_keys(rows: DataFrame, key: str, weight: Column, floor: int = HOT_FLOOR_B
     weights = rows.groupBy(key).agg(F.sum(weight).alias("_weight"))
     share = weights.select((F.sum("_weight") / F.lit(limit)).alias("share")).scalar()
     cut = F.greatest(F.lit(float(floor)), share)
-    return (weights.filter(F.col("_weight") > cut)
+    return (weights.filter(F.col(key).isNotNull() & (F.col("_weight") > cut))
             .select(key, F.ceil(F.col("_weight") / cut).cast("int").alias("_lanes")))
 
 

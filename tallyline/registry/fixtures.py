@@ -330,6 +330,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Days of the month at which the replay is cut.
 SLICES = [(1, 10), (11, 20), (21, 31)]
 
+EVENTS_PER_PARTITION = 200_000
+
 
 def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Replay the call events through the streaming fold, in time order.
@@ -342,12 +344,14 @@ def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         configure(spark)
         source, records, submitted, offsets = (scratch(spark, n) for n in ("calls", "records", "submitted", "offsets"))
         events = call_events(spark, sf_dir)
+        # State partitions in step with the log, between the cores at hand and the session's shuffle setting.
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(most, max(spark.sparkContext.defaultParallelism, events.count() // EVENTS_PER_PARTITION))
         for first, last in SLICES:
             write_slice(events.filter(F.dayofmonth("ts").between(first, last)), source)
-            _run(spark, source, records, submitted, offsets)
+            _run(spark, source, records, submitted, offsets, partitions)
         write_slice(last_event(events), source)
-        _run(spark, source, records, submitted, offsets)
-        _run(spark, source, records, submitted, offsets)
+        _run(spark, source, records, submitted, offsets, partitions)
         return {"records": records, "submitted": submitted}
     return landed(spark, sf_dir, "contact_stream", build)
 
@@ -360,10 +364,10 @@ def last_event(events: DataFrame) -> DataFrame:
         F.lit("Refresh").alias("event_type"), "ts", F.lit("connected").alias("status"), F.lit("k0").alias("connId"))
 
 
-def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str) -> None:
+def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, partitions: int) -> None:
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
     stream_contacts(events, records, submitted, offsets, clock="ts", delay="0 seconds",
-                    prefixes=dial_prefixes(spark), once=True).awaitTermination()
+                    prefixes=dial_prefixes(spark), once=True, partitions=partitions).awaitTermination()
 
 
 def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:

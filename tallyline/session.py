@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Keyed state that outgrows executor memory, with small incremental checkpoints.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Settings for what starts inside the block. A streaming query keeps the
+    settings it was started with, so they can be put back right after."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def local_session(cpus: int | str = "*", app: str = "tallyline", partitions: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

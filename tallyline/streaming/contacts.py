@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tallyline.operators.contact_fold import (
-    MAX_RECORD_EVENTS, contact_records, known_events, merges)
+from tallyline.operators.contact_fold import MAX_RECORD_EVENTS, contact_records, known_events, merges
 from tallyline.operators.skew import fits_broadcast
+from tallyline.session import STATE_CONF, settings
 from tallyline.sources import schemas
 from tallyline.sources.landing import EVENT_TIME_FORMAT
 from tallyline.sources.sinks import write_batch, write_json
@@ -61,12 +61,14 @@ def released_events(released: DataFrame) -> DataFrame:
 
 def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, clock: str | None = None,
                     delay: str = "0 seconds", prefixes: DataFrame | None = None, once: bool = False,
-                    max_events: int = MAX_RECORD_EVENTS) -> StreamingQuery:
+                    max_events: int = MAX_RECORD_EVENTS, partitions: int | None = None) -> StreamingQuery:
     """Fold a stream of call events into contact records.
 
     Each micro-batch first stores the events it submits, which is also the
     audit trail, then folds them from there. Both folders are keyed by batch
     number and overwritten on replay, so every event lands exactly once.
+    ``partitions`` is how many the state is divided into, for the life of the
+    checkpoint; the session's shuffle setting decides if it is not given.
     """
     small = None if prefixes is None else fits_broadcast(prefixes)
 
@@ -79,7 +81,11 @@ def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: st
     writer = (release_completed(events, clock, delay).writeStream
               .foreachBatch(submit).outputMode("append").option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=EMIT_INTERVAL)
-    return writer.start()
+    conf = dict(STATE_CONF)
+    if partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
+    with settings(events.sparkSession, conf):
+        return writer.start()
 
 
 def write_slice(events: DataFrame, path: str) -> None:

@@ -53,9 +53,9 @@ def test_a_hot_key_with_one_leg_and_many_lanes(spark):
 def test_report_does_not_depend_on_salting(spark, sf, monkeypatch):
     contacts, connections = fx.contacts(spark, sf), fx.connections(spark, sf)
     plain = reports.connection_usage(contacts, connections, ordered=False, split_hot=False)
-    monkeypatch.setattr(reports, "hot_keys", lambda rows, key, weight: skew.hot_keys(rows, key, weight, 0, 300))
+    monkeypatch.setattr(reports, "hot_keys", lambda rows, key, weight: skew.hot_keys(rows, key, weight, 0, 1000))
     salted = reports.connection_usage(contacts, connections, ordered=False)
-    assert skew.hot_keys(connection_legs(connections), "contact_id", F.lit(1), 0, 300).count() > 0
+    assert skew.hot_keys(connection_legs(connections), "contact_id", F.lit(1), 0, 1000).count() > 0
     assert rows_of(salted) == rows_of(plain)
 
 
