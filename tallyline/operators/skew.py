@@ -51,8 +51,13 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: str, h
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows.
+
+    Partitions are read in growing steps until enough rows are seen, and only a
+    constant per row comes back. (A LIMIT would cut every partition to the
+    limit and then gather all of that in one task.)
+    """
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
 
 
 def attach_small(df: DataFrame, small: DataFrame, key: str | list[str], rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from tallyline.sources import schemas
 
+# New objects taken into one micro-batch, so that a backlog is worked off in steps.
+MAX_FILES_PER_BATCH = 10_000
+
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -83,20 +86,17 @@ def _source_object():
     return F.col("_metadata.file_path").alias("source_object")
 
 
-def stream_json(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+def stream_json(spark: SparkSession, path: str, schema: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
     """Landing folder as an unbounded table; each new object is read once."""
     reader = (spark.readStream.schema(schemas.struct(schema))
               .option("timestampFormat", EVENT_TIME_FORMAT)
-              .option("recursiveFileLookup", "true"))
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files))
     return reader.json(path)
 
 
-def stream_transcripts(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_transcripts(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
     reader = (spark.readStream.schema(schemas.struct(schemas.TRANSCRIPT))
-              .option("multiLine", "true").option("recursiveFileLookup", "true"))
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+              .option("multiLine", "true").option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files))
     return reader.json(path).select(
         "*", _source_object(), F.col("_metadata.file_modification_time").alias("written"))
