@@ -18,10 +18,23 @@ SESSION_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the jobs rely on to an existing session."""
+# What one shuffle partition should hold.
+SHUFFLE_BYTES = 128 << 20
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings the jobs rely on to an existing session.
+
+    ``input_bytes`` sizes the shuffles for a job of that much input. Adaptive
+    execution merges partitions that turn out small, but cannot add any.
+    """
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        wanted = -(-input_bytes // SHUFFLE_BYTES)
+        least = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(min(max(wanted, least), MOST_SHUFFLE_PARTITIONS)))
     return spark
 
 

@@ -57,6 +57,15 @@ def _micros(stamps: pd.Series) -> pd.Series:
     return stamps.astype("datetime64[us]").astype("int64")
 
 
+def _orders(pdf: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    return zip(pdf["us"].tolist(), pdf["event_id"].tolist())
+
+
+def _known(value, more) -> list:
+    """The value so far, unless there is none, and the new ones."""
+    return [v for v in (value, *more) if v is not None]
+
+
 def hold_until_complete(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """State function: keep a contact's events, release them once it completes."""
     contact, lane = key
@@ -85,19 +94,19 @@ def hold_until_complete(key: tuple, batches: Iterator[pd.DataFrame], state: Grou
 
     now = state.getCurrentWatermarkMs()
     for pdf in batches:
-        us = _micros(pdf["ts"])
+        pdf = pdf.assign(us=_micros(pdf["ts"])).sort_values(["us", "event_id"], kind="stable")
+        merging = pdf[~pdf["kind"].isin(["terminal", "destroyed"])]
         now = max(now, int(_micros(pdf["clock"]).max()) // 1000)
-        merging = us[~pdf["kind"].isin(["terminal", "destroyed"])]
-        if len(merging):
-            first = min(filter(None.__ne__, [first, int(merging.min()) // 1000]))
-        last = max(filter(None.__ne__, [last, int(us.max()) // 1000]))
-        for at, number, kind in zip(us, pdf["event_id"], pdf["kind"]):
-            if kind == "ended":
-                ended = min(filter(None, [ended, (at, number)]))
-            elif kind == "destroyed":
-                gone = max(filter(None, [gone, (at, number)]))
+        first = min(_known(first, (merging["us"].head(1) // 1000).tolist()), default=None)
+        last = max(_known(last, (pdf["us"].tail(1) // 1000).tolist()), default=None)
+        ended = min(_known(ended, _orders(pdf[pdf["kind"] == "ended"].head(1))), default=None)
+        gone = max(_known(gone, _orders(pdf[pdf["kind"] == "destroyed"].tail(1))), default=None)
         error = error or bool((pdf["kind"] == "error").any())
         held.extend(pdf["payload"])
+        if first is not None and len(held) > MAX_HELD:
+            # The last event stays, so that something is left to release on completion.
+            yield release(held[:-1], "overflow")
+            held = held[-1:]
 
     if first is None:
         return  # terminal events of a contact that has no record
@@ -114,9 +123,5 @@ def hold_until_complete(key: tuple, batches: Iterator[pd.DataFrame], state: Grou
             state.remove()
         yield release(held, reason)
         return
-    if len(held) > MAX_HELD:
-        yield release(held, "overflow")
-        held = []
-    state.update((first, last, *(map(int, ended) if ended else (None, None)),
-                  *(map(int, gone) if gone else (None, None)), error, held))
+    state.update((first, last, *(ended or (None, None)), *(gone or (None, None)), error, held))
     state.setTimeoutTimestamp(max(first + LIMIT_MS, state.getCurrentWatermarkMs()) + 1)
