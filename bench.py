@@ -25,7 +25,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     conf = {}
     if os.environ.get("BENCH_EVENT_LOG"):
-        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.compress": "false", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
     spark = local_session(cpus, "bench", **conf)
 
     def land(name, df):
