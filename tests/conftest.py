@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from tallyline.session import local_session
@@ -7,7 +9,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests", partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="tallyline-warehouse-")
+    session = local_session(4, "tests", partitions=4, **{"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 
