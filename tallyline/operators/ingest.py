@@ -11,10 +11,19 @@ OK = "Ok"
 FAILED = "ProcessingFailed"
 
 
+def unnest(df: DataFrame, array: str, to: str, keep: list[str]) -> DataFrame:
+    """Explode a computed array; NULL elements, arrays and empty arrays give no rows.
+
+    For a plain explode the optimizer adds a test that the array is not empty
+    and pushes it below the computation, which is then done again for the test.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(to)).filter(F.col(to).isNotNull())
+
+
 def split_records(lines: DataFrame, value: str = "value") -> DataFrame:
     """One row per JSON object of a line that may hold several back to back."""
     rest = [c for c in lines.columns if c != value]
-    return lines.select(*rest, F.explode(split_objects(value)).alias(value))
+    return unnest(lines.withColumn("_pieces", split_objects(value)), "_pieces", value, rest)
 
 
 def parse_records(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
@@ -23,17 +32,13 @@ def parse_records(lines: DataFrame, schema: str, value: str = "value") -> DataFr
     ``records`` holds the parsed objects, NULL where parsing failed.
     """
     return lines.withColumn("records", parse_objects(value, schema)).withColumn(
-        "result", F.when(F.size("records") > 0, OK).otherwise(FAILED))
+        "result", F.when(F.size(F.array_compact("records")) > 0, OK).otherwise(FAILED))
 
 
 def accepted(parsed: DataFrame, value: str = "value") -> DataFrame:
-    """Objects of the good lines, one per row, next to the columns the line came with.
-
-    A failed line has nothing to explode. Filtering on the status as well would
-    only have the parse pushed into the filter and done twice.
-    """
+    """Objects of the good lines, one per row, next to the columns the line came with."""
     rest = [c for c in parsed.columns if c not in (value, "records", "result")]
-    return parsed.select(*rest, F.explode("records").alias("record")).select(*rest, "record.*")
+    return unnest(parsed, "records", "record", rest).select(*rest, "record.*")
 
 
 def rejected(parsed: DataFrame) -> DataFrame:

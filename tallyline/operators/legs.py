@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import loose_boolean
+from tallyline.operators.ingest import unnest
 
 # What the merge reads from a call-connection record.
 LEG_FIELDS = [
@@ -43,8 +44,8 @@ def flatten_legs(records: DataFrame) -> DataFrame:
     reads only those leaves rather than whole connection structs.
     """
     zipped = F.arrays_zip(*[F.col(path).alias(name) for name, path in _ZIPPED.items()])
-    return (records
-            .select("contactId", "inbound", "initialConnectionId", F.explode(zipped).alias("leg"))
+    return (records.withColumn("_legs", zipped)
+            .transform(unnest, "_legs", "leg", ["contactId", "inbound", "initialConnectionId"])
             .select(
                 F.col("contactId").alias("contact_id"), "inbound", "initialConnectionId",
                 *[F.col("leg").getField(name).alias(name) for name in _ZIPPED if name != "history"],
