@@ -88,44 +88,46 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
              .selectExpr("*", "concat('c', l_orderkey) as contact", "unix_micros(cast(l_shipdate as timestamp)) as k")
              .selectExpr("*", "if(l_linenumber = 1, contact, concat(contact, '-', l_linenumber)) as leg",
                          "if(l_discount = 0, null, k + l_linenumber * 1000000) as con_us",
-                         "if(l_tax = 0, null, k + l_linenumber * 1000000 + cast(l_quantity * 2500000 as bigint)) as dis_us"))
+                         "if(l_tax = 0, null, k + l_linenumber * 1000000 + cast(l_quantity * 2500000 as bigint)) as dis_us")
+             .selectExpr("*", f"{_iso('k')} as k_iso", f"{_iso('k + 1000000')} as k1_iso", f"{_iso('con_us')} as con_iso",
+                         f"{_iso('dis_us')} as dis_iso"))
     agent = """if(l_returnflag = 'A', named_struct('softPhoneEnabled', l_linestatus = 'O',
                  'extension', concat('+44', 2000000 + l_partkey), 'name', concat('user', l_suppkey % 50)), null)"""
     phone = """case when l_partkey % 13 = 0 then 'anonymous' when l_returnflag = 'R' then concat('+49', 3000000 + l_partkey)
                  when l_linenumber % 2 = 0 then concat('+1204', 1000000 + l_partkey)
                  else concat('+1555', 1000000 + l_partkey) end"""
     history = f"""filter(array(
-        if(l_linenumber = 5, null, named_struct('active', 'true', 'status', 'connecting', 'timestamp', {_iso('k')})),
-        if(con_us is null, null, named_struct('active', 'true', 'status', 'connected', 'timestamp', {_iso('con_us')})),
-        if(dis_us is null, null, named_struct('active', 'false', 'status', 'disconnected', 'timestamp', {_iso('dis_us')})),
+        if(l_linenumber = 5, null, named_struct('active', 'true', 'status', 'connecting', 'timestamp', k_iso)),
+        if(con_iso is null, null, named_struct('active', 'true', 'status', 'connected', 'timestamp', con_iso)),
+        if(dis_iso is null, null, named_struct('active', 'false', 'status', 'disconnected', 'timestamp', dis_iso)),
         if(l_linenumber = 6 and l_tax = 0, named_struct('active', 'false', 'status', 'lost', 'timestamp',
            cast(null as string)), null)), h -> h is not null)"""
-    full = f"""named_struct('id', leg, 'connectingTimestamp', {_iso('k')}, 'connectedTimestamp', {_iso('con_us')},
-        'disconnectedTimestamp', {_iso('dis_us')}, 'agentStatus', {agent}, 'active', 'false',
+    full = f"""named_struct('id', leg, 'connectingTimestamp', k_iso, 'connectedTimestamp', con_iso,
+        'disconnectedTimestamp', dis_iso, 'agentStatus', {agent}, 'active', 'false',
         'endpoint', named_struct('phoneNumber', {phone}, 'type', 'phone_number'),
         'endpointCountryISO', case when l_linenumber = 3 then null when l_returnflag = 'A' then 'GB'
            when l_returnflag = 'R' then 'DE' else 'US' end,
-        'history', {history}, 'lastUpdate', {_iso('coalesce(dis_us, con_us, k)')},
+        'history', {history}, 'lastUpdate', coalesce(dis_iso, con_iso, k_iso),
         'status', if(dis_us is null, 'connected', 'disconnected'),
         'type', case l_returnflag when 'A' then 'agent' when 'R' then 'outbound' else 'inbound' end)"""
-    earlier = f"""named_struct('id', leg, 'connectingTimestamp', {_iso('k + 1000000')},
+    earlier = f"""named_struct('id', leg, 'connectingTimestamp', k1_iso,
         'connectedTimestamp', cast(null as string), 'disconnectedTimestamp', cast(null as string),
         'agentStatus', if(true, null, {agent}), 'active', 'true',
         'endpoint', named_struct('phoneNumber', cast(null as string), 'type', 'phone_number'),
         'endpointCountryISO', cast(null as string),
-        'history', array(named_struct('active', 'true', 'status', 'connecting', 'timestamp', {_iso('k')})),
-        'lastUpdate', {_iso('k')}, 'status', 'connecting', 'type', cast(null as string))"""
+        'history', array(named_struct('active', 'true', 'status', 'connecting', 'timestamp', k_iso)),
+        'lastUpdate', k_iso, 'status', 'connecting', 'type', cast(null as string))"""
     return timed.selectExpr(
         "contact as contactId",
         "if(l_linenumber = 7, '', if(l_returnflag = 'N', 'true', 'false')) as inbound",
         "if(l_linenumber % 2 = 0, null, contact) as initialConnectionId",
-        f"{_iso('k')} as initialTimestamp", "'voice' as type",
+        "k_iso as initialTimestamp", "'voice' as type",
         f"""case when l_discount = 0 and l_tax = 0 then if(l_suppkey % 2 = 0, array(), null)
-             when l_suppkey % 2 = 1 then array({full}, {earlier}) else array({full}) end as connections""",
+             else concat(array({full}), if(l_suppkey % 2 = 1, array({earlier}), array())) end as connections""",
         f"""named_struct('attributes', concat('{{"part":', l_partkey, '}}'),
              'queue', named_struct('name', concat('q', l_suppkey % 10)),
              'thirdPartyConnections', if(l_linenumber > 1, array(leg), array()),
-             'timestamp', {_iso('k')}, 'type', 'connecting') as stageConnecting""",
+             'timestamp', k_iso, 'type', 'connecting') as stageConnecting""",
     )
 
 

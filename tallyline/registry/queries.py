@@ -369,18 +369,20 @@ def of_contact_records(columns: Columns) -> Query:
     return lambda spark, sf: fx.contacts(spark, sf).select("ContactId", *columns())
 
 
+def snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.unnest(fx.connections(spark, sf), "connections", "leg", ["contactId"])
+
+
 def history_times(spark: SparkSession, sf: str) -> DataFrame:
     """Timestamps of the history entries of each snapshot, as one text."""
-    leg = F.explode("connections").alias("leg")
-    return fx.connections(spark, sf).select("contactId", leg).select(
-        "contactId", F.col("leg.id").alias("conn_id"), F.array_join(
-            F.transform("leg.history", lambda h: h["timestamp"]), ",", "-").alias("times"))
+    times = F.transform("leg.history", lambda h: h["timestamp"])
+    return snapshots(spark, sf).select(
+        "contactId", F.col("leg.id").alias("conn_id"), F.array_join(times, ",", "-").alias("times"))
 
 
 def history_entries(spark: SparkSession, sf: str) -> DataFrame:
-    leg = F.explode("connections").alias("leg")
-    return fx.connections(spark, sf).select("contactId", leg).select(
-        "contactId", F.col("leg.id").alias("conn_id"), F.explode("leg.history").alias("entry")).select(
+    entries = snapshots(spark, sf).select("contactId", F.col("leg.id").alias("conn_id"), F.col("leg.history").alias("h"))
+    return ingest.unnest(entries, "h", "entry", ["contactId", "conn_id"]).select(
         "contactId", "conn_id", F.col("entry.timestamp").alias("timestamp"), F.col("entry.status").alias("status"))
 
 
