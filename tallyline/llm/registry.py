@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tallyline.llm import decontamination, mixing, simhash_dedup, token_files, toxicity
+from tallyline.llm import (
+    decontamination,
+    mixing,
+    neighbours,
+    sentence_spans,
+    simhash_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+    url_filters,
+)
 
 
 def queries() -> dict:
@@ -11,9 +21,13 @@ def queries() -> dict:
         "op2_toxicity": toxicity.query,
         "op3_decontamination": decontamination.query,
         "op5_token_files": token_files.query,
+        "op6_sentence_spans": sentence_spans.query,
+        "op7_url_filters": url_filters.query,
+        "op8_neighbours": neighbours.query,
+        "op9_token_counts": token_counts.query,
         "op10_mixing": mixing.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.SQL}
+    return {"op8_neighbours": neighbours.SQL, "op10_mixing": mixing.SQL}
