@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import scratch
+from tallyline.session import scratch, settings
 
 # ASCII white space and its complement; Python's bytes.split() uses the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,7 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and safe when an executor is lost."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    # Once the table is written, its shuffles are not needed again.
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from tallyline.llm import (
     neighbours,
     sentence_spans,
     simhash_dedup,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op1_simhash_dedup": simhash_dedup.query,
         "op2_toxicity": toxicity.query,
         "op3_decontamination": decontamination.query,
+        "op4_suffix_dedup": suffix_dedup.query,
         "op5_token_files": token_files.query,
         "op6_sentence_spans": sentence_spans.query,
         "op7_url_filters": url_filters.query,
