@@ -41,8 +41,9 @@ from tallyline.llm.common import stored, table
 LENGTH = 50
 GRAM = 16
 SHALLOW = 16
-BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
+PART = 1 << 15
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 _VALUES = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -75,38 +76,53 @@ def least_of_windows(keys: np.ndarray, size: int) -> np.ndarray:
 
 
 class Batch:
-    """The anchors of a few documents laid end to end (at most 2^24 bytes, or one document)."""
+    """The anchors of a few documents laid end to end."""
 
     def __init__(self, texts: list[bytes], length: int = LENGTH, hashed: bool = False):
         sizes = np.array([len(t) for t in texts], np.int64)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
-        values = _VALUES[self.bytes]
-        runs = []
-        # Positions take 24 bits of a key, so a longer document goes in overlapping parts.
-        step = 1 << 23
-        for at in range(0, max(len(values) - length + 1, 0), step):
-            part = values[at:at + step + length - 1]
-            hashes = gram_hashes(part, GRAM)
-            keys = (hashes & ~_POSITION) | np.arange(len(hashes), dtype=np.uint64)
-            least = least_of_windows(keys, length - GRAM + 1)
-            runs.append((least >> np.uint64(24), (least & _POSITION).astype(np.int64) + at))
-        grams, anchors = (np.concatenate(x) for x in zip(*runs)) if runs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        owner = np.repeat(np.arange(len(texts)), sizes)[:len(anchors)]
-        start = np.flatnonzero(np.arange(len(anchors)) + length <= self.ends[owner]) if len(anchors) else np.zeros(0, np.int64)
-        grams, anchors, owner = grams[start], anchors[start], owner[start]
-        new = np.flatnonzero((np.diff(anchors, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0) | (np.diff(start, prepend=-2) != 1))
-        #: Of each anchor: its hash, its document, the first string it governs, and how many.
-        self.gram, self.doc, self.start = grams[new], owner[new], start[new]
+        n = len(self.bytes)
+        count = max(n - length + 1, 0)
+        grams, anchors = np.zeros(count, np.uint64), np.zeros(count, np.int64)
+        # In parts that stay in the processor's cache; they overlap, so every string is seen whole.
+        for at in range(0, count, PART):
+            values = _VALUES[self.bytes[at:at + PART + length - 1]]
+            hashes = gram_hashes(values, GRAM)
+            hashes &= ~_POSITION
+            hashes |= np.arange(len(hashes), dtype=np.uint64)
+            least = least_of_windows(hashes, length - GRAM + 1)
+            grams[at:at + PART] = least >> np.uint64(24)
+            least &= _POSITION
+            anchors[at:at + PART] = least.astype(np.int64) + at
+        whole = np.ones(count, bool)
+        tails = (self.ends[:, None] - np.arange(1, length)).reshape(-1)
+        whole[tails[(tails >= 0) & (tails < count)]] = False
+        start = np.flatnonzero(whole)
+        own = anchors[start]
+        new = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (start[1:] != start[:-1] + 1)))[:len(start)]
+        #: Of each anchor: its hash, the first string it governs, how many, and its document.
+        self.start = start[new]
+        self.gram = grams[self.start]
         self.count = np.diff(np.append(new, len(start)))
+        self.doc = np.searchsorted(self.ends, self.start, "right")
         self.first = np.searchsorted(self.doc, np.arange(len(texts)))  # a document's first anchor
         self.ends_at = self.start + self.count - 1 + length
         if hashed:
-            n = len(values)
-            powers = np.cumprod(np.full(n + 1, _BASE, np.uint64))
-            sums = np.append(np.uint64(0), np.cumsum(values * powers[:n]))
-            self.stretch = (sums[self.ends_at] - sums[self.start]) * powers[n - self.start] + self.count.astype(np.uint64) if n else self.gram
+            powers = _powers(n + 1)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(_VALUES[self.bytes] * powers[:n], out=sums[1:])
+            self.stretch = (sums[self.ends_at] - sums[self.start]) * powers[n - self.start] + self.count.astype(np.uint64)
+
+
+_HELD: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> np.ndarray:
+    if len(_HELD.get("powers", ())) < n:
+        _HELD["powers"] = np.append(np.uint64(1), np.cumprod(np.full(n + (n >> 2), _BASE, np.uint64)))
+    return _HELD["powers"]
 
 
 def _batches(batches, ids: int, texts: int):
