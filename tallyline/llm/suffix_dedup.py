@@ -42,7 +42,7 @@ LENGTH = 50
 GRAM = 16
 SHALLOW = 16
 BATCH_BYTES = 2 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 PART = 1 << 15
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -237,54 +237,62 @@ def suffix_classes(text: np.ndarray, at: np.ndarray, length: int = LENGTH, shall
     wide = np.zeros(len(text) + 1, np.uint64)  # the eight bytes from each position on, as one character
     for i in range(8):
         wide = (wide << np.uint64(8)) | padded[i:i + len(wide)]
-    order = np.argsort(wide[at], kind="stable")
-    key = wide[at[order]]
-    new = np.append(True, key[1:] != key[:-1]) if len(at) else np.zeros(0, bool)
-    for depth in range(8, shallow, 8):
-        live, group = _live(new)
-        key = wide[at[order[live]] + depth]
-        inner = np.lexsort((key, group))
-        order[live] = order[live][inner]
-        key = key[inner]
-        new[live] |= np.append(True, (key[1:] != key[:-1]) | (group[1:] != group[:-1]))[:len(live)]
-    done = np.zeros(len(at), bool)
-    while True:
-        live, group = _live(new, done)
-        if not len(live):
-            return order, np.flatnonzero(new)
+    key = wide[at]
+    order = np.argsort(key)
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])[:len(at)]
+    # Live: places whose suffix equals a neighbour so far. Groups of them stay in place, only their order changes.
+    live, group = _still_equal(np.arange(len(at)), np.cumsum(new))
+    for depth in range(8, shallow, 4):
+        live, group = _part(order, new, live, group, wide[at[order[live]] + depth] >> np.uint64(32), 32)
+    while len(live):
         begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        sizes = np.diff(np.append(begin, len(live)))
         own = at[order[live]]
-        leader = np.repeat(own[begin], np.diff(np.append(begin, len(live))))
-        common = np.full(len(live), length, np.int64)
-        for depth in [*range(0, length - 8, 8), length - 8][::-1]:
-            differ = wide[own + depth] ^ wide[leader + depth]
-            hit = np.flatnonzero(differ)
-            # Leading zero bits of the difference, by its exponent; exact for the high byte that matters.
-            top = differ[hit]
-            bytes_ = np.zeros(len(hit), np.int64)
+        node = np.full(len(begin), length, np.int64)  # where the suffixes of each node part
+        left, where, heads = np.arange(len(begin)), own, begin  # nodes not settled, their suffixes, where each begins
+        for depth in (*range(shallow, length - 8, 8), length - 8):
+            here = wide[where + depth]
+            differ = np.zeros(len(here), np.uint64)
+            differ[1:] = here[1:] ^ here[:-1]
+            differ[heads] = 0
+            found = np.bitwise_or.reduceat(differ, heads)
+            parted = found != 0
+            top = found[parted]
+            skip = np.zeros(len(top), np.int64)
             for i in range(1, 8):
-                bytes_ += top < (np.uint64(1) << np.uint64(64 - 8 * i))
-            common[hit] = depth + bytes_
-        node = np.repeat(np.minimum.reduceat(common, begin), np.diff(np.append(begin, len(live))))
-        leaf = node >= length
-        done[live[leaf]] = True
-        live, group, node, own = live[~leaf], group[~leaf], node[~leaf], own[~leaf]
+                skip += top < (np.uint64(1) << np.uint64(64 - 8 * i))
+            node[left[parted]] = depth + skip
+            if not len(rest := left[~parted]):
+                break
+            if len(top):
+                where = where[np.repeat(~parted, sizes[left])]
+                left = rest
+                heads = np.cumsum(sizes[left]) - sizes[left]
+        inner = np.repeat(node < length, sizes)  # leaves are done
+        live, group, own = live[inner], group[inner], own[inner]
         if len(live):
-            branch = text[own + node]
-            inner = np.lexsort((branch, group))
-            order[live] = order[live][inner]
-            branch = branch[inner]
-            new[live] |= np.append(True, (branch[1:] != branch[:-1]) | (group[1:] != group[:-1]))
-
-
-def _live(new: np.ndarray, done: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places in groups of two or more that are not done, and the group of each."""
-    group = np.cumsum(new) - 1
-    several = np.bincount(group, minlength=1)[group] > 1 if len(group) else np.zeros(0, bool)
-    if done is not None:
-        several &= ~done
-    live = np.flatnonzero(several)
-    return live, group[live]
+            live, group = _part(order, new, live, group, text[own + np.repeat(node, sizes)[inner]].astype(np.uint64), 8)
+    return order, np.flatnonzero(new)
+
+
+def _part(order, new, live, group, key, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort each group by ``key`` of ``bits`` bits and cut it where keys differ; what is still equal."""
+    # Groups are renumbered from 0, so that a group and its key fit in one number.
+    number = np.cumsum(np.append(False, group[1:] != group[:-1]))[:len(group)].astype(np.uint64)
+    both = (number << np.uint64(bits)) | key
+    inner = np.argsort(both)
+    order[live] = order[live][inner]
+    both = both[inner]
+    cut = np.append(True, both[1:] != both[:-1])[:len(both)]
+    new[live] |= cut
+    return _still_equal(live, np.cumsum(cut))
+
+
+def _still_equal(live: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    same = group[1:] == group[:-1]
+    take = np.append(same, False)[:len(group)] | np.append(False, same)[:len(group)]
+    return live[take], group[take]
 
 
 def covered_spans(texts: DataFrame, shared: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
