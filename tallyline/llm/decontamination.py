@@ -26,6 +26,7 @@ id and text are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import stored, table
+from tallyline.llm.vocabulary import Grown
 
 WINDOW = 12
 LITERALS = 6
 BLOOM_BITS = 1 << 23
 MOST_CACHED = 1_000_000
+TEXTS = 128
 # Spelled-out numbers and unit names that templates treat as slots.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty "
                          "sixty seventy eighty ninety hundred thousand million billion".split())
@@ -65,33 +68,48 @@ def classify(token: str) -> tuple[int, int, bool, bool, bool] | None:
 
 
 class Templates:
-    """Template hashes of texts, with a cache of tokens."""
+    """Template tokens of texts, with a table of the tokens seen."""
 
     def __init__(self):
-        self.known: dict[str, tuple | None] = {}
-
-    def tokens(self, text: str):
-        """The tokens kept, and per view their template hashes and slot marks."""
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.plain, self.named, self.marks = Grown(np.uint64), Grown(np.uint64), Grown(np.uint8)
+
+    def _learn(self, tokens: list[str]) -> None:
+        rows = [classify(t) or (0, 0, False, False, False) for t in tokens]
+        kept = [r[0] != 0 for r in rows]
+        self.known.update(zip(tokens, range(len(self.known), len(self.known) + len(tokens))))
+        self.plain.add(np.array([r[0] for r in rows], np.uint64))
+        self.named.add(np.array([r[1] for r in rows], np.uint64))
+        self.marks.add(np.array([k + 2 * r[2] + 4 * r[3] + 8 * r[4] for k, r in zip(kept, rows)], np.uint8))
+
+    def tokens(self, texts: list[str]):
+        """The tokens of all texts end to end, the end of each text among them, and per view the hashes and slot marks."""
         if len(self.known) > MOST_CACHED:
-            self.known.clear()
-        known, words = self.known, text.split()
-        found = []
-        for w in words:
-            try:
-                found.append(known[w])
-            except KeyError:
-                found.append(known.setdefault(w, classify(w)))
-        if None in found:
-            words = [w for w, f in zip(words, found) if f is not None]
-            found = [f for f in found if f is not None]
-        if not found:
-            return words, []
-        plain, named, number, unit, name = (np.array(x, kind) for x, kind in
-                                            zip(zip(*found), (np.uint64, np.uint64, bool, bool, bool)))
-        unit &= np.append(False, number[:-1])
-        plain, named = np.where(unit, np.uint64(_UNIT), plain), np.where(unit, np.uint64(_UNIT), named)
+            self.forget()
+        cut = [t.split() for t in texts]
+        words = list(chain.from_iterable(cut))
+        ends = np.cumsum([len(c) for c in cut])
+        get = self.known.get
+        numbers = list(map(get, words))
+        if None in numbers:
+            self._learn(list(dict.fromkeys(w for w, n in zip(words, numbers) if n is None)))
+            numbers = list(map(get, words))
+        numbers = np.array(numbers, np.int64)
+        marks = self.marks.rows[numbers]
+        kept = np.flatnonzero(marks & 1)  # the others are punctuation
+        ends = np.searchsorted(kept, ends)
+        numbers, marks = numbers[kept], marks[kept]
+        number, name = (marks & 2) > 0, (marks & 8) > 0
+        unit = ((marks & 4) > 0) & np.append(False, number[:-1])[:len(number)]
+        begins = np.append(0, ends[:-1])
+        unit[begins[begins < len(unit)]] = False
+        plain, named = self.plain.rows[numbers], self.named.rows[numbers]
+        plain[unit] = named[unit] = np.uint64(_UNIT)
         slot = number | unit
-        return words, [(plain, slot), (named, slot | (name & ~unit))]
+        return words, kept, ends, [(plain, slot), (named, slot | (name & ~unit))]
 
 
 def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
@@ -103,10 +121,6 @@ def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
     return out * np.uint64(0xBF58476D1CE4E5B9) ^ np.uint64(width)
 
 
-def _values(words: list[str], slot: np.ndarray, at: int, width: int) -> list[str]:
-    return [words[at + i].strip(_EDGE).lower() for i in np.flatnonzero(slot[at:at + width])]
-
-
 WINDOWS = "id long, row long, view int, pos int, hash long, slots array<string>, width int"
 
 
@@ -118,24 +132,30 @@ def windows(texts: DataFrame, widths: tuple[int, ...], bloom=None, whole_short:
     def run(batches):
         cut, bits = Templates(), None if bloom is None else bloom.value
         for batch in batches:
-            out = [[] for _ in range(7)]
-            for id_, row, text in zip(*(batch.column(i) for i in range(3))):
-                words, views = cut.tokens(text.as_py() or "")
-                for view, (tokens, slot) in enumerate(views):
-                    for width in ((min(widths[0], len(tokens)),) if whole_short else widths):
-                        if not width or len(tokens) < width:
-                            continue
-                        hashes = window_hashes(tokens, width)
-                        take = np.arange(len(hashes)) if bits is None else np.flatnonzero(_may(bits, hashes))
-                        for at in take.tolist():
-                            for column, value in zip(out, (id_, row, view, at, hashes[at:at + 1].view(np.int64)[0],
-                                                           _values(words, slot, at, width), width)):
-                                column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.as_py() for x in out[0]], pa.int64()), pa.array([x.as_py() for x in out[1]], pa.int64()),
-                 pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int64()),
-                 pa.array(out[5], pa.list_(pa.string())), pa.array(out[6], pa.int32())],
-                ["id", "row", "view", "pos", "hash", "slots", "width"])
+            for at in range(0, batch.num_rows, TEXTS):
+                yield found_in(cut, bits, batch.slice(at, TEXTS))
+
+    def found_in(cut, bits, part):
+        words, kept, ends, views = cut.tokens([t or "" for t in part.column(2).to_pylist()])
+        sizes = np.diff(np.append(0, ends))
+        out = []
+        for view, (tokens, slot) in enumerate(views):
+            for width in sorted(set(np.minimum(widths[0], sizes).tolist()) - {0}) if whole_short else widths:
+                hashes = window_hashes(tokens, width)
+                take = np.arange(len(hashes)) if bits is None else np.flatnonzero(_may(bits, hashes))
+                doc = np.searchsorted(ends, take, "right")
+                inside = take + width <= ends[doc]
+                if whole_short:
+                    inside &= np.minimum(widths[0], sizes)[doc] == width
+                for i, d in zip(take[inside].tolist(), doc[inside].tolist()):
+                    slots = [words[kept[i + j]].strip(_EDGE).lower() for j in np.flatnonzero(slot[i:i + width])]
+                    out.append((d, view, i - int(ends[d] - sizes[d]), int(hashes[i:i + 1].view(np.int64)[0]), slots, width))
+        d, view, pos, hashes, slots, width = zip(*out) if out else ((),) * 6
+        rows = pa.array(d, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [part.column(0).take(rows), part.column(1).take(rows), pa.array(view, pa.int32()), pa.array(pos, pa.int32()),
+             pa.array(hashes, pa.int64()), pa.array(slots, pa.list_(pa.string())), pa.array(width, pa.int32())],
+            ["id", "row", "view", "pos", "hash", "slots", "width"])
 
     return texts.mapInArrow(run, WINDOWS)
 
@@ -175,6 +195,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
     met = met.filter(same | (F.col("d.width") - F.size("d.slots") >= literals)).select(
         "d.row", F.col("i.id").alias("item_id"), "d.view", "d.pos", (F.col("d.pos") - F.col("i.pos")).alias("shift"),
         F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc")).alias("pairs"))
+    met = stored(met, "template-matches")
     key = ["row", "item_id", "view", "shift"]
     pairs = met.select(*key, F.explode("pairs").alias("pair")).distinct()
     # A value that stands for two others, on either side, breaks the alignment.

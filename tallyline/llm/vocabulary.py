@@ -18,7 +18,7 @@ _SPACE = re.compile(r"[ \n]+")
 MOST_CACHED = 1_000_000
 
 
-class _Grown:
+class Grown:
     """Rows that are added to, in an array of doubling size."""
 
     def __init__(self, kind, width: int | None = None):
@@ -53,8 +53,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids, self.sizes, self.begins = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
-        self.offsets = _Grown(np.int64, 2)
+        self.ids, self.sizes, self.begins = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
+        self.offsets = Grown(np.int64, 2)
 
     def _learn(self, pieces: list[str]) -> None:
         encode = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
