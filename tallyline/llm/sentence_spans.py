@@ -91,9 +91,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     """``id, pos, n`` of every span that is not the first of its kind."""
     found = stored(spans(docs), "sentence-spans")
     place = F.struct("id", "pos")
-    firsts = (found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-              .filter("first <> last").select("hash", "first"))
-    # Adaptive execution splits the spans of a hot hash; each meets one row.
+    # Stored, so that both sides of the join are plain shuffles: adaptive execution splits the spans of a hot hash.
+    firsts = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                    .filter("first <> last").select("hash", "first"), "sentence-firsts")
     return found.join(firsts, "hash").filter(place != F.col("first")).select("id", "pos", "n").distinct()
 
 
