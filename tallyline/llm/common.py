@@ -15,12 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: computed once, and safe when an executor is lost."""
     path = scratch(df.sparkSession, label)
     # Once the table is written, its shuffles are not needed again.
     with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -41,23 +41,24 @@ TEXTS = 256
 
 
 def token_rows(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, n, ids``: the ids of each text with the end id, as little-endian 32-bit integers."""
+    """``doc_id, n, width, ids``: the ids of each text with the end id, as little-endian integers of ``width`` bytes."""
     def run(batches):
         coder = encoder(path)
+        width = 2 if max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 ids, sizes = coder.encode([t or "" for t in part.column(1).to_pylist()])
                 ends = np.cumsum(sizes)
-                ids = np.insert(ids, ends, end_id).astype("<u4")
+                ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
                 sizes = sizes + 1
-                offsets = np.append(0, np.cumsum(sizes)) * 4
+                offsets = np.append(0, np.cumsum(sizes)) * width
                 blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes),
                                                          [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), blobs.cast(pa.binary())],
-                                                 ["doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(np.full(len(sizes), width), pa.int32()),
+                                                  blobs.cast(pa.binary())], ["doc_id", "n", "width", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, width int, ids binary")
 
 
 def counts(rows: DataFrame) -> DataFrame:
@@ -65,15 +66,15 @@ def counts(rows: DataFrame) -> DataFrame:
     def run(batches):
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                own = np.bincount(np.frombuffer(blob.as_buffer(), "<u4"))
+            for width, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.bincount(np.frombuffer(blob.as_buffer(), f"<u{width}"))
                 if len(own) > len(seen):
                     seen, own = own, seen
                 seen[:len(own)] += own
         tokens = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.int64()), pa.array(seen[tokens], pa.int64())], ["token", "count"])
 
-    parts = rows.select("ids").mapInArrow(run, "token long, count long")
+    parts = rows.select("width", "ids").mapInArrow(run, "token long, count long")
     return parts.groupBy("token").agg(F.sum("count").alias("count"))
 
 
@@ -165,7 +166,7 @@ BLOCKS = ("file int, block int, docs int, n_tokens long, doc_ids array<long>, si
 def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, longest: int = LONGEST) -> None:
     """Encode ``docs(doc_id, text)`` and write the file set."""
     spark = docs.sparkSession
-    rows = stored(token_rows(docs, path, end_id), "token-ids")
+    rows = stored(token_rows(docs, path, end_id), "token-ids", compression="zstd")
     found = counts(rows).toPandas().sort_values("token")  # an entry per id of the vocabulary at most
     tokens, weights = found["token"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
     lengths = code_lengths(weights, longest)
@@ -187,9 +188,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, longest
 
         held = 0
         for batch in batches:
-            for file, doc, blob in zip(*(batch.column(i) for i in range(3))):
-                ids = np.frombuffer(blob.as_buffer(), "<u4").astype(np.int64)
-                block.append((file.as_py(), doc.as_py(), ids))
+            for file, doc, width, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+                ids = np.frombuffer(blob.as_buffer(), f"<u{width}").astype(np.int64)
+                block.append((file, doc, ids))
                 held += len(ids)
                 if held >= BLOCK_TOKENS:
                     yield packed()
@@ -198,7 +199,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, longest
             yield packed()
 
     ranged = (rows.repartitionByRange("doc_id", "ids").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-              .select(F.spark_partition_id().alias("file"), "doc_id", "ids"))
+              .select(F.spark_partition_id().alias("file"), "doc_id", "width", "ids"))
     ranged.mapInArrow(run, BLOCKS).write.parquet(f"{folder}/blocks")
 
 

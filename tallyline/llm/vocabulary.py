@@ -7,15 +7,19 @@ dictionary of pieces does the work of the merge loop for all but new ones.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import chain
 
 import numpy as np
 
-# Pieces never cross these bytes in the word vocabulary, which drops white space.
-_SPACE = re.compile(r"[ \n]+")
-MOST_CACHED = 1_000_000
+# Words of letters that lower-case to one letter and need no normalisation, and of other visible characters.
+_PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")
+# The letters and numbers among them.
+_LETTERS, _NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+MOST_CACHED = 700_000
+MOST_PIECES = 500_000
 
 
 class Grown:
@@ -33,6 +37,79 @@ class Grown:
         self.size = need
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes
+
+
+def _runs(sizes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Indexes of the runs (begin, size) laid end to end."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(sizes.sum())) + np.repeat(begins - (ends - sizes), sizes)
+
+
+class PlainWords:
+    """A shorter way for words of common Latin letters, where a file lower-cases, cuts by one pattern and merges bytes.
+
+    Such words need no Unicode normalisation, so they are lower-cased and cut
+    here, and only distinct pieces go through the file's merges.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        from tokenizers import Tokenizer
+
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = self.merges.pre_tokenizer = None
+        self.cut = re.compile(pattern.replace(r"\p{L}", _LETTERS).replace(r"\p{N}", _NUMBERS)).findall
+        # Byte-level files write each byte as a printable character: itself, or the next from 256 on.
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.letters = {b: chr(b) if b in own else chr(256 + b - sum(o < b for o in own)) for b in range(256)}
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.sizes, self.begins = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
+
+    @classmethod
+    def of(cls, path: str) -> PlainWords | None:
+        """None if the file works in another way."""
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        normal, cut = said.get("normalizer") or {}, said.get("pre_tokenizer") or {}
+        steps = [x["type"] for x in normal.get("normalizers", ())], [x["type"] for x in cut.get("pretokenizers", ())]
+        if steps != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
+            return None
+        split, byte_level = cut["pretokenizers"]
+        if not split["invert"] or split["behavior"] != "Removed" or byte_level["add_prefix_space"] or byte_level["use_regex"]:
+            return None
+        return cls(path, split["pattern"]["Regex"])
+
+    @staticmethod
+    def fits(word: str) -> bool:
+        return _PLAIN.fullmatch(word) is not None and "<|" not in word
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and how many each has."""
+        if len(self.index) > MOST_PIECES:
+            self.forget()
+        cut = [self.cut(w.lower()) for w in words]
+        pieces = list(chain.from_iterable(cut))
+        index = self.index
+        new = [p for p in dict.fromkeys(pieces) if p not in index]
+        if new:
+            letters = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in new]
+            ids, sizes = _flat([c.ids for c in self.merges.encode_batch_fast(letters, add_special_tokens=False)])
+            index.update(zip(new, range(len(index), len(index) + len(new))))
+            self.begins.add(self.ids.size + np.cumsum(sizes) - sizes)
+            self.sizes.add(sizes)
+            self.ids.add(ids)
+        numbers = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
+        own = self.sizes.rows[numbers]
+        ids = self.ids.rows[_runs(own, self.begins.rows[numbers])]
+        ends = np.append(0, np.cumsum(own))[np.cumsum([0, *map(len, cut)])]
+        return ids, np.diff(ends)
+
+
 class Encoder:
     """Token ids and character spans of texts.
 
@@ -49,6 +126,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = spans
         self.split, self.with_spans = split, spans
+        self.plain = None if spans or split else PlainWords.of(path)
         self.forget()
 
     def forget(self) -> None:
@@ -57,38 +135,40 @@ class Encoder:
         self.offsets = Grown(np.int64, 2)
 
     def _learn(self, pieces: list[str]) -> None:
-        encode = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
-        coded = encode(pieces, add_special_tokens=False)
-        ids = [c.ids for c in coded]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        if self.plain is not None:
+            simple = [p for p in pieces if PlainWords.fits(p)]
+            if simple:
+                self._add(simple, *self.plain.encode(simple))
+                pieces = [p for p in pieces if p not in self.index]
+        if pieces:
+            encode = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
+            coded = encode(pieces, add_special_tokens=False)
+            self._add(pieces, *_flat([c.ids for c in coded]))
+            if self.with_spans:
+                self.offsets.add(np.array([o for c in coded for o in c.offsets], np.int64).reshape(-1, 2))
+
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         at = len(self.index)
         self.index.update(zip(pieces, range(at, at + len(pieces))))
         self.begins.add(self.ids.size + np.cumsum(sizes) - sizes)
         self.sizes.add(sizes)
-        self.ids.add(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
-        if self.with_spans:
-            self.offsets.add(np.array([o for c in coded for o in c.offsets], np.int64).reshape(-1, 2))
+        self.ids.add(ids)
 
     def pieces(self, text: str) -> list[str]:
-        return _SPACE.split(text) if self.split is None else self.split(text)
+        return text.replace("\n", " ").split(" ") if self.split is None else self.split(text)
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
         if len(self.index) > MOST_CACHED:
             self.forget()
-        get = self.index.get
-        out = list(map(get, pieces))
+        out = list(map(self.index.get, pieces))
         if None in out:
-            self._learn(list(dict.fromkeys(p for p, n in zip(pieces, out) if n is None)))
-            out = list(map(get, pieces))
+            missing = [i for i, n in enumerate(out) if n is None]
+            self._learn(list(dict.fromkeys([pieces[i] for i in missing])))
+            index = self.index
+            for i in missing:
+                out[i] = index[pieces[i]]
         return np.array(out, np.int64)
 
-    @staticmethod
-    def _gather(sizes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """Indexes of the runs (begin, size) laid end to end."""
-        total = int(sizes.sum())
-        ends = np.cumsum(sizes)
-        return np.arange(total) + np.repeat(begins - (ends - sizes), sizes)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts laid end to end, and how many each text has."""
         cut = [self.pieces(t) for t in texts]
@@ -96,7 +176,7 @@ class Encoder:
         own = self.sizes.rows[numbers]
         each = np.add.reduceat(np.append(own, 0), np.cumsum([0, *map(len, cut)])[:-1]) if cut else np.zeros(0, np.int64)
         each[[not pieces for pieces in cut]] = 0
-        return self.ids.rows[self._gather(own, self.begins.rows[numbers])], each
+        return self.ids.rows[_runs(own, self.begins.rows[numbers])], each
 
     def spans(self, text: str) -> np.ndarray:
         """(start, end) character offsets of a text's tokens; the pieces must be the text without gaps."""
@@ -105,7 +185,7 @@ class Encoder:
         lengths = np.array([len(p) for p in pieces], np.int64)
         at = np.cumsum(lengths) - lengths
         own = self.sizes.rows[numbers]
-        return self.offsets.rows[self._gather(own, self.begins.rows[numbers])] + np.repeat(at, own)[:, None]
+        return self.offsets.rows[_runs(own, self.begins.rows[numbers])] + np.repeat(at, own)[:, None]
 
 
 def encoder(path: str, split=None, spans: bool = False) -> Encoder:
