@@ -10,12 +10,12 @@ Layout of a file set, written by Spark under one folder:
   byte. ``checkpoints`` holds the bit offset of every ``STRIDE``-th token, so
   a reader can start there, and decodes all stretches of a block side by side.
 
-Code lengths are at most ``LONGEST`` bits (package-merge), which bounds the
+Code lengths are at most ``LONGEST`` bits, or what the ids need (package-merge), which bounds the
 decoding table. The counts come from all documents; only a count per id of the
 vocabulary reaches the driver.
 
 Nulls and ties: a null or empty text holds the end id alone; null doc_ids come
-first; rows that repeat a doc_id are ordered by their ids. An empty table
+first; rows that repeat a doc_id are ordered by a digest of their ids. An empty table
 gives an empty file set.
 """
 
@@ -26,6 +26,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from tallyline.llm.common import stored, table
 from tallyline.llm.vocabulary import encoder
 from tallyline.session import scratch
 
-LONGEST = 20
+LONGEST = 16
 STRIDE = 128
 BLOCK_TOKENS = 1 << 18
 END_ID = 1
@@ -66,8 +67,9 @@ def counts(rows: DataFrame) -> DataFrame:
     def run(batches):
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            for width, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.bincount(np.frombuffer(blob.as_buffer(), f"<u{width}"))
+            for width in set(batch.column(0).to_pylist()):
+                blobs = batch.filter(pc.equal(batch.column(0), width)).column(1)
+                own = np.bincount(np.frombuffer(b"".join(blobs.to_pylist()), f"<u{width}"))
                 if len(own) > len(seen):
                     seen, own = own, seen
                 seen[:len(own)] += own
@@ -169,7 +171,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, longest
     rows = stored(token_rows(docs, path, end_id), "token-ids", compression="zstd")
     found = counts(rows).toPandas().sort_values("token")  # an entry per id of the vocabulary at most
     tokens, weights = found["token"].to_numpy(np.int64), found["count"].to_numpy(np.int64)
-    lengths = code_lengths(weights, longest)
+    lengths = code_lengths(weights, max(longest, len(tokens).bit_length()))
     spark.createDataFrame([(int(t), int(n)) for t, n in zip(tokens, lengths)], "token long, length int").coalesce(1).write.parquet(f"{folder}/code")
     shared = spark.sparkContext.broadcast((tokens, lengths))  # bounded by the vocabulary
 
@@ -198,7 +200,8 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = END_ID, longest
         if block:
             yield packed()
 
-    ranged = (rows.repartitionByRange("doc_id", "ids").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
+    ranged = (rows.withColumn("digest", F.xxhash64("ids")).repartitionByRange("doc_id", "digest")
+              .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest")
               .select(F.spark_partition_id().alias("file"), "doc_id", "width", "ids"))
     ranged.mapInArrow(run, BLOCKS).write.parquet(f"{folder}/blocks")
 
