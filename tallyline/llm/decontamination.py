@@ -40,7 +40,7 @@ from tallyline.llm.vocabulary import Grown
 WINDOW = 12
 LITERALS = 6
 BLOOM_BITS = 1 << 23
-MOST_CACHED = 1_000_000
+MOST_CACHED = 500_000
 TEXTS = 128
 # Spelled-out numbers and unit names that templates treat as slots.
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty "
@@ -212,7 +212,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Rows are told apart by doc_id; a row without one is told by its text's hash.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
-    bad = matches(docs.select(key.alias("row"), "text"), benchmark).select("row").distinct()
+    # Stored, so that its size is known: Spark broadcasts a small list and shuffles both sides of a large one.
+    bad = stored(matches(docs.select(key.alias("row"), "text"), benchmark).select("row").distinct(), "template-rows")
     rows = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row_"))
     return rows.join(bad, rows["key"] == bad["row"], "left_anti").select("row_.*")
 

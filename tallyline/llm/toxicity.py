@@ -40,7 +40,7 @@ FACTORS = 8
 EPOCHS = 12
 THRESHOLD = 0.3
 STEMS = (3, 4, 5, 6)
-MOST_CACHED = 1_000_000
+MOST_CACHED = 500_000
 _TERM = re.compile(r"\w+")
 
 

@@ -20,8 +20,8 @@ _ODD = re.compile("[\u0130\u0250-\U0010ffff]")
 _JOINED = re.compile("[^a-z0-9\u00df-\u00f6\u00f8-\u00ff\\s][.,]\\s")
 # The letters and numbers among them.
 _LETTERS, _NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
-MOST_CACHED = 1_200_000
-MOST_PIECES = 600_000
+MOST_CACHED = 600_000
+MOST_PIECES = 400_000
 
 
 class Grown:
