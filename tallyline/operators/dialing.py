@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyline.operators.skew import fits_broadcast
 
-LONGEST_PREFIX = 7
+# An international number has no more digits, so no longer prefix can match.
+LONGEST_NUMBER = 15
 
 
 def dialled_number(kind: Column, extension: Column, phone: Column) -> Column:
@@ -27,7 +28,7 @@ def country_of(rows: DataFrame, number: str, prefixes: DataFrame, to: str = "cou
                small: bool | None = None) -> DataFrame:
     """Add the ISO country of ``number`` from a ``prefix, iso`` dimension.
 
-    The dimension is the caller's. While it is small, each prefix length is a
+    The dimension is the caller's. While it is small, each prefix length in it is a
     lookup in one broadcast table and the rows do not move. A larger one goes
     through shuffled joins on the distinct numbers. ``small`` passes on the
     outcome of an earlier size check.
@@ -48,7 +49,11 @@ def _by_broadcast(rows: DataFrame, number: str, dim: DataFrame, to: str) -> Data
         table = F.broadcast(dim.select(F.col("prefix").alias(f"_p{n}"), F.col("iso").alias(f"_i{n}")))
         return df.join(table, F.substring("_digits", 1, n) == F.col(f"_p{n}"), "left")
 
-    lengths = range(LONGEST_PREFIX, 0, -1)
+    # At most LONGEST_NUMBER lengths, and in practice those of a few countries' plans.
+    lengths = sorted((r[0] for r in dim.select(F.length("prefix")).distinct().collect()
+                      if r[0] and r[0] <= LONGEST_NUMBER), reverse=True)
+    if not lengths:
+        return rows.select(*keep, F.lit(None).cast("string").alias(to))
     found = reduce(add, lengths, rows)
     return found.select(*keep, F.coalesce(*[F.col(f"_i{n}") for n in lengths]).alias(to))
 
@@ -56,7 +61,7 @@ def _by_broadcast(rows: DataFrame, number: str, dim: DataFrame, to: str) -> Data
 def _by_shuffle(rows: DataFrame, number: str, dim: DataFrame, to: str) -> DataFrame:
     numbers = rows.select(number, digits(F.col(number)).alias("_digits")).dropna().dropDuplicates([number])
     candidates = numbers.select(number, F.explode(F.transform(
-        F.sequence(F.lit(1), F.lit(LONGEST_PREFIX)), lambda n: F.substr("_digits", F.lit(1), n))).alias("prefix"))
+        F.sequence(F.lit(1), F.length("_digits")), lambda n: F.substr("_digits", F.lit(1), n))).alias("prefix"))
     best = (candidates.join(dim, "prefix").groupBy(number)
             .agg(F.max_by("iso", F.length("prefix")).alias(to)))
     return rows.join(best, number, "left").select(*rows.columns, to)

@@ -20,7 +20,6 @@ SESSION_CONF = {
 
 # What one shuffle partition should hold.
 SHUFFLE_BYTES = 128 << 20
-MOST_SHUFFLE_PARTITIONS = 100_000
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -34,7 +33,7 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     if input_bytes is not None:
         wanted = -(-input_bytes // SHUFFLE_BYTES)
         least = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(max(wanted, least), MOST_SHUFFLE_PARTITIONS)))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(wanted, least)))
     return spark
 
 

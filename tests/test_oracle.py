@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as driver
+from tallyline.registry import oracle, queries
 from tests.compare import connect, difference
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,7 @@ def db(sf):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
