@@ -1,22 +1,21 @@
 """Fold call events into one record per contact.
 
 Every field of a record is a least, a greatest or an OR over its events, keyed
-by the order ``(ts, event_id)``. Such folds can be cut anywhere: a contact may
-come out as several partial records, each carrying the order its values were
-seen in, and merging those gives what one fold over all events would have. The
-batch job, the streaming job and the merge below share these definitions.
+by the order ``(ts, event_id)``. Such folds can be cut anywhere: parts of any
+events combine into what one fold over all of them gives, and a contact that is
+reopened comes out as several records, each carrying the order its values were
+seen in, which merge the same way. The batch job, the streaming job and the
+merge below share these definitions. A part has a row per connection whatever
+the number of events; the history of a connection is rows of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.text import proper_case
 from tallyline.functions.time import iso_micros
 from tallyline.operators.dialing import country_of, dialled_number, digits
-from tallyline.operators.skew import attach_small, fits_broadcast
-from tallyline.session import materialise
 
 # The events a contact can report.
 EVENT_TYPES = ["Refresh", "Incoming", "Pending", "Connecting", "Accepted", "Missed", "Connected", "ACW", "Ended",
@@ -26,8 +25,8 @@ STAGES = ["connecting", "connected", "ended", "error"]
 LEG_STATES = ["connecting", "connected", "disconnected"]
 
 PENDING_LIMIT_SECONDS = 86_400
-MAX_RECORD_EVENTS = 100_000
 
+KEYS = ("contactId", "connId")
 ORDER = ("ts", "event_id")
 
 
@@ -71,8 +70,8 @@ def _contact_folds() -> dict[str, tuple[Column, object]]:
     }
 
 
-def _leg_folds() -> dict[str, Column]:
-    """Connection-level folds over events."""
+def _leg_folds() -> dict[str, tuple[Column, object]]:
+    """Connection-level folds over events, likewise."""
     # An agent leg is dialled at the extension, but only a readable extension replaces the endpoint's number.
     reached = (F.col("conn_type") == "agent") & digits(F.col("extension")).isNotNull()
     phone = F.when(reached, F.col("extension")).otherwise(F.col("phone_number")).alias("phone")
@@ -80,14 +79,47 @@ def _leg_folds() -> dict[str, Column]:
     agent = F.struct("extension", "soft_phone_enabled")
     has_agent = F.col("extension").isNotNull() | F.col("soft_phone_enabled").isNotNull()
     return {
-        **{f"l_{s}": F.min(F.when(merges() & (F.col("conn_state") == s), F.col("ts"))) for s in LEG_STATES},
-        "l_last": _last(state, merges()),
-        "l_agent": _last(agent, merges() & has_agent),
-        "l_country": _last(F.col("country"), merges() & F.col("country").isNotNull()),
-        "l_events": F.count_if(merges()),
+        **{f"l_{s}": (F.min(F.when(merges() & (F.col("conn_state") == s), F.col("ts"))), F.min) for s in LEG_STATES},
+        "l_first": (_first(F.struct("conn_state", "active"), merges()), F.min),
+        "l_last": (_last(state, merges()), F.max),
+        "l_agent": (_last(agent, merges() & has_agent), F.max),
+        "l_country": (_last(F.col("country"), merges() & F.col("country").isNotNull()), F.max),
+        "l_events": (F.count_if(merges()), F.sum),
     }
 
 
+def fold_parts(events: DataFrame, prefixes: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """All folds, one row per contact and connection, in the form that ``combine_parts`` goes on with."""
+    folds = _contact_folds() | _leg_folds()
+    return (known_events(events).transform(with_country, prefixes, small)
+            .groupBy(*KEYS).agg(*[fold.alias(n) for n, (fold, _) in folds.items()]))
+
+
+def combine_parts(parts: DataFrame) -> DataFrame:
+    """The parts of different events as one."""
+    folds = _contact_folds() | _leg_folds()
+    return parts.groupBy(*KEYS).agg(*[combine(n).alias(n) for n, (_, combine) in folds.items()])
+
+
+def decide(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Parts with ``completion``, why their contact is complete, or NULL.
+
+    Of contacts that reported nothing but terminal events, those past the
+    time limit go. A window over parts has a row per connection, not per event.
+    """
+    of = Window.partitionBy("contactId")
+    contact = _contact_folds()
+    rest = [c for c in parts.columns if c not in contact]
+    whole = parts.select(*rest, *[combine(n).over(of).alias(n) for n, (_, combine) in contact.items()])
+    opened = F.col("c_start").isNotNull()
+    stale = F.lit(False) if as_of is None else as_of > F.col("c_last") + _limit()
+    return whole.withColumn("completion", F.when(opened, _completion(as_of))).filter(opened | ~stale)
+
+
+def _limit() -> Column:
+    return F.expr(f"INTERVAL {PENDING_LIMIT_SECONDS} SECONDS")
+
+
 def with_country(events: DataFrame, prefixes: DataFrame | None, small: bool | None = None) -> DataFrame:
     """Add the country each event's leg was dialled in; NULL without a prefix table."""
     if prefixes is None:
@@ -98,10 +130,9 @@ def with_country(events: DataFrame, prefixes: DataFrame | None, small: bool | No
 
 def _completion(as_of: Column | None) -> Column:
     """Why a record is complete, or NULL while it is pending."""
-    limit = F.expr(f"INTERVAL {PENDING_LIMIT_SECONDS} SECONDS")
-    aged = F.col("c_last") > F.col("c_start") + limit
+    aged = F.col("c_last") > F.col("c_start") + _limit()
     if as_of is not None:
-        aged = aged | (as_of > F.col("c_start") + limit)
+        aged = aged | (as_of > F.col("c_start") + _limit())
     ended = F.struct("c_ended.ts", "c_ended.event_id")
     return (F.when(F.col("c_error").isNotNull(), "error")
             .when(F.col("c_ended").isNotNull() & (F.col("c_destroyed") > ended), "destroyed")
@@ -132,7 +163,7 @@ def fold_contacts(events: DataFrame, as_of: Column | None = None) -> DataFrame:
 def fold_connections(events: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
     """One flat row per contact and connection."""
     folded = (known_events(events).filter(merges()).transform(with_country, prefixes)
-              .groupBy("contactId", "connId").agg(*[fold.alias(n) for n, fold in _leg_folds().items()]))
+              .groupBy(*KEYS).agg(*[fold.alias(n) for n, (fold, _) in _leg_folds().items()]))
     return folded.select(
         "contactId", "connId", *[iso_micros(f"l_{s}").alias(f"{s}Timestamp") for s in LEG_STATES],
         F.col("l_last.value.conn_type").alias("type"), F.col("l_last.value.active").alias("active"),
@@ -149,46 +180,23 @@ def history(events: DataFrame) -> DataFrame:
         F.col("conn_state").alias("status"), "active")
 
 
-def _parts(events: DataFrame, max_events: int) -> DataFrame:
-    """Deal the events of very busy contacts into parts of about ``max_events``.
-
-    The dealing includes the partition number, so that copies of one event do
-    not all land in the same part, and a retried task deals the same way.
-    """
-    if fits_broadcast(events, max_events):
-        return events.withColumn("part", F.lit(0))
-    busy = materialise(
-        events.groupBy("contactId").count().filter(F.col("count") > max_events)
-        .select("contactId", F.ceil(F.col("count") / max_events).cast("int").alias("_parts")))
-    return (attach_small(events.withColumn("_deal", F.xxhash64("event_id", F.spark_partition_id())), busy, "contactId")
-            .withColumn("part", F.pmod("_deal", F.coalesce("_parts", F.lit(1))).cast("int"))
-            .drop("_deal", "_parts"))
-
-
 def _seen(order: str) -> Column:
     return F.when(F.col(order).isNotNull(), F.struct(
         iso_micros(f"{order}.ts").alias("timestamp"), F.col(f"{order}.event_id").alias("sequence")))
 
 
-def contact_records(events: DataFrame, prefixes: DataFrame | None = None, max_events: int = MAX_RECORD_EVENTS,
-                    small_prefixes: bool | None = None) -> DataFrame:
-    """Nested contact records, in the shape the call-connection table is read with.
+def contact_records(events: DataFrame, prefixes: DataFrame | None = None, as_of: Column | None = None) -> DataFrame:
+    """Nested contact records, in the shape the call-connection table is read with: one per contact.
 
-    A contact with more than ``max_events`` events gives several partial
-    records; no record holds more than about that many history entries. History
-    is kept whole, so combining before the shuffle would save nothing: the
-    events move once, by contact and part, and both groupings use that layout.
+    A connection carries its first history entry and the number of entries;
+    the whole history is rows (``history``).
     """
-    events = (_parts(known_events(events), max_events).transform(with_country, prefixes, small_prefixes)
-              .repartition("contactId", "part"))
-    reason = F.col("reason") if "reason" in events.columns else F.lit(None).cast("string")
+    return records_of(decide(fold_parts(events, prefixes), as_of))
+
+
+def records_of(parts: DataFrame) -> DataFrame:
+    """The records of decided parts."""
     contact = _contact_folds()
-    entry = F.struct(F.col("ts"), F.col("event_id"), F.col("conn_state"), F.col("active"))
-    legs = events.groupBy("contactId", "part", "connId").agg(
-        *[fold.alias(n) for n, (fold, _) in contact.items()],
-        *[fold.alias(n) for n, fold in _leg_folds().items()],
-        F.max(F.when(reason != "overflow", reason)).alias("c_reason"),
-        F.sort_array(F.collect_list(F.when(merges(), entry))).alias("l_history"))
     connection = F.struct(
         F.col("connId").alias("id"),
         *[iso_micros(f"l_{s}").alias(f"{s}Timestamp") for s in LEG_STATES],
@@ -198,17 +206,19 @@ def contact_records(events: DataFrame, prefixes: DataFrame | None = None, max_ev
         F.col("l_last.value.active").cast("string").alias("active"),
         F.struct(F.col("l_last.value.phone").alias("phoneNumber")).alias("endpoint"),
         F.col("l_country.value").alias("endpointCountryISO"),
-        F.transform("l_history", lambda h: F.struct(
-            h["active"].cast("string").alias("active"), h["conn_state"].alias("status"),
-            iso_micros(h["ts"]).alias("timestamp"), h["event_id"].alias("sequence"))).alias("history"),
+        F.array(F.struct(
+            F.col("l_first.value.active").cast("string").alias("active"),
+            F.col("l_first.value.conn_state").alias("status"), iso_micros("l_first.ts").alias("timestamp"),
+            F.col("l_first.event_id").alias("sequence"))).alias("history"),
         iso_micros("l_last.ts").alias("lastUpdate"),
         F.col("l_last.value.conn_state").alias("status"),
         F.col("l_last.value.conn_type").alias("type"),
         F.col("l_last.event_id").alias("sequence"),
-        _seen("l_agent").alias("agentSeen"), _seen("l_country").alias("countrySeen"))
-    records = legs.groupBy("contactId", "part").agg(
+        _seen("l_agent").alias("agentSeen"), _seen("l_country").alias("countrySeen"),
+        F.col("l_events").alias("entries"))
+    records = parts.groupBy("contactId").agg(
         *[combine(n).alias(n) for n, (_, combine) in contact.items()],
-        F.max("c_reason").alias("completion"),
+        F.max("completion").alias("completion"),
         F.sort_array(F.collect_list(F.when(F.col("l_events") > 0, connection))).alias("connections"),
     ).filter(F.col("c_start").isNotNull())
     stages = [F.when(F.col(f"c_{stage}").isNotNull(), F.struct(
@@ -230,11 +240,6 @@ def stage_name(stage: str) -> str:
     return "stage" + stage.capitalize()
 
 
-def stage_column(status: Column | str) -> Column:
-    """The same name, from a status column."""
-    return F.concat(F.lit("stage"), proper_case(status))
-
-
 # Merging partial records. -------------------------------------------------
 
 _SEEN = "struct<timestamp:string, sequence:bigint>"
@@ -247,7 +252,7 @@ connections array<struct<id:string, connectingTimestamp:string, connectedTimesta
   disconnectedTimestamp:string, agentStatus:struct<softPhoneEnabled:boolean, extension:string>, active:string,
   endpoint:struct<phoneNumber:string>, endpointCountryISO:string,
   history:array<struct<active:string, status:string, timestamp:string, sequence:bigint>>, lastUpdate:string,
-  status:string, type:string, sequence:bigint, agentSeen:{_SEEN}, countrySeen:{_SEEN}>>,
+  status:string, type:string, sequence:bigint, agentSeen:{_SEEN}, countrySeen:{_SEEN}, entries:bigint>>,
 stageConnecting {_STAGE}, stageConnected {_STAGE}, stageEnded {_STAGE}, stageError {_STAGE},
 completion string, seen struct<type:{_SEEN}, initialConnectionId:{_SEEN}, destroyed:{_SEEN}>
 """
@@ -285,13 +290,5 @@ def merge_connections(records: DataFrame) -> DataFrame:
         F.max_by(c["agentStatus"]["extension"], c["agentSeen"]).alias("extension"),
         F.max_by(c["agentStatus"]["softPhoneEnabled"], c["agentSeen"]).alias("softPhoneEnabled"),
         F.max_by(c["endpointCountryISO"], c["countrySeen"]).alias("endpointCountryISO"),
-        F.sum(F.size(c["history"])).alias("entries"))
-
+        F.sum(c["entries"]).alias("entries"))
 
-def merge_history(records: DataFrame) -> DataFrame:
-    """``history`` from partial records."""
-    return (records.select("contactId", F.explode("connections").alias("c"))
-            .select("contactId", F.col("c.id").alias("connId"), F.explode("c.history").alias("h"))
-            .select("contactId", "connId", F.col("h.sequence").alias("sequence"),
-                    F.col("h.timestamp").alias("timestamp"), F.col("h.status").alias("status"),
-                    F.col("h.active").cast("boolean").alias("active")))

@@ -329,16 +329,13 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Streamed call events. -----------------------------------------------------------
 
-# Days of the month at which the replay is cut.
-SLICES = [(1, 10), (11, 20), (21, 31)]
-
-EVENTS_PER_PARTITION = 200_000
+ARRIVALS = 3
 
 
 def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Replay the call events through the streaming fold, in time order.
+    """Replay the call events through the streaming fold, in as many arrivals of equal time span.
 
-    Each slice lands, the job runs until it has caught up, and stops; the next
+    Each arrival lands, the job runs until it has caught up, and stops; the next
     run resumes from the checkpoint. One event of an otherwise unknown contact,
     long after the others, moves the clock on so that every record times out.
     """
@@ -346,30 +343,39 @@ def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         configure(spark)
         source, records, submitted, offsets = (scratch(spark, n) for n in ("calls", "records", "submitted", "offsets"))
         events = call_events(spark, sf_dir)
-        # State partitions in step with the log, between the cores at hand and the session's shuffle setting.
-        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = min(most, max(spark.sparkContext.defaultParallelism, events.count() // EVENTS_PER_PARTITION))
-        for first, last in SLICES:
-            write_slice(events.filter(F.dayofmonth("ts").between(first, last)), source)
-            _run(spark, source, records, submitted, offsets, partitions)
+        us = F.unix_micros("ts")
+        first, last = events.agg(F.min(us), F.max(us)).first()
+        step = (((last or 0) - (first or 0)) // ARRIVALS) + 1
+        for arrival in range(ARRIVALS):
+            write_slice(events.filter(F.floor((us - (first or 0)) / step) == arrival), source)
+            _run(spark, source, records, submitted, offsets)
         write_slice(last_event(events), source)
-        _run(spark, source, records, submitted, offsets, partitions)
+        _run(spark, source, records, submitted, offsets)
         return {"records": records, "submitted": submitted}
     return landed(spark, sf_dir, "contact_stream", build)
 
 
+CLOCK_CONTACT = "clock"
+
+
 def last_event(events: DataFrame) -> DataFrame:
     """One event far in the future, of a contact of its own."""
     late = F.max("ts") + F.expr("INTERVAL 100 DAYS")
     return events.agg(late.alias("ts")).select(
-        F.lit("clock").alias("contactId"), F.lit(-1).cast("bigint").alias("event_id"),
+        F.lit(CLOCK_CONTACT).alias("contactId"), F.lit(-1).cast("bigint").alias("event_id"),
         F.lit("Refresh").alias("event_type"), "ts", F.lit("connected").alias("status"), F.lit("k0").alias("connId"))
 
 
-def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, partitions: int) -> None:
+def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str) -> None:
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
-    stream_contacts(events, records, submitted, offsets, clock="ts", delay="0 seconds",
-                    prefixes=dial_prefixes(spark), once=True, partitions=partitions).awaitTermination()
+    stream_contacts(events, records, submitted, offsets, clock="ts", prefixes=dial_prefixes(spark),
+                    once=True).awaitTermination()
+
+
+def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit trail of the streaming fold, without the event that moved the clock on."""
+    stored = spark.read.parquet(streamed_contacts(spark, sf_dir)["submitted"])
+    return stored.filter(F.col("contactId") != CLOCK_CONTACT)
 
 
 def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:

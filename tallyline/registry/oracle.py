@@ -416,7 +416,7 @@ def oracle_sql() -> dict[str, str]:
         "STR-14": _of(EVENTS, "SELECT count(DISTINCT contact) AS contacts, count(*) AS entries FROM ev WHERE merging"),
         "STR-15": _of(EVENTS, 'SELECT contact AS "contactId", count(*) AS entries FROM ev WHERE merging GROUP BY contact'),
         "STR-16": "WITH " + HISTORY,
-        "STR-17": _of(EVENTS, 'SELECT contact AS "contactId", count(*) AS submitted FROM ev WHERE merging GROUP BY contact'),
+        "STR-17": _of(EVENTS, 'SELECT contact AS "contactId", count(*) AS submitted FROM ev GROUP BY contact'),
         "STR-18": _of(CONNECTION_FOLD, "SELECT * FROM connections_out"),
         "FN-1": _ct('contact_id AS "ContactId", epoch_us(CAST(disconnected AS timestamptz)) AS micros'),
         "FN-2": _ct('contact_id AS "ContactId", epoch_us(CAST(disconnected AS timestamptz)) / 1e6 AS unixtime'),

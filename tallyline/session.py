@@ -37,14 +37,6 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     return spark
 
 
-# Keyed state that outgrows executor memory, with small incremental checkpoints.
-STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
-
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Settings for what starts inside the block. A streaming query keeps the

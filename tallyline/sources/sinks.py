@@ -33,10 +33,22 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     (df.write.mode(mode).option("compression", "none").option("timestampFormat", EVENT_TIME_FORMAT).json(path))
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json") -> str:
+def each_batch(store):
+    """``store(batch, batch_id, run)`` as a function for ``foreachBatch``.
+
+    ``run`` is the id of the streaming query, which its checkpoint keeps: the
+    same after a restart, another under a new checkpoint.
+    """
+    def call(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+    return call
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json", run: str | None = None) -> str:
     """Write one micro-batch to its own folder. A replay overwrites it, so the
-    folder holds each batch once however often it is retried."""
-    target = f"{path}/batch={batch_id}"
+    folder holds each batch once however often it is retried. An empty batch
+    is written too, so that a replay that turns out empty leaves nothing behind."""
+    target = f"{path}/batch={batch_id}" if run is None else f"{path}/run={run}/batch={batch_id}"
     writer = df.write.mode("overwrite")
     if fmt == "json":
         writer = writer.option("timestampFormat", EVENT_TIME_FORMAT)
@@ -57,7 +69,7 @@ def write_chat_usage(usage: DataFrame, path: str) -> None:
 
 def current_chat_usage(batches: DataFrame) -> DataFrame:
     """Current state of the batch folders ``stream_chat_usage`` writes."""
-    return latest_by_key(batches, CHAT_KEYS, "batch", "written", "source_object").select(
+    return latest_by_key(batches, CHAT_KEYS, "written", "batch", "source_object").select(
         *CHAT_KEYS, "system_msg", "customer_msg", "agent_msg", "total_msg")
 
 

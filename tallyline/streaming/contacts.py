@@ -1,91 +1,79 @@
-"""Streaming fold of call events: hold a contact's events until it completes.
-
-The keyed state does one thing, which is to decide when a contact is complete.
-Until then its events wait in the state as JSON text; when it completes they
-are released and folded by the same built-in aggregates the batch job uses.
+"""Streaming fold of call events into contact records.
+
+The state is a table with the partial fold of every contact that is not yet
+complete: a row per connection, however many events it had. Each micro-batch
+folds its own events, combines them with the table, emits the contacts that are
+complete and stores the rest. All of it is the batch job's built-in aggregates,
+so a busy contact is combined in every task before it moves, and nothing
+depends on the order that events arrive in: an event of a contact that is
+already out opens another record, and the records of a contact merge.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tallyline.operators.contact_fold import MAX_RECORD_EVENTS, contact_records, known_events, merges
+from tallyline.operators.contact_fold import combine_parts, decide, fold_parts, known_events, records_of
 from tallyline.operators.skew import fits_broadcast
-from tallyline.session import STATE_CONF, settings
-from tallyline.sources import schemas
-from tallyline.sources.landing import EVENT_TIME_FORMAT
-from tallyline.sources.sinks import write_batch, write_json
-from tallyline.streaming.tasks import hold_until_complete, route_busy
+from tallyline.sources.sinks import each_batch, write_batch, write_json
 
 EMIT_INTERVAL = "300 seconds"
 
-_ROUTED = "contactId string, lane int, ts timestamp, event_id bigint, kind string, clock timestamp, payload string"
-_RELEASED = "contactId string, payload string, reason string"
-_STATE = ("first_ms bigint, last_ms bigint, ended_us bigint, ended_id bigint, destroyed_us bigint, "
-          "destroyed_id bigint, error boolean, held array<string>")
-
-
-def _kind() -> Column:
-    """What an event means for completion."""
-    return (F.when(F.col("event_type") == "Destroyed", "destroyed")
-            .when(~merges(), "terminal")
-            .when(F.col("status").isin("ended", "error"), F.col("status"))
-            .otherwise("update"))
-
-
-def release_completed(events: DataFrame, clock: str | None = None, delay: str = "0 seconds") -> DataFrame:
-    """Stream of events released when their contact completes.
-
-    ``clock`` is a column that never runs backwards by more than ``delay``,
-    such as an arrival time; it drives the abandonment timeout. The default is
-    the time of the micro-batch, by which no event is ever too late.
-    """
-    now = F.current_timestamp() if clock is None else F.col(clock)
-    payload = F.to_json(F.struct("*"), {"timestampFormat": EVENT_TIME_FORMAT})
-    shaped = known_events(events).select(
-        "contactId", "ts", "event_id", _kind().alias("kind"), now.alias("clock"), payload.alias("payload"))
-    return (shaped.mapInPandas(route_busy, _ROUTED)
-            .withWatermark("clock", delay)
-            .groupBy("contactId", "lane")
-            .applyInPandasWithState(hold_until_complete, _RELEASED, _STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
-def released_events(released: DataFrame) -> DataFrame:
-    event = F.from_json("payload", schemas.CALL_EVENT, {"timestampFormat": EVENT_TIME_FORMAT})
-    return released.select(event.alias("e"), "reason").select("e.*", "reason")
-
 
 def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, clock: str | None = None,
-                    delay: str = "0 seconds", prefixes: DataFrame | None = None, once: bool = False,
-                    max_events: int = MAX_RECORD_EVENTS, partitions: int | None = None) -> StreamingQuery:
-    """Fold a stream of call events into contact records.
-
-    Each micro-batch first stores the events it submits, which is also the
-    audit trail, then folds them from there. Both folders are keyed by batch
-    number and overwritten on replay, so every event lands exactly once.
-    ``partitions`` is how many the state is divided into, for the life of the
-    checkpoint; the session's shuffle setting decides if it is not given.
+                    prefixes: DataFrame | None = None, once: bool = False) -> StreamingQuery:
+    """Fold a stream of call events into contact records under ``path``.
+
+    Each micro-batch first stores its events under ``submitted``: that is the
+    audit trail, and the source of the connection history. ``clock`` is the
+    column that ages contacts, such as an arrival time; the greatest value seen
+    counts, and no event is ever too late for it. The default is the time of
+    the micro-batch. Contacts age when a micro-batch runs, so a feed that falls
+    silent releases its last ones with its next event.
+
+    The folders of records and events are keyed by query and batch and
+    overwritten on replay. The state lies under the checkpoint, in two folders
+    by turns: a batch reads the one before it and writes the other, so a replay
+    finds what its first attempt found.
     """
     small = None if prefixes is None else fits_broadcast(prefixes)
 
-    def submit(released: DataFrame, batch_id: int) -> None:
-        target = write_batch(released, submitted, batch_id, "parquet")
-        stored = released.sparkSession.read.schema(_RELEASED).parquet(target)
-        if not stored.isEmpty():
-            write_batch(contact_records(released_events(stored), prefixes, max_events, small), path, batch_id)
-
-    writer = (release_completed(events, clock, delay).writeStream
-              .foreachBatch(submit).outputMode("append").option("checkpointLocation", checkpoint))
+    def submit(batch: DataFrame, batch_id: int, run: str) -> None:
+        spark = batch.sparkSession
+        now = F.current_timestamp() if clock is None else F.col(clock)
+        arrived = known_events(batch).withColumn("_clock", now)
+        target = write_batch(arrived, submitted, batch_id, "parquet", run)
+        stored = spark.read.schema(arrived.schema).parquet(target)
+
+        parts = fold_parts(stored, prefixes, small)
+        schema = T.StructType(parts.schema.fields + [
+            T.StructField("completion", T.StringType()), T.StructField("clock_us", T.LongType()),
+            T.StructField("pending", T.BooleanType())])
+        latest = stored.agg(F.max(F.unix_micros("_clock"))).first()[0]
+        if batch_id > 0:
+            held = spark.read.schema(schema).parquet(_slot(checkpoint, batch_id - 1)).filter("pending")
+            before = held.agg(F.max("clock_us")).first()[0]
+            latest = max((us for us in (latest, before) if us is not None), default=None)
+            parts = combine_parts(parts.unionByName(held.select(parts.columns)))
+        as_of = F.timestamp_micros(F.lit(latest).cast("bigint"))
+        decided = decide(parts, as_of).withColumns({
+            "clock_us": F.lit(latest).cast("bigint"), "pending": F.col("completion").isNull()})
+        slot = _slot(checkpoint, batch_id)
+        decided.select(schema.names).write.mode("overwrite").partitionBy("pending").parquet(slot)
+        done = spark.read.schema(schema).parquet(slot).filter(~F.col("pending"))
+        write_batch(records_of(done), path, batch_id, run=run)
+
+    writer = (events.writeStream.foreachBatch(each_batch(submit)).outputMode("append")
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=EMIT_INTERVAL)
-    conf = dict(STATE_CONF)
-    if partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(partitions)
-    with settings(events.sparkSession, conf):
-        return writer.start()
+    return writer.start()
+
+
+def _slot(checkpoint: str, batch_id: int) -> str:
+    return f"{checkpoint}/fold/slot={batch_id % 2}"
 
 
 def write_slice(events: DataFrame, path: str) -> None:

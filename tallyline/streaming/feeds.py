@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.messages import count_messages
 from tallyline.sources.landing import stream_json, stream_transcripts
-from tallyline.sources.sinks import BUFFER_INTERVAL, append_stream, write_batch
+from tallyline.sources.sinks import BUFFER_INTERVAL, append_stream, each_batch, write_batch
 
 
 def land_feed(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, fmt: str = "parquet",
@@ -23,10 +23,10 @@ def stream_chat_usage(spark: SparkSession, source: str, path: str, checkpoint: s
     A transcript written again is counted again, in a later batch; readers
     take the last version (``sinks.current_chat_usage``).
     """
-    def store(usage: DataFrame, batch_id: int) -> None:
-        write_batch(usage, path, batch_id, "parquet")
+    def store(usage: DataFrame, batch_id: int, run: str) -> None:
+        write_batch(usage, path, batch_id, "parquet", run)
 
     writer = (count_messages(stream_transcripts(spark, source)).writeStream
-              .foreachBatch(store).outputMode("append").option("checkpointLocation", checkpoint))
+              .foreachBatch(each_batch(store)).outputMode("append").option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=BUFFER_INTERVAL)
     return writer.start()

@@ -4,15 +4,13 @@ import random
 import tempfile
 from datetime import datetime, timedelta, timezone
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators import contact_fold as fold
 from tallyline.registry import fixtures as fx
 from tallyline.sources import landing, schemas
-from tallyline.streaming import tasks
-from tallyline.streaming.contacts import release_completed, stream_contacts, write_slice
+from tallyline.streaming.contacts import stream_contacts, write_slice
 
 START = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -44,7 +42,6 @@ def same_fold(records, events, prefixes=None):
     same(contacts, fold.fold_contacts(events).select(contacts.columns))
     connections = fold.merge_connections(records)
     same(connections, fold.fold_connections(events, prefixes).select(connections.columns))
-    same(fold.merge_history(records), fold.history(events))
 
 
 def test_first_last_and_or(spark):
@@ -105,19 +102,20 @@ def test_partial_records_merge_to_one_fold(spark, sf):
     same_fold(fold.contact_records(events, prefixes), events, prefixes)
 
 
-def test_busy_contacts_come_in_parts(spark):
+def test_parts_combine_however_the_events_are_cut(spark):
     rng = random.Random(7)
     kinds = [("Connecting", "connecting"), ("Connected", "connected"), ("ACW", "ended"), ("Destroyed", "ended")]
     rows = [event("hot", i, *rng.choice(kinds), leg=f"k{i % 5}", state=rng.choice(["connecting", "connected", "hold"]))
             for i in range(600)]
     rows += [event(f"u{i}", 1000 + i, "Connected") for i in range(300)]
     rows += [rows[0]] * 300  # copies of one event
-    events = frame(spark, rows).repartition(4)
-    records = fold.contact_records(events, max_events=100)
-    sizes = records.groupBy("contactId").agg(F.count("*").alias("n")).collect()
-    parts = {r.contactId: r.n for r in sizes}
-    assert parts["hot"] > 5 and all(n == 1 for key, n in parts.items() if key != "hot")
-    same_fold(records, events)
+    rng.shuffle(rows)
+    parts = fold.fold_parts(frame(spark, rows[:500]))
+    for at in range(500, len(rows), 400):
+        parts = fold.combine_parts(parts.union(fold.fold_parts(frame(spark, rows[at:at + 400]))))
+    records = fold.records_of(fold.decide(parts))
+    assert records.count() == 301
+    same_fold(records, frame(spark, rows))
 
 
 def folders():
@@ -125,11 +123,11 @@ def folders():
     return tuple(f"{root}/{n}" for n in ("calls", "records", "submitted", "offsets"))
 
 
-def replay(spark, slices, where=None):
+def replay(spark, slices, where=None, max_files=landing.MAX_FILES_PER_BATCH):
     source, records, submitted, offsets = where or folders()
     for rows in slices:
         write_slice(frame(spark, rows).coalesce(1), source)
-        events = landing.stream_json(spark, source, schemas.CALL_EVENT)
+        events = landing.stream_json(spark, source, schemas.CALL_EVENT, max_files)
         stream_contacts(events, records, submitted, offsets, clock="ts", once=True).awaitTermination()
     schema = schemas.struct(fold.RECORD)
     return spark.read.schema(schema).json(records)
@@ -173,7 +171,7 @@ def test_pending_contacts_wait_and_survive_a_restart(spark):
     assert {r.contactId for r in first.collect()} == {"done", "broken", "late"}
     again = replay(spark, [[event("young", 3000, "ACW", "ended", minutes=1500)]], where)
     young = again.filter("contactId = 'young'").collect()
-    assert len(young) == 1 and len(young[0].connections[0].history) == 2
+    assert len(young) == 1 and young[0].connections[0].entries == 2
     assert again.count() == 5
 
 
@@ -185,34 +183,53 @@ def test_event_after_completion_opens_another_record(spark):
     same_fold(records, frame(spark, rows + later))
 
 
-def test_busy_contact_passes_the_state_by(spark):
-    rows = [event("hot", i, "Connected", leg=f"k{i % 3}") for i in range(1500)]
-    rows += [event("hot", 1500, "ACW", "ended"), event("hot", 1501, "Destroyed", "ended")]
-    rows += [event(f"u{i}", 2000 + i, "Refresh", "error") for i in range(50)]
-    records = replay(spark, [rows])
-    assert records.filter("contactId = 'hot'").count() >= 1
-    same_fold(records, frame(spark, rows))
-
-
-def test_routing_keeps_every_event_once():
-    rows = [("hot", i, "update") for i in range(400)] + [("hot", 400, "ended"), ("hot", 401, "destroyed")]
-    rows += [("cold", 500 + i, "update") for i in range(3)]
-    pdf = pd.DataFrame(rows, columns=["contactId", "event_id", "kind"])
-    pdf = pdf.assign(ts=pd.Timestamp(0), clock=pd.Timestamp(0), payload=pdf["event_id"].astype(str))
-    out = pd.concat(tasks.route_busy(iter([pdf.sample(frac=1, random_state=1)])))
-    assert sorted(out["event_id"]) == sorted(pdf["event_id"])
-    held = out[out["lane"] == 0]
-    assert set(held[held["contactId"] == "hot"]["event_id"]) == {0, 400, 401}
-    assert len(held[held["contactId"] == "cold"]) == 3
-    assert out[out["lane"] > 0]["lane"].nunique() == tasks.LANES
-
-
-def test_held_events_are_released_early(spark, monkeypatch):
-    monkeypatch.setattr(tasks, "MAX_HELD", 20)
-    rows = [event("a", i, "Connected") for i in range(50)] + [event("a", 60, "ACW", "ended")]
-    records = replay(spark, [rows, [event("a", 61, "Destroyed", "ended"), event("a", 62, "Connected")], [LAST]])
-    assert [r.completion for r in records.orderBy("initialTimestamp").collect()] == [None, "destroyed"]
-    same_fold(records, frame(spark, rows + [event("a", 62, "Connected")]))
+def test_busy_contact_gives_one_complete_record(spark):
+    """The state and the record have a row per connection, whatever the number of events."""
+    where = folders()
+    hot = frame(spark, [event("hot", 0, "Connected")]).drop("event_id", "ts", "connId")
+    hot = hot.crossJoin(spark.range(200_000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_714_521_600) + F.col("id") % 40_000).alias("ts"),
+        F.concat(F.lit("k"), F.col("id") % 3).alias("connId"))).select(schemas.struct(schemas.CALL_EVENT).names)
+    write_slice(hot, where[0])
+    ends = [event("hot", 200_001, "ACW", "ended", minutes=700), event("hot", 200_002, "Destroyed", "ended", minutes=701)]
+    records = replay(spark, [ends], where, max_files=1)
+    assert [r.completion for r in records.collect()] == ["destroyed"]
+    same_fold(records, hot.union(frame(spark, ends)))
+    held = spark.read.parquet(f"{where[3]}/fold").groupBy("slot").count()
+    assert max(r["count"] for r in held.collect()) == 3
+
+
+def test_files_in_any_order_and_one_to_a_batch(spark, sf):
+    events = fx.call_events(spark, sf)
+    source, records, submitted, offsets = folders()
+    write_slice(events.repartition(6, F.xxhash64("event_id")), source)
+    stream = landing.stream_json(spark, source, schemas.CALL_EVENT, max_files=1)
+    stream_contacts(stream, records, submitted, offsets, clock="ts", prefixes=fx.dial_prefixes(spark),
+                    once=True).awaitTermination()
+    write_slice(fx.last_event(events), source)
+    stream_contacts(stream, records, submitted, offsets, clock="ts", prefixes=fx.dial_prefixes(spark),
+                    once=True).awaitTermination()
+    mine = F.col("contactId") != fx.CLOCK_CONTACT
+    same_fold(spark.read.schema(schemas.struct(fold.RECORD)).json(records).filter(mine), events, fx.dial_prefixes(spark))
+    stored = spark.read.parquet(submitted).filter(mine)
+    assert stored.select("batch").distinct().count() > 3
+    same(fold.history(stored), fold.history(events))
+
+
+def test_a_terminal_event_may_come_first(spark):
+    rows = [event("a", 1, "ACW", "ended"), event("a", 2, "Destroyed", "ended")]
+    records = replay(spark, [rows[1:], rows[:1]])
+    assert [r.completion for r in records.collect()] == ["destroyed"]
+
+
+def test_a_new_checkpoint_keeps_older_results(spark):
+    where = folders()
+    first = replay(spark, [scenario()], where)
+    before = {tuple(r) for r in first.select("contactId", "completion").collect()}
+    replay(spark, [[event("more", 1, "Refresh", "error")]], (folders()[0], *where[1:3], folders()[3]))
+    after = [tuple(r) for r in spark.read.schema(schemas.struct(fold.RECORD)).json(where[1])
+             .select("contactId", "completion").collect()]
+    assert set(after) == before | {("more", "error")} and len(after) == len(set(after))
 
 
 def test_arrival_clock_needs_no_column(spark):
@@ -221,10 +238,7 @@ def test_arrival_clock_needs_no_column(spark):
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
     stream_contacts(events, records, submitted, offsets, once=True).awaitTermination()
     assert spark.read.json(records).count() == 1
-    assert release_completed(events).isStreaming
 
 
-def test_stage_names(spark):
-    df = spark.createDataFrame([("connecting",), ("after_call work",)], "s string")
-    assert [r[0] for r in df.select(fold.stage_column("s")).collect()] == ["stageConnecting", "stageAfter_call Work"]
+def test_stage_names():
     assert fold.stage_name("ended") == "stageEnded"
