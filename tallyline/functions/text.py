@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.time import _column
 
@@ -60,13 +64,39 @@ def split_objects(text: Column | str) -> Column:
     text = _column(text)
     pieces = F.regexp_extract_all(text, F.lit(ONE_OBJECT), F.lit(0))
     whole = F.length(F.array_join(pieces, "")) == F.length(text)
-    return F.when(whole, F.filter(F.transform(pieces, lambda p: F.trim(p)), lambda p: p != "")).otherwise(F.array(text))
+    split = F.when(whole, F.filter(F.transform(pieces, lambda p: F.trim(p)), lambda p: p != "")).otherwise(F.array(text))
+    single = ~text.rlike(r"\}\s*\{") & (F.trim(text) != "")
+    return F.when(single, F.array(text)).otherwise(split)
+
+
+def split_batch(text: Column | str) -> Column:
+    """The comma-joined JSON values of a batch, cut where brackets outside string literals are closed.
+
+    What stays open to the end is the last piece, so nothing is lost.
+    """
+    def closed(piece: Column) -> Column:
+        bare = F.regexp_replace(piece, r'"(?:[^"\\]++|\\.)*+"', "")
+        return (~bare.contains('"') & (F.regexp_count(bare, F.lit(r"\{")) == F.regexp_count(bare, F.lit(r"\}")))
+                & (F.regexp_count(bare, F.lit(r"\[")) == F.regexp_count(bare, F.lit(r"\]"))))
+
+    def add(seen: Column, part: Column) -> Column:
+        now = F.concat_ws(",", seen["open"], part)
+        return F.when(closed(now), F.struct(
+            F.concat(seen["done"], F.array(now)).alias("done"), F.lit(None).cast("string").alias("open"))).otherwise(
+            F.struct(seen["done"].alias("done"), now.alias("open")))
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("open"))
+    return F.aggregate(F.split(_column(text), ","), start, add,
+                       lambda s: F.when(s["open"].isNull(), s["done"]).otherwise(F.concat(s["done"], F.array(s["open"]))))
 
 
-def parse_objects(text: Column | str, schema: str) -> Column:
+def parse_objects(text: Column | str, schema: str | T.StructType, options: dict[str, str] | None = None) -> Column:
     """Array of the comma-joined JSON objects in ``text``; NULL if malformed, empty if blank.
 
     Wrapping in brackets matters: parsed on its own, a line keeps its first
-    object and drops the others without a sign.
+    object and drops the others without a sign. An object with none of the
+    declared fields is NULL in the array.
     """
-    return F.from_json(F.concat(F.lit("["), F.trim(_column(text)), F.lit("]")), f"array<struct<{schema}>>")
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    found = F.from_json(F.concat(F.lit("["), F.trim(_column(text)), F.lit("]")), T.ArrayType(kind), options)
+    return F.transform(found, lambda o: F.when(reduce(or_, [o[f].isNotNull() for f in kind.names]), o))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyline.functions.text import from_base64, parse_objects, percent_decode, split_objects, to_base64
+from tallyline.functions.text import from_base64, parse_objects, percent_decode, split_batch, split_objects, to_base64
 
 OK = "Ok"
 FAILED = "ProcessingFailed"
@@ -26,12 +27,13 @@ def split_records(lines: DataFrame, value: str = "value") -> DataFrame:
     return unnest(lines.withColumn("_pieces", split_objects(value)), "_pieces", value, rest)
 
 
-def parse_records(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
+def parse_records(lines: DataFrame, schema: str | T.StructType, value: str = "value",
+                  options: dict[str, str] | None = None) -> DataFrame:
     """Tag each line ``Ok`` or ``ProcessingFailed``, keeping its text either way.
 
     ``records`` holds the parsed objects, NULL where parsing failed.
     """
-    return lines.withColumn("records", parse_objects(value, schema)).withColumn(
+    return lines.withColumn("records", parse_objects(value, schema, options)).withColumn(
         "result", F.when(F.size(F.array_compact("records")) > 0, OK).otherwise(FAILED))
 
 
@@ -46,9 +48,9 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("result") == FAILED).drop("records")
 
 
-def repair(lines: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+def repair(lines: DataFrame, schema: str | T.StructType, options: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Raw lines to (records, dead letters)."""
-    parsed = lines.transform(split_records).transform(parse_records, schema)
+    parsed = lines.transform(split_records).transform(parse_records, schema, options=options)
     return accepted(parsed), rejected(parsed)
 
 
@@ -79,9 +81,19 @@ def check_envelope(lines: DataFrame, body: str = "body") -> DataFrame:
 
 
 def unwrap_batch(envelopes: DataFrame, schema: str, data: str = "data") -> DataFrame:
-    """Parse the base64 batch of comma-joined objects in each envelope."""
-    return (envelopes.withColumn("value", from_base64(data)).drop(data)
-            .transform(parse_records, schema))
+    """Parse the base64 batch of comma-joined objects in each envelope.
+
+    A batch that does not parse as a whole is cut into its objects, so that a
+    bad one does not void the others; a batch that does not decode keeps its
+    text. ``rejected`` gives what failed.
+    """
+    text = from_base64(data)
+    rows = envelopes.withColumn("_text", F.coalesce(text, F.col(data), F.lit("")))
+    broken = text.isNotNull() & parse_objects("_text", schema).isNull()
+    rest = [c for c in envelopes.columns if c != data]
+    pieces = F.when(broken, split_batch("_text")).otherwise(F.array("_text"))
+    cut = unnest(rows.withColumn("_pieces", pieces), "_pieces", "value", rest)
+    return cut.transform(parse_records, schema)
 
 
 def wrap_batch(records: DataFrame, *objects: str) -> DataFrame:

@@ -24,11 +24,11 @@ TABLES = {
 def register_tables(spark: SparkSession, **paths: str) -> None:
     """Expose landing folders as views, such as ``contact_records="s3a://…/contacts"``.
 
-    Names are matched without regard to case in SQL, as the session's default is.
+    Names are matched without regard to case, in SQL as the session's default is, and in the records.
     """
     configure(spark)
     for name, path in paths.items():
-        publish_view(TABLES[name](spark, path), name)
+        publish_view(TABLES[name](spark, path, any_spelling=True), name)
 
 
 def register_reports(spark: SparkSession, contact_records: str, call_connections: str, chat_usage: str) -> None:
@@ -37,9 +37,9 @@ def register_reports(spark: SparkSession, contact_records: str, call_connections
     Each report reads with a schema of just the fields it uses.
     """
     configure(spark)
-    contacts = landing.contact_records(spark, contact_records, reports.CONTACT_FIELDS)
-    connections = landing.call_connections(spark, call_connections, LEG_FIELDS)
-    chats = landing.chat_usage(spark, chat_usage)
+    contacts = landing.contact_records(spark, contact_records, reports.CONTACT_FIELDS, any_spelling=True)
+    connections = landing.call_connections(spark, call_connections, LEG_FIELDS, any_spelling=True)
+    chats = landing.chat_usage(spark, chat_usage, any_spelling=True)
     for name, report in report_frames(contacts, connections, chats).items():
         publish_view(report, name)
 

@@ -278,15 +278,40 @@ def streamed_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcript counts stored by the streaming job."""
     def build(path: str) -> None:
         source = landed_transcripts(spark, sf_dir)
-        stream_chat_usage(spark, source, path, scratch(spark, "offsets"), once=True).awaitTermination()
-    return spark.read.parquet(landed(spark, sf_dir, "chat_stream", build))
+        stream_chat_usage(spark, source, path, scratch(spark, "errors"), scratch(spark, "offsets"),
+                          once=True).awaitTermination()
+    return landing.chat_usage(spark, landed(spark, sf_dir, "chat_stream", build))
 
 
-def streamed_feed(spark: SparkSession, sf_dir: str, name: str, source: str, schema: str, fmt: str) -> DataFrame:
+def rewritten_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after each transcript arrived twice, first without its items."""
     def build(path: str) -> None:
-        land_feed(spark, source, schema, path, scratch(spark, "offsets"), fmt, once=True).awaitTermination()
-    path = landed(spark, sf_dir, f"feed_{name}", build)
-    return spark.read.schema(schemas.struct(schema)).format(fmt).load(path)
+        source, errors, offsets = (scratch(spark, n) for n in ("transcripts", "errors", "offsets"))
+        whole = transcripts(spark, sf_dir)
+        for version in (whole.withColumn("Transcript", F.slice("Transcript", 1, 0)), whole):
+            (version.select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"))
+             .write.mode("append").partitionBy("contact").text(source))
+            stream_chat_usage(spark, source, path, errors, offsets, once=True).awaitTermination()
+    return landing.chat_usage(spark, landed(spark, sf_dir, "chat_rewritten", build))
+
+
+def streamed_feed(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame, schema: str,
+                  fmt: str) -> tuple[DataFrame, DataFrame]:
+    """What ``land_feed`` makes of lines that are run together or cut off: (records, rejects)."""
+    def build(path: str) -> dict[str, str]:
+        source, table_path, errors = (scratch(spark, n) for n in ("wire", "table", "errors"))
+        lines.write.text(source)
+        land_feed(spark, source, schema, table_path, errors, scratch(spark, "offsets"), fmt, once=True).awaitTermination()
+        return {"table": table_path, "errors": errors}
+    made = landed(spark, sf_dir, f"feed_{name}", build)
+    return (spark.read.schema(schemas.struct(schema)).format(fmt).load(made["table"]), spark.read.text(made["errors"]))
+
+
+def run_together(df: DataFrame, key: str) -> DataFrame:
+    """Each row as JSON twice in a line, the copy under another key, after a line of its first 20 bytes."""
+    one, two = F.to_json(F.struct("*")), F.to_json(F.struct(*[
+        F.concat(F.col(c), F.lit("x")).alias(c) if c == key else F.col(c) for c in df.columns]))
+    return df.select(F.concat(F.substring(one, 1, 20), F.lit("\n"), one, two).alias("value"))
 
 
 # Raw wire forms. -----------------------------------------------------------------

@@ -323,7 +323,8 @@ def oracle_sql() -> dict[str, str]:
             '2017-10-01' AS "Version", CASE WHEN event_id % 3 = 0 THEN 'Available' ELSE 'Busy' END AS status,
             {iso('epoch_us(ts) // 1000 * 1000')} AS status_since, '{{"Level1":"g' || (user_id % 3) || '"}}' AS groups,
             'user' || user_id AS username, 'profile-' || (event_id % 4) AS profile,
-            CAST(event_id % 3 AS INTEGER) AS chat_slots, 'q' || (event_id % 5) AS inbound_queue, 'VOICE,CHAT' AS channels,
+            'VOICE:' || (event_id % 2) || ':1,CHAT:' || (event_id % 3) || ':2' AS slots,
+            'q' || (event_id % 5) AS inbound_queues, 'VOICE,CHAT' AS channels,
             '{{"ContactId":"c' || event_id || '"}}' AS contact_json,
             CASE WHEN event_id % 4 <> 0 THEN CASE WHEN event_id % 3 = 2 THEN 'Available' ELSE 'Busy' END END AS previous_status,
             CASE WHEN event_id % 4 <> 0 THEN 'g' || (user_id % 3) || ',all' END AS previous_groups,
@@ -332,16 +333,17 @@ def oracle_sql() -> dict[str, str]:
         "SRC-4": CHAT_DOCS,
         "SRC-5": _of(DOCUMENTS, """SELECT contact_id AS "ContactId", 'instance-1' AS "InstanceId",
             CAST(len(lines) AS INTEGER) AS items,
-            (SELECT type FROM items f WHERE f.conv_id = d1.conv_id AND f.turn = d1.turn AND i = 0) AS first_type,
-            (SELECT speaker FROM items f WHERE f.conv_id = d1.conv_id AND f.turn = d1.turn AND i = 0) AS first_role
+            coalesce((SELECT string_agg(type, ',' ORDER BY i) FROM items f WHERE f.conv_id = d1.conv_id AND f.turn = d1.turn), '') AS types,
+            coalesce((SELECT string_agg(speaker, ',' ORDER BY i) FROM items f WHERE f.conv_id = d1.conv_id AND f.turn = d1.turn), '') AS roles
             FROM d1"""),
         "SRC-6": CHAT_DOCS,
-        "SRC-7": f"""SELECT 'e' || event_id AS "EventId", {iso('epoch_us(ts) // 1000 * 1000')} AS "EventTimestamp",
-            event_type AS "EventType", 'agent-' || user_id AS "AgentARN" FROM events""",
+        "SRC-7": f"""SELECT 'e' || event_id || twin AS "EventId", {iso('epoch_us(ts) // 1000 * 1000')} AS "EventTimestamp",
+            event_type AS "EventType", 'agent-' || user_id AS "AgentARN" FROM events, (VALUES (''), ('x')) t(twin)""",
         "SRC-8": _of(LEGS, """SELECT contact_id, conn_id, country AS "endpointCountryISO",
             CAST(softphone AS INTEGER) AS softphone FROM legs"""),
-        "SNK-1": _ct("""contact_id AS "ContactId", channel AS "Channel", initiated AS "InitiationTimestamp",
-            disconnected AS "DisconnectTimestamp" """),
+        "SNK-1": _of(CONTACTS, """SELECT contact_id || twin AS "ContactId", channel AS "Channel",
+            initiated AS "InitiationTimestamp", disconnected AS "DisconnectTimestamp"
+            FROM ct, (VALUES (''), ('x')) t(twin)"""),
         "SNK-2": CHAT_DOCS,
         "SNK-3": _of(CONTACTS, """SELECT value, count(*) AS lines FROM (
             SELECT left('{"ContactId":"' || contact_id || '","Channel":"' || channel || '"', 30) AS value

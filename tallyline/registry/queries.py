@@ -46,7 +46,7 @@ def flat_contacts(df: DataFrame) -> DataFrame:
         "transferred": "TransferCompletedTimestamp", "transferred_to": "TransferredToEndpoint",
     }
     return df.select(*[F.col(path).alias(name) for name, path in names.items()],
-                     F.get("MediaStreams", F.lit(0)).getField("Type").alias("media"))
+                     F.array_join("MediaStreams.Type", ",").alias("media"))
 
 
 def connection_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,14 +73,15 @@ def agent_event_table(spark: SparkSession, sf: str) -> DataFrame:
         now["AgentStatus"]["Name"].alias("status"), now["AgentStatus"]["StartTimestamp"].alias("status_since"),
         now["Configuration"]["AgentHierarchyGroups"].alias("groups"),
         now["Configuration"]["Username"].alias("username"), profile["ARN"].alias("profile"),
-        F.get(profile["Concurrency"], F.lit(1))["AvailableSlots"].alias("chat_slots"),
-        F.get(profile["InboundQueues"], F.lit(0))["Name"].alias("inbound_queue"),
-        F.array_join(F.get(profile["InboundQueues"], F.lit(0))["Channels"], ",").alias("channels"),
-        F.get(now["Contacts"], F.lit(0)).alias("contact_json"),
+        F.array_join(F.transform(profile["Concurrency"], lambda c: F.concat_ws(
+            ":", c["Channel"], c["AvailableSlots"], c["MaximumSlots"])), ",").alias("slots"),
+        F.array_join(profile["InboundQueues"]["Name"], ",").alias("inbound_queues"),
+        F.array_join(F.flatten(profile["InboundQueues"]["Channels"]), ",").alias("channels"),
+        F.array_join(now["Contacts"], ",").alias("contact_json"),
         then["AgentStatus"]["Name"].alias("previous_status"),
         F.array_join(then["Configuration"]["AgentHierarchyGroups"], ",").alias("previous_groups"),
-        F.get(then["Contacts"], F.lit(0))["State"].alias("previous_state"),
-        F.get(then["Contacts"], F.lit(0))["Queue"]["Name"].alias("previous_queue"))
+        F.array_join(then["Contacts"]["State"], ",").alias("previous_state"),
+        F.array_join(then["Contacts"]["Queue"]["Name"], ",").alias("previous_queue"))
 
 
 CHAT_COLUMNS = ["instanceId", "contactId", "system_msg", "customer_msg", "agent_msg", "total_msg"]
@@ -96,8 +97,8 @@ def chat_usage_table(spark: SparkSession, sf: str) -> DataFrame:
 def transcript_documents(spark: SparkSession, sf: str) -> DataFrame:
     return landing.transcripts(spark, fx.landed_transcripts(spark, sf)).select(
         "ContactId", "InstanceId", F.size("Transcript").alias("items"),
-        F.get("Transcript", F.lit(0))["Type"].alias("first_type"),
-        F.get("Transcript", F.lit(0))["ParticipantRole"].alias("first_role"))
+        F.array_join("Transcript.Type", ",").alias("types"),
+        F.array_join("Transcript.ParticipantRole", ",").alias("roles"))
 
 
 def new_transcripts(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,7 +106,8 @@ def new_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def agent_event_feed(spark: SparkSession, sf: str) -> DataFrame:
-    feed = fx.streamed_feed(spark, sf, "agents", fx.landed_agent_events(spark, sf), schemas.AGENT_EVENT, "parquet")
+    lines = fx.run_together(fx.agent_events(spark, sf), "EventId")
+    feed, _ = fx.streamed_feed(spark, sf, "agents", lines, schemas.AGENT_EVENT, "parquet")
     return feed.select("EventId", "EventTimestamp", "EventType", "AgentARN")
 
 
@@ -116,12 +118,14 @@ def mixed_spelling(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contact_append(spark: SparkSession, sf: str) -> DataFrame:
-    feed = fx.streamed_feed(spark, sf, "contacts", fx.landed_contacts(spark, sf), schemas.CONTACT, "json")
+    lines = fx.run_together(fx.contact_objects(spark, sf), "ContactId")
+    feed, _ = fx.streamed_feed(spark, sf, "contacts", lines, schemas.CONTACT, "json")
     return feed.select("ContactId", "Channel", "InitiationTimestamp", "DisconnectTimestamp")
 
 
 def chat_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.current_chat_usage(fx.streamed_chat_usage(spark, sf))
+    """The stream's table after every transcript was written and counted a second time."""
+    return fx.rewritten_chat_usage(spark, sf).select(*CHAT_COLUMNS)
 
 
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.operators import ingest
+from tallyline.operators.latest import latest_by_key
 from tallyline.sources import schemas
 
 # New objects taken into one micro-batch, so that a backlog is worked off in steps.
@@ -14,31 +18,38 @@ MAX_FILES_PER_BATCH = 10_000
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def read_json(spark: SparkSession, path: str, schema: str | T.StructType, fields: list[str] | None = None,
-              keep_corrupt: bool = False) -> DataFrame:
-    """JSON lines under a prefix, with a declared schema.
+OPTIONS = {"timestampFormat": EVENT_TIME_FORMAT}
+
+
+def read_records(spark: SparkSession, path: str, schema: str | T.StructType, fields: list[str] | None = None,
+                 any_spelling: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JSON lines under a prefix as (records, rejects), with a declared schema.
 
-    ``fields`` narrows the scan to the named (dotted) fields.
+    A line may hold several objects. What does not parse, or has none of the
+    declared fields, is a reject and keeps its text (``value``). ``fields``
+    narrows parsing to the named (dotted) fields. With ``any_spelling`` keys
+    are bound whatever their case; without it a field in another case is NULL.
     """
     schema = schemas.struct(schema) if isinstance(schema, str) else schema
-    if fields is not None:
-        schema = schemas.narrow(schema, fields)
-    if keep_corrupt:
-        schema = schemas.with_corrupt(schema)
-    return (spark.read.schema(schema)
-            .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-            .option("timestampFormat", EVENT_TIME_FORMAT)
-            .option("recursiveFileLookup", "true")
-            .json(path))
-
-
-def contact_records(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    if any_spelling:
+        lines = lines.select(fold_spelling(F.col("value"), schemas.field_names(schema)).alias("value"))
+    return ingest.repair(lines, schema if fields is None else schemas.narrow(schema, fields), OPTIONS)
+
+
+def rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """What a reader of the folder leaves out, one ``value`` per object or line."""
+    return read_records(spark, path, schema)[1].select("value")
+
+
+def contact_records(spark: SparkSession, path: str, fields: list[str] | None = None,
+                    any_spelling: bool = False) -> DataFrame:
     """Contact records.
 
     The update time is read under the writer's name; the misspelt name that
     the table definition gives it is exposed next to it.
     """
-    df = read_json(spark, path, schemas.CONTACT, fields)
+    df = read_records(spark, path, schemas.CONTACT, fields, any_spelling)[0]
     if "LastUpdateTimestamp" in df.columns:
         df = df.withColumn("LastUpstringTimestamp", F.col("LastUpdateTimestamp"))
     return df
@@ -46,57 +57,88 @@ def contact_records(spark: SparkSession, path: str, fields: list[str] | None = N
 
 def call_connections(spark: SparkSession, path: str, fields: list[str] | None = None,
                      any_spelling: bool = False) -> DataFrame:
-    """Call-connection records.
+    """Call-connection records."""
+    return read_records(spark, path, schemas.CONNECTION, fields, any_spelling)[0]
+
 
-    With ``any_spelling`` the fields whose case differs between writers are
-    bound whatever their case. The JSON reader would leave them NULL.
+def fold_spelling(line: Column, names: Iterable[str]) -> Column:
+    """Rewrite JSON keys that match a declared name except for case.
+
+    A name that the line also has in its declared spelling is left alone, so
+    that keys inside free-form attributes keep theirs, except for the names
+    that writers are known to vary within a record.
     """
-    if not any_spelling:
-        return read_json(spark, path, schemas.CONNECTION, fields)
-    schema = schemas.struct(schemas.CONNECTION)
-    if fields is not None:
-        schema = schemas.narrow(schema, fields)
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return lines.select(F.from_json(fold_spelling(F.col("value")), schema).alias("r")).select("r.*")
+    names = sorted(names)
+    declared = F.create_map(*[F.lit(x) for n in names for x in (n.lower(), n)])
+    varied = F.array(*[F.lit(n) for n in schemas.VARIANT_SPELLINGS])
+    keys = F.array_distinct(F.regexp_extract_all(line, F.lit(r'(?<!\\)"(\w+)"\s*:'), F.lit(1)))
 
+    def misspelt(key: Column) -> Column:
+        name = F.try_element_at(declared, F.lower(key))
+        return (name.isNotNull() & ~key.isin(names)
+                & (~F.array_contains(keys, name) | F.array_contains(varied, name)))
 
-def fold_spelling(line, names=schemas.VARIANT_SPELLINGS):
-    """Rewrite JSON keys that match a declared name except for case."""
-    for name in names:
-        line = F.regexp_replace(line, rf'(?<!\\)"(?i:{name})"(\s*:)', f'"{name}"$1')
-    return line
+    def respell(text: Column, key: Column) -> Column:
+        return F.regexp_replace(text, F.concat(F.lit(r'(?<!\\)"'), key, F.lit(r'"(\s*:)')),
+                                F.concat(F.lit('"'), F.element_at(declared, F.lower(key)), F.lit('"$1')))
 
+    return F.aggregate(F.filter(keys, misspelt), line, respell)
 
-def agent_events(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
-    return read_json(spark, path, schemas.AGENT_EVENT, fields)
 
+def agent_events(spark: SparkSession, path: str, fields: list[str] | None = None,
+                 any_spelling: bool = False) -> DataFrame:
+    return read_records(spark, path, schemas.AGENT_EVENT, fields, any_spelling)[0]
 
-def chat_usage(spark: SparkSession, path: str) -> DataFrame:
-    return read_json(spark, path, schemas.CHAT_USAGE)
+
+def chat_usage(spark: SparkSession, path: str, any_spelling: bool = False) -> DataFrame:
+    """Message counts, the last written version of each chat; reads what the batch and the streaming job write."""
+    rows = read_records(spark, path, schemas.CHAT_USAGE + ", written timestamp, source_object string",
+                        any_spelling=any_spelling)[0]
+    return latest_by_key(rows, ["instanceId", "contactId"], "written", "source_object").drop("written", "source_object")
 
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """Transcript documents, one JSON object per file, with the object they came from."""
-    return (spark.read.schema(schemas.struct(schemas.TRANSCRIPT))
-            .option("multiLine", "true").option("recursiveFileLookup", "true").json(path)
-            .select("*", _source_object(), F.col("_metadata.file_modification_time").alias("written")))
+    return parse_transcripts(transcript_files(spark.read, path))
+
+
+def transcript_files(reader, path: str, **options) -> DataFrame:
+    """Whole files with where and when they were written; ``reader`` is of either kind."""
+    return (reader.options(recursiveFileLookup="true", **options).text(path, wholetext=True)
+            .select("value", F.col("_metadata.file_path").alias("source_object"),
+                    F.col("_metadata.file_modification_time").alias("written")))
+
+
+def _document() -> Column:
+    return F.from_json("value", schemas.struct(schemas.TRANSCRIPT))
+
 
+def parse_transcripts(files: DataFrame) -> DataFrame:
+    """The files that hold a transcript of a contact."""
+    return (files.select(_document().alias("d"), "source_object", "written")
+            .filter(F.col("d.ContactId").isNotNull()).select("d.*", "source_object", "written"))
 
-def _source_object():
-    return F.col("_metadata.file_path").alias("source_object")
+
+def broken_transcripts(files: DataFrame) -> DataFrame:
+    """The other files, text and all."""
+    return files.filter(_document()["ContactId"].isNull())
+
+
+def stream_lines(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH,
+                 max_bytes: str | None = None) -> DataFrame:
+    """Lines of a landing folder as an unbounded table; each new object is read once.
+
+    A micro-batch takes at most ``max_files`` objects, or ``max_bytes`` (such as ``1g``) if given.
+    """
+    bound = {"maxFilesPerTrigger": max_files} if max_bytes is None else {"maxBytesPerTrigger": max_bytes}
+    return spark.readStream.options(recursiveFileLookup="true", **bound).text(path)
 
 
 def stream_json(spark: SparkSession, path: str, schema: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    """Landing folder as an unbounded table; each new object is read once."""
-    reader = (spark.readStream.schema(schemas.struct(schema))
-              .option("timestampFormat", EVENT_TIME_FORMAT)
-              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files))
-    return reader.json(path)
+    """Records of a landing folder as an unbounded table. Rejects are left out; ``feeds.land_feed`` keeps them."""
+    return ingest.repair(stream_lines(spark, path, max_files), schema, OPTIONS)[0]
 
 
 def stream_transcripts(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    reader = (spark.readStream.schema(schemas.struct(schemas.TRANSCRIPT))
-              .option("multiLine", "true").option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", max_files))
-    return reader.json(path).select(
-        "*", _source_object(), F.col("_metadata.file_modification_time").alias("written"))
+    """Transcript files as an unbounded table."""
+    return transcript_files(spark.readStream, path, maxFilesPerTrigger=max_files)

@@ -73,20 +73,21 @@ active boolean, phone_number string, extension string, soft_phone_enabled boolea
 queue string, third_party array<string>
 """
 
-ENVELOPE = "DeliveryStreamName string, Record struct<Data:string>"
-
 # Fields whose spelling varies between writers.
 VARIANT_SPELLINGS = ("endpointCountryISO", "softPhoneEnabled", "phoneNumber")
 
-CORRUPT = "_corrupt_record"
-
 
 def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+def field_names(kind: T.DataType) -> set[str]:
+    """Names of all fields, nested ones too."""
+    if isinstance(kind, T.ArrayType):
+        return field_names(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return set(kind.names).union(*(field_names(f.dataType) for f in kind.fields))
+    return set()
 
 
 def narrow(schema: T.StructType, paths: list[str]) -> T.StructType:

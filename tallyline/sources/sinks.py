@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators.latest import latest_by_key
 from tallyline.sources.landing import EVENT_TIME_FORMAT
@@ -13,22 +12,6 @@ BUFFER_INTERVAL = "60 seconds"
 CHAT_KEYS = ["instanceId", "contactId"]
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, fmt: str = "json",
-                  partition_by: list[str] | None = None, once: bool = False) -> StreamingQuery:
-    """Append a stream to a folder, by default uncompressed JSON every minute.
-
-    With ``once`` everything available is processed and the query stops.
-    """
-    writer = (stream.writeStream.format(fmt).outputMode("append")
-              .option("checkpointLocation", checkpoint).option("path", path))
-    if fmt == "json":
-        writer = writer.option("compression", "none").option("timestampFormat", EVENT_TIME_FORMAT)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=BUFFER_INTERVAL)
-    return writer.start()
-
-
 def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     (df.write.mode(mode).option("compression", "none").option("timestampFormat", EVENT_TIME_FORMAT).json(path))
 
@@ -67,12 +50,6 @@ def write_chat_usage(usage: DataFrame, path: str) -> None:
     write_json(rows.drop("written", "source_object"), path, "overwrite")
 
 
-def current_chat_usage(batches: DataFrame) -> DataFrame:
-    """Current state of the batch folders ``stream_chat_usage`` writes."""
-    return latest_by_key(batches, CHAT_KEYS, "written", "batch", "source_object").select(
-        *CHAT_KEYS, "system_msg", "customer_msg", "agent_msg", "total_msg")
-
-
 def write_columnar(df: DataFrame, path: str, partition_by: list[str], mode: str = "append") -> None:
     """Compact landing rows into Parquet that later reads can prune.
 

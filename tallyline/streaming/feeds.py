@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyline.operators import ingest
 from tallyline.operators.messages import count_messages
-from tallyline.sources.landing import stream_json, stream_transcripts
-from tallyline.sources.sinks import BUFFER_INTERVAL, append_stream, each_batch, write_batch
+from tallyline.sources import landing
+from tallyline.sources.sinks import BUFFER_INTERVAL, each_batch, write_batch
+
+
+def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors: str, checkpoint: str,
+              fmt: str = "parquet", once: bool = False, hook: Callable[[DataFrame], DataFrame] | None = None,
+              max_bytes: str | None = None) -> StreamingQuery:
+    """Repair a JSON feed into a table folder as new objects arrive.
 
+    Lines with several objects are split; what cannot be read goes to
+    ``errors``, byte for byte. ``hook`` maps the lines (``value``) first. A
+    micro-batch is taken each minute, of at most ``max_bytes``.
+    """
+    def store(lines: DataFrame, batch_id: int, run: str) -> None:
+        lines = lines if hook is None else hook(lines)
+        parsed = lines.transform(ingest.split_records).transform(
+            ingest.parse_records, schema, options=landing.OPTIONS).persist()
+        write_batch(ingest.accepted(parsed), path, batch_id, fmt, run)
+        write_batch(ingest.rejected(parsed).select("value"), errors, batch_id, "text", run)
+        parsed.unpersist()
 
-def land_feed(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, fmt: str = "parquet",
-              once: bool = False) -> StreamingQuery:
-    """Copy a JSON feed into a table folder as new objects arrive."""
-    return append_stream(stream_json(spark, source, schema), path, checkpoint, fmt, once=once)
+    lines = landing.stream_lines(spark, source, max_bytes=max_bytes)
+    return _start(lines, store, checkpoint, once)
 
 
-def stream_chat_usage(spark: SparkSession, source: str, path: str, checkpoint: str,
+def stream_chat_usage(spark: SparkSession, source: str, path: str, errors: str, checkpoint: str,
                       once: bool = False) -> StreamingQuery:
-    """Count the messages of each new transcript object.
+    """Count the messages of each new transcript object; objects that hold no transcript go to ``errors``.
 
     A transcript written again is counted again, in a later batch; readers
-    take the last version (``sinks.current_chat_usage``).
+    take the last version (``landing.chat_usage``).
     """
-    def store(usage: DataFrame, batch_id: int, run: str) -> None:
-        write_batch(usage, path, batch_id, "parquet", run)
+    def store(files: DataFrame, batch_id: int, run: str) -> None:
+        write_batch(count_messages(landing.parse_transcripts(files)), path, batch_id, run=run)
+        write_batch(landing.broken_transcripts(files).select("value"), errors, batch_id, "text", run)
+
+    return _start(landing.stream_transcripts(spark, source), store, checkpoint, once)
+
 
-    writer = (count_messages(stream_transcripts(spark, source)).writeStream
-              .foreachBatch(each_batch(store)).outputMode("append").option("checkpointLocation", checkpoint))
+def _start(stream: DataFrame, store, checkpoint: str, once: bool) -> StreamingQuery:
+    writer = (stream.writeStream.foreachBatch(each_batch(store)).outputMode("append")
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=BUFFER_INTERVAL)
     return writer.start()

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import text
 from tallyline.operators import ingest
+from tallyline.plans import reports
+from tallyline.registry import fixtures as fx
 from tallyline.sources import landing, schemas, sinks
+from tallyline.streaming import feeds
 
 RECORD = "contactId string, note string"
 FEW = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -124,16 +127,82 @@ def test_free_form_objects_stay_text(spark):
     assert (row.Attributes, row.Recordings, row.LastUpstringTimestamp) == ('{"k":[1,2]}', '[{"a":1}]', "t")
 
 
-def test_mismatched_shape_is_kept_aside(spark):
+def landed(text):
     path = folder()
+    with open(f"{path}/one.json", "w") as f:
+        f.write(text)
+    return path
+
+
+def test_mismatched_shape_is_kept(spark):
     good = {"EventId": "1", "PreviousAgentSnapshot": {"Configuration": {"AgentHierarchyGroups": ["a"]}}}
     bad = {"EventId": "2", "PreviousAgentSnapshot": {"Configuration": {"AgentHierarchyGroups": {"a": 1}}}}
-    with open(f"{path}/e.json", "w") as f:
-        f.write(json.dumps(good) + "\n" + json.dumps(bad) + "\n")
-    df = landing.read_json(spark, path, schemas.AGENT_EVENT, keep_corrupt=True)
-    rows = {r.EventId: r for r in df.collect()}
-    assert rows["1"][schemas.CORRUPT] is None and json.loads(rows["2"][schemas.CORRUPT]) == bad
-    assert rows["2"].PreviousAgentSnapshot.Configuration.AgentHierarchyGroups is None
+    path = landed(json.dumps(good) + "\n" + json.dumps(bad) + "\n")
+    rows = {r.EventId: r for r in landing.agent_events(spark, path).collect()}
+    aside = [json.loads(r.value) for r in landing.rejects(spark, path, schemas.AGENT_EVENT).collect()]
+    assert set(rows) | {a["EventId"] for a in aside} == {"1", "2"} and None not in rows
+
+
+def test_readers_account_for_every_object(spark):
+    path = landed('{"EventId":"1"}{"EventId":"2"}\n{"EventId":"3\n\n{"eventid":"4"}\n{"EventId":"5"}\n{}\n')
+    assert sorted(r.EventId for r in landing.agent_events(spark, path).collect()) == ["1", "2", "5"]
+    assert sorted(r.value for r in landing.rejects(spark, path, schemas.AGENT_EVENT).collect()) == [
+        '{"EventId":"3', '{"eventid":"4"}', "{}"]
+    assert sorted(r.EventId for r in landing.agent_events(spark, path, any_spelling=True).collect()) == ["1", "2", "4", "5"]
+
+
+def test_feeds_keep_every_object(spark):
+    source = landed('{"EventId":"1"}{"EventId":"2"}\n{"EventId":"3\n{"EventId":"4"}\nskip\n')
+    table, errors, offsets = folder(), folder(), folder()
+    feeds.land_feed(spark, source, schemas.AGENT_EVENT, table, errors, offsets, once=True,
+                    hook=lambda lines: lines.filter("value <> 'skip'")).awaitTermination()
+    assert sorted(r.EventId for r in spark.read.parquet(table).collect()) == ["1", "2", "4"]
+    assert [r.value for r in spark.read.text(errors).collect()] == ['{"EventId":"3']
+
+
+def test_broken_transcripts_go_to_the_errors(spark):
+    source, table, errors = folder(), folder(), folder()
+    for name, text in (("a", '{"ContactId":"a","InstanceId":"i",\n"Transcript":[{"Type":"MESSAGE","ParticipantRole":"AGENT"}]}'),
+                       ("b", '{"ContactId":"b","Trans'), ("c", "")):
+        with open(f"{source}/{name}.json", "w") as f:
+            f.write(text)
+    assert [r.ContactId for r in landing.transcripts(spark, source).collect()] == ["a"]
+    feeds.stream_chat_usage(spark, source, table, errors, folder(), once=True).awaitTermination()
+    usage = landing.chat_usage(spark, table)
+    assert [(r.contactId, r.agent_msg) for r in usage.collect()] == [("a", 1)]
+    assert '{"ContactId":"b","Trans' in {r.value for r in spark.read.text(errors).collect()}
+    contacts = spark.createDataFrame([("a", "CHAT", "i")], "ContactId string, Channel string, InstanceARN string")
+    missing = [f for f in schemas.struct(schemas.CONTACT).fields if f.name not in contacts.columns]
+    contacts = contacts.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+    assert reports.chat_report(usage, contacts).count() == 1
+
+
+def test_one_bad_object_does_not_void_its_batch(spark):
+    payload = '{"contactId":"1","note":"},{"},{"contactId":},{"contactId":"3"},{"contactId":"4"'
+    data = base64.b64encode(payload.encode()).decode()
+    parsed = spark.createDataFrame([(data,)], "data string").transform(ingest.unwrap_batch, RECORD)
+    assert [r.contactId for r in ingest.accepted(parsed).collect()] == ["1", "3"]
+    assert [r.value for r in ingest.rejected(parsed).collect()] == ['{"contactId":}', '{"contactId":"4"']
+
+
+@pytest.mark.parametrize("case", [str.lower, str.upper])
+def test_any_case_binds_in_every_table(spark, sf, case):
+    def keys(value):
+        if isinstance(value, dict):
+            return {case(k): keys(v) for k, v in value.items()}
+        return [keys(v) for v in value] if isinstance(value, list) else value
+
+    for read, path in ((landing.contact_records, fx.landed_contacts(spark, sf)),
+                       (landing.call_connections, fx.landed_connections(spark, sf)),
+                       (landing.agent_events, fx.landed_agent_events(spark, sf))):
+        lines = [r.value for r in spark.read.text(path).limit(40).collect()]
+        free = landed("\n".join(lines))
+        other = landed("\n".join(json.dumps(keys(json.loads(x)), separators=(",", ":")) for x in lines))
+        want, got = read(spark, free), read(spark, other, any_spelling=True)
+        hidden = ["Attributes", "CurrentAgentSnapshot"]  # free-form text is kept as it is
+        assert sorted(map(repr, want.drop(*hidden).collect())) == sorted(map(repr, got.drop(*hidden).collect()))
+    chat = landed(json.dumps({case("contactId"): "a", case("total_msg"): 3}))
+    assert [(r.contactId, r.total_msg) for r in landing.chat_usage(spark, chat, any_spelling=True).collect()] == [("a", 3)]
 
 
 def test_any_spelling_binds(spark):
@@ -164,14 +233,16 @@ def test_replayed_batch_overwrites(spark):
 
 
 def test_chat_upsert_keeps_the_last_version(spark):
-    rows = [("i", "c", 1, 0, 0, 1, "t1", "a", 0), ("i", "c", 2, 0, 0, 2, "t2", "a", 1), ("i", "d", 3, 0, 0, 3, "t1", "b", 0)]
-    df = spark.createDataFrame(rows, "instanceId string, contactId string, system_msg int, customer_msg int, "
-                                     "agent_msg int, total_msg int, written string, source_object string, batch int")
-    assert {(r.contactId, r.system_msg) for r in sinks.current_chat_usage(df).collect()} == {("c", 2), ("d", 3)}
-    path = folder() + "/usage"
+    rows = [("i", "c", 1, 0, 0, 1, "2024-01-01", "a"), ("i", "c", 2, 0, 0, 2, "2024-01-02", "a"), ("i", "d", 3, 0, 0, 3, "2024-01-01", "b")]
+    df = spark.createDataFrame(rows, "instanceId string, contactId string, system_msg int, customer_msg int, agent_msg int, "
+                                     "total_msg int, written string, source_object string")
+    df = df.withColumn("written", F.col("written").cast("timestamp"))
+    path, versions = folder() + "/usage", folder()
     for _ in range(2):
-        sinks.write_chat_usage(df.drop("batch"), path)
-    assert {(r.contactId, r.system_msg) for r in landing.chat_usage(spark, path).collect()} == {("c", 2), ("d", 3)}
+        sinks.write_chat_usage(df, path)
+    sinks.write_json(df, versions)
+    for where in (path, versions):
+        assert {(r.contactId, r.system_msg) for r in landing.chat_usage(spark, where).collect()} == {("c", 2), ("d", 3)}
 
 
 def test_columnar_table_prunes_partitions(spark):
