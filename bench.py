@@ -40,17 +40,13 @@ def main() -> None:
     events = land("calls", fx.call_events(spark, sf_dir))
     prefixes = fx.dial_prefixes(spark)
 
-    def contact_fold():
-        connected = fold.fold_connections(events, prefixes)
-        return connected.join(fold.fold_contacts(events).withColumnRenamed("type", "contact_type"), "contactId")
-
     queries = {
         "RPT-1": (contacts, lambda: reports.contact_usage(contacts)),
         "RPT-2": (connections, lambda: reports.connection_usage(contacts, connections)),
         "RPT-3": (items, lambda: reports.chat_report(
             messages.count_message_items(items, "instanceId", "contactId"), contacts)),
         "RPT-4": (documents, lambda: messages.count_messages(documents)),
-        "RPT-5": (events, contact_fold),
+        "RPT-5": (events, lambda: fold.contact_records(events, prefixes)),
     }
     seconds, rows = {}, {}
     for name, (source, build) in queries.items():

@@ -296,8 +296,13 @@ def oracle_sql() -> dict[str, str]:
         "RPT-3": _of(f"{CONTACTS},{CHATS}", "SELECT * FROM r3"),
         "RPT-4": CHAT_DOCS,
         "RPT-5": _of(f"{CONTACT_FOLD},{CONNECTION_FOLD.removeprefix(EVENTS + ',')}", """
-            SELECT c.* RENAME (type AS contact_type), k.* EXCLUDE ("contactId")
-            FROM connections_out k JOIN contacts_out c USING ("contactId")"""),
+            SELECT any_value(COLUMNS(c.*)), string_agg(concat_ws('|', "connId", """ + ", ".join(
+                f"coalesce(CAST(k.{name} AS VARCHAR), '-')" for name in (
+                    '"connectingTimestamp"', '"connectedTimestamp"', '"disconnectedTimestamp"', "type", "active",
+                    '"lastUpdate"', "status", '"phoneNumber"', "extension", '"softPhoneEnabled"',
+                    '"endpointCountryISO"', "entries")) + """), ';' ORDER BY "connId") AS connections
+            FROM (SELECT * RENAME (type AS contact_type) FROM contacts_out) c
+            JOIN connections_out k USING ("contactId") GROUP BY c."contactId" """),
         "SRC-1": _ct("""account_id AS account, '2017-03-10' AS format_version, agent,
             CAST(o_orderkey % 30 AS INTEGER) AS work_seconds, agent_connected, CAST(o_custkey % 4 AS INTEGER) AS holds,
             'profile-' || (o_custkey % 5) AS profile, 'basic' AS profile_name, 'user' || (o_custkey % 50) AS username,

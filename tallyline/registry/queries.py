@@ -195,14 +195,24 @@ def message_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contact_fold(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per contact and connection. The side that is unique per contact
-    is joined to the other, so a contact with many connections can be split."""
-    events = fx.call_events(spark, sf)
-    contacts = fold.fold_contacts(events).withColumnRenamed("type", "contact_type").withColumn(
-        "inbound", flag(F.col("inbound")))
-    connections = fold.fold_connections(events, fx.dial_prefixes(spark)).withColumns({
-        "active": flag(F.col("active")), "softPhoneEnabled": flag(F.col("softPhoneEnabled"))})
-    return connections.join(contacts, "contactId")
+    """One row per contact, from one pass over its events; its connections as text in order of their ids."""
+    def shown(c: Column) -> Column:
+        fields = [c["id"], *[c[name] for name in LEG_TIMES], c["type"], flag(c["active"].cast("boolean")), c["lastUpdate"],
+                  c["status"], c["endpoint"]["phoneNumber"], c["agentStatus"]["extension"],
+                  flag(c["agentStatus"]["softPhoneEnabled"]), c["endpointCountryISO"], c["entries"]]
+        return F.concat_ws("|", *[F.coalesce(f.cast("string"), F.lit("-")) for f in fields])
+
+    records = fold.contact_records(fx.call_events(spark, sf), fx.dial_prefixes(spark))
+    stages = [column.alias(name) for stage in fold.STAGES for held in [F.col(fold.stage_name(stage))]
+              for name, column in {
+                  f"{stage}_at": held["timestamp"], f"{stage}_attributes": held["attributes"],
+                  f"{stage}_queue": held["queue"]["name"],
+                  f"{stage}_third_party": F.array_join(held["thirdPartyConnections"], ",")}.items()]
+    return records.select(
+        "contactId", F.col("type").alias("contact_type"), flag(F.col("inbound")).alias("inbound"), "initialConnectionId",
+        "initialTimestamp", *stages, "completion",
+        F.when(F.col("completion").isNull(), "pending").otherwise("complete").alias("record_status"),
+        F.array_join(F.transform("connections", shown), ";").alias("connections"))
 
 
 def base(spark: SparkSession, sf: str) -> DataFrame:

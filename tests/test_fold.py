@@ -216,6 +216,29 @@ def test_files_in_any_order_and_one_to_a_batch(spark, sf):
     same(fold.history(stored), fold.history(events))
 
 
+def test_streamed_records_feed_the_usage_report(spark, sf):
+    """Call events to report: the stream's records, read as the table they land in, give what the batch records give.
+
+    The report pins any value to the least, so the contacts compared are those that were not reopened.
+    """
+    from tallyline.operators.legs import LEG_FIELDS
+    from tallyline.plans import reports
+
+    events, prefixes = fx.call_events(spark, sf), fx.dial_prefixes(spark)
+    batch = folders()[0]
+    fold.contact_records(events, prefixes).write.json(batch)
+    streamed = fx.streamed_contacts(spark, sf)["records"]
+    contacts = fx.contacts(spark, sf)
+    once = spark.read.json(streamed).groupBy("contactId").count().filter("count = 1")
+    voice = once.select(F.col("contactId").alias("ContactId")).withColumn("Channel", F.lit("VOICE"))
+    voice = voice.filter(F.col("ContactId") != fx.CLOCK_CONTACT)
+    contacts = voice.join(contacts.drop("ContactId", "Channel").limit(1), how="cross").select(contacts.columns)
+    usage = [reports.connection_usage(contacts, landing.call_connections(spark, path, LEG_FIELDS), ordered=False)
+             for path in (batch, streamed)]
+    assert usage[0].count() >= contacts.count() > 100
+    same(*usage)
+
+
 def test_a_terminal_event_may_come_first(spark):
     rows = [event("a", 1, "ACW", "ended"), event("a", 2, "Destroyed", "ended")]
     records = replay(spark, [rows[1:], rows[:1]])
