@@ -191,12 +191,13 @@ def contact_records(events: DataFrame, prefixes: DataFrame | None = None, as_of:
     A connection carries its first history entry and the number of entries;
     the whole history is rows (``history``).
     """
-    return records_of(decide(fold_parts(events, prefixes), as_of))
+    return records_of(fold_parts(events, prefixes), as_of)
 
 
-def records_of(parts: DataFrame) -> DataFrame:
-    """The records of decided parts."""
+def records_of(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """The records of parts; their completion is what ``decide`` found, or that of all the parts together."""
     contact = _contact_folds()
+    completion = [F.max("completion").alias("completion")] if "completion" in parts.columns else []
     connection = F.struct(
         F.col("connId").alias("id"),
         *[iso_micros(f"l_{s}").alias(f"{s}Timestamp") for s in LEG_STATES],
@@ -218,9 +219,11 @@ def records_of(parts: DataFrame) -> DataFrame:
         F.col("l_events").alias("entries"))
     records = parts.groupBy("contactId").agg(
         *[combine(n).alias(n) for n, (_, combine) in contact.items()],
-        F.max("completion").alias("completion"),
+        *completion,
         F.sort_array(F.collect_list(F.when(F.col("l_events") > 0, connection))).alias("connections"),
     ).filter(F.col("c_start").isNotNull())
+    if not completion:
+        records = records.withColumn("completion", _completion(as_of))
     stages = [F.when(F.col(f"c_{stage}").isNotNull(), F.struct(
         F.col(f"c_{stage}.value.attributes").alias("attributes"),
         F.struct(F.col(f"c_{stage}.value.queue").alias("name")).alias("queue"),
