@@ -29,9 +29,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm import near_copies
 from tallyline.llm.common import components, stored, table
 
 SHINGLE = 3
@@ -145,34 +146,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one document per component: that of the least doc_id.
-
-    Rows that repeat the doc_id kept count as one document: the least row
-    stays. Rows without doc_id stay only if no numbered document is in their
-    component, one for each fingerprint.
-    """
-    found = near_duplicates(docs)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp").distinct()
-    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
-    numbered = rows.join(keep.filter("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("row")
-    numbered = numbered.withColumn("copy", F.row_number().over(order)).filter("copy = 1").select("row.*")
-    lone = keep.filter("doc_id is null").select("fp")
-    order = Window.partitionBy("fp").orderBy("row")
-    loose = (with_print(docs.filter("doc_id is null")).join(lone, "fp", "left_semi")
-             .withColumn("copy", F.row_number().over(order)).filter("copy = 1").select("row.*"))
-    return numbered.unionByName(loose)
-
-
-def with_print(docs: DataFrame) -> DataFrame:
-    """``row, fp``: each row of ``docs`` with its fingerprint."""
-    def run(batches):
-        for batch in batches:
-            prints = pa.array([fingerprint(t.as_py()) for t in batch.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["row", "fp"])
-
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return rows.mapInArrow(run, rows.select("row", F.lit(0).cast("long").alias("fp")).schema)
+    """The rows of ``docs`` with one of each group of near copies, as the pipeline has it: 5-word shingles, similarity 0.8."""
+    return near_copies.keep_one(docs)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

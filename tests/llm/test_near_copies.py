@@ -1,0 +1,54 @@
+"""The pipeline's near copies against brute force over all pairs."""
+
+import random
+
+from tallyline.llm import simhash_dedup
+
+SCHEMA = "doc_id long, text string, source string"
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_one_of_each_group_stays(spark):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    texts = [None, "", " \n", "a b", "a b c"]
+    for n in (12, 40, 120, 400, 1500):
+        for _ in range(5):
+            base = [word() for _ in range(n)]
+            texts.append(" ".join(base))
+            for _ in range(8):
+                other = list(base)
+                for _ in range(r.randint(1, max(1, n // 30))):
+                    other[r.randrange(n)] = word()
+                texts.append(" ".join(other))
+                base = other if r.random() < 0.3 else base
+    texts += texts[10:14]
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+    ids[20], ids[100], ids[0] = ids[60], None, None  # one id for two texts, rows without any
+    rows = list(zip(ids, texts, ["s"] * len(texts)))
+    sets = [shingles(t) for t in texts]
+    group = list(range(len(rows)))
+    low = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if (not a and not b) or len(a & b) >= 0.8 * len(a | b):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+                prints = [simhash_dedup.fingerprint(texts[k]) for k in (i, j)]
+                low += (prints[0] ^ prints[1]).bit_count() > simhash_dedup.RADIUS
+    assert low > 50  # pairs that a radius of 3 does not link
+    kept = simhash_dedup.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    left = {}
+    for g, (d, t, _) in zip(group, rows):
+        left.setdefault(g, []).append((d is None, d or 0, t))
+    want = {g: min(x[:2] for x in part) for g, part in left.items()}
+    assert len(kept) == len(want)
+    assert sorted((k.doc_id is None, k.doc_id or 0) for k in kept) == sorted(want.values())
+    where = {t: g for g, (_, t, _) in zip(group, rows)}
+    assert {where[k.text] for k in kept} == set(want)
