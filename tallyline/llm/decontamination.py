@@ -8,9 +8,10 @@ window is joined to the benchmark's by hash. A second view in which only
 numbers and units are slots and letters are lower-cased catches a passage whose
 capitals were changed.
 
-A match counts if its slots are consistent: over all windows in which a document
-follows an item at the same distance, each value of the item stands for one
-value of the document and back. A window needs ``LITERALS`` words that are not
+A match counts if its slots are consistent: over a run of touching windows in
+which a document follows an item at the same distance, each value of the item
+stands for one value of the document; two values may become the same. A window
+whose slots hold what the item's hold counts whatever its run. A window needs ``LITERALS`` words that are not
 slots, unless its slots hold what the item's hold. Items shorter than a window
 are one window of their length.
 
@@ -31,7 +32,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import stored, table
@@ -193,15 +194,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
                  & (F.col("d.width") == F.col("i.width")) & (F.size("d.slots") == F.size("i.slots")))
     same = F.col("d.slots") == F.col("i.slots")
     met = met.filter(same | (F.col("d.width") - F.size("d.slots") >= literals)).select(
-        "d.row", F.col("i.id").alias("item_id"), "d.view", "d.pos", (F.col("d.pos") - F.col("i.pos")).alias("shift"),
+        "d.row", F.col("i.id").alias("item_id"), "d.view", "d.pos", "d.width", same.alias("same"), (F.col("d.pos") - F.col("i.pos")).alias("shift"),
         F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc")).alias("pairs"))
-    met = stored(met, "template-matches")
-    key = ["row", "item_id", "view", "shift"]
+    # An alignment has a window per position of the item, so its sort is small.
+    along = Window.partitionBy("row", "item_id", "view", "shift").orderBy("pos")
+    begins = F.when(F.col("pos") - F.lag("pos").over(along) <= F.col("width"), 0).otherwise(1)
+    met = stored(met.withColumn("begins", begins).withColumn("run", F.sum("begins").over(along)), "template-matches")
+    key = ["row", "item_id", "view", "shift", "run"]
     pairs = met.select(*key, F.explode("pairs").alias("pair")).distinct()
-    # A value that stands for two others, on either side, breaks the alignment.
-    broken = (pairs.groupBy(*key).agg(F.count("*").alias("n"), F.countDistinct("pair.item").alias("a"),
-                                      F.countDistinct("pair.doc").alias("b")).filter("n > a or n > b").select(*key))
-    sound = met.join(broken, key, "left_anti")
+    # An item's value that stands for two others breaks the run.
+    broken = (pairs.groupBy(*key).agg(F.count("*").alias("n"), F.countDistinct("pair.item").alias("a"))
+              .filter("n > a").select(*key, F.lit(True).alias("broken")))
+    sound = met.join(broken, key, "left").filter("same or broken is null")
     return sound.groupBy("row", "item_id").agg(F.countDistinct("pos").cast("long").alias("n_windows"),
                                                F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
