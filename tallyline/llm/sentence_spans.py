@@ -1,11 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
-From every sentence of a document starts one span: the shortest run of
-consecutive sentences with at least ``LEAST_SENTENCES`` sentences and
-``LEAST_WORDS`` words. Sentences of more than ``LONG_WORDS`` words are cut at
-commas and the like first, so that a long one cannot hide a passage. Each span is hashed and met globally;
-its first occurrence is the one of least (doc_id, position). Sentences that
-any other occurrence covers are removed. Spans end with their document.
+From every sentence of a document starts one span, and one ends with it: the
+shortest runs of consecutive sentences with at least ``LEAST_SENTENCES``
+sentences and ``LEAST_WORDS`` words. Any longer run is covered by these: a
+sentence of it with too few words after it ends a run or lies within one. Each
+span is hashed and met globally; its first occurrence is the one of least
+(doc_id, position). Sentences that any other occurrence covers are removed.
+Spans end with their document; one of fewer words is a span as a whole, and
+meets only others.
+
+Sentences of more than ``LONG_WORDS`` words are cut at commas and the like, and
+what is still longer after words whose hash is the least of ``NEAR`` in a row,
+so that neither a long sentence nor a passage's ends inside sentences hide it:
+all copies of ``NEAR`` words in a row are cut there. A repeated passage can lose
+12 words at each end; of 50 words in a row at least 26 are so whole sentences.
 
 Spans are compared without case and with single spaces, by 64-bit hash.
 
@@ -18,6 +26,7 @@ ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +39,12 @@ from tallyline.llm.common import stored, table
 LEAST_SENTENCES = 2
 LEAST_WORDS = 20
 LONG_WORDS = 12
+NEAR = 6
 LAST = (1 << 63) - 1
 # A sentence ends after its closing mark, or with its line; the white space that follows belongs to it.
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$|[.!?]+)\s*")
 _CLAUSE = re.compile(r"[^,;:|]*(?:[,;:|]+|$)\s*")
+_WORD = re.compile(r"\s*\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
@@ -42,42 +53,96 @@ def sentences(text: str) -> list[str]:
     for part in _SENTENCE.findall(text):
         if not part:
             continue
-        if part.count(" ") >= LONG_WORDS:
-            out.extend(p for p in _CLAUSE.findall(part) if p)
-        else:
+        if len(part.split()) <= LONG_WORDS:
             out.append(part)
+            continue
+        for clause in _CLAUSE.findall(part):
+            if len(clause.split()) > LONG_WORDS:
+                out.extend(cut_by_content(clause))
+            elif clause:
+                out.append(clause)
     return out
 
 
+def cut_by_content(part: str) -> list[str]:
+    """``part`` cut after each word whose hash is the least, and the last such, of some ``NEAR`` words in a row."""
+    words = _WORD.findall(part)
+    values = [crc32(w.strip().lower().encode()) for w in words]
+    out, at, least = [], 0, -1
+    for i in range(len(words) - NEAR + 1):
+        if least < i:
+            least = min(range(i + NEAR - 1, i - 1, -1), key=values.__getitem__)
+        elif values[i + NEAR - 1] <= values[least]:
+            least = i + NEAR - 1
+        if least >= at:
+            out.append("".join(words[at:least + 1]))
+            at = least + 1
+    return out + ["".join(words[at:])] if at < len(words) else out
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _joined(text: str) -> tuple[list[str], np.ndarray]:
+    """The sentences without case and with single spaces, and the number of words before each and in all."""
+    words = [s.lower().split() for s in sentences(text)]
+    return [" ".join(w) for w in words], np.cumsum([0, *map(len, words)])
+
+
 def span_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """For each sentence that starts a span: the span's hash and its number of sentences, 0 where none starts."""
-    words = [s.lower().split() for s in sentences(text)]
-    n = len(words)
+    return _starting(*_joined(text))
+
+
+def _starting(joined: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(joined)
     hashes, lengths = np.zeros(n, np.int64), np.zeros(n, np.int32)
-    joined = [" ".join(w) for w in words]
-    counts = np.cumsum([0, *map(len, words)])
-    ends = np.maximum(np.searchsorted(counts, counts[:-1] + LEAST_WORDS), np.arange(n) + LEAST_SENTENCES)
     digest = xxhash.xxh64_intdigest
+    if 0 < counts[-1] < LEAST_WORDS:
+        # The whole text, however it is cut.
+        hashes[0], lengths[0] = _signed(digest(" ".join(j for j in joined if j).encode(), 12)), n
+        return hashes, lengths
+    ends = np.maximum(np.searchsorted(counts, counts[:-1] + LEAST_WORDS), np.arange(n) + LEAST_SENTENCES)
     for at, end in enumerate(ends.tolist()):
         if end > n:
             break
-        value = digest("\n".join(joined[at:end]).encode(), 11)
-        hashes[at], lengths[at] = value - (1 << 64) if value >> 63 else value, end - at
+        hashes[at], lengths[at] = _signed(digest("\n".join(joined[at:end]).encode(), 11)), end - at
     return hashes, lengths
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``id, pos, n, hash`` of every span; a null doc_id is ``LAST``."""
+def all_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first sentence, the number of sentences and the hash of each span that starts or ends with a sentence."""
+    joined, counts = _joined(text)
+    hashes, lengths = _starting(joined, counts)
+    starts = np.flatnonzero(lengths)
+    if counts[-1] < LEAST_WORDS:
+        return starts, lengths[starts], hashes[starts]
+    ends = np.arange(LEAST_SENTENCES, len(joined) + 1)
+    begins = np.minimum(np.searchsorted(counts, counts[ends] - LEAST_WORDS, "right") - 1, ends - LEAST_SENTENCES)
+    new = (begins >= 0) & (lengths[np.maximum(begins, 0)] != ends - begins)
+    begins, ends = begins[new], ends[new]
+    digest = xxhash.xxh64_intdigest
+    more = [_signed(digest("\n".join(joined[a:b]).encode(), 11)) for a, b in zip(begins.tolist(), ends.tolist())]
+    return (np.append(starts, begins), np.append(lengths[starts], ends - begins), np.append(hashes[starts], np.array(more, np.int64)))
+
+
+def spans(docs: DataFrame, ending: bool = False) -> DataFrame:
+    """``id, pos, n, hash`` of every span; a null doc_id is ``LAST``. ``ending``: also those found by their last sentence."""
     def run(batches):
         for batch in batches:
             ids, at, sizes, values = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                hashes, lengths = span_hashes(text.as_py() or "")
-                starts = np.flatnonzero(lengths)
+                if ending:
+                    starts, lengths, hashes = all_spans(text.as_py() or "")
+                else:
+                    hashes, lengths = span_hashes(text.as_py() or "")
+                    starts = np.flatnonzero(lengths)
+                    lengths, hashes = lengths[starts], hashes[starts]
                 ids.append(np.full(len(starts), doc_id))
                 at.append(starts.astype(np.int32))
-                sizes.append(lengths[starts])
-                values.append(hashes[starts])
+                sizes.append(lengths)
+                values.append(hashes)
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(kind)) for x, kind in
                                                   ((ids, np.int64), (at, np.int32), (sizes, np.int32), (values, np.int64))],
@@ -87,9 +152,9 @@ def spans(docs: DataFrame) -> DataFrame:
         run, "id long, pos int, n int, hash long")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, ending: bool = False) -> DataFrame:
     """``id, pos, n`` of every span that is not the first of its kind."""
-    found = stored(spans(docs), "sentence-spans")
+    found = stored(spans(docs, ending), "sentence-spans")
     place = F.struct("id", "pos")
     # Stored, so that both sides of the join are plain shuffles: adaptive execution splits the spans of a hot hash.
     firsts = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
@@ -97,16 +162,19 @@ def repeats(docs: DataFrame) -> DataFrame:
     return found.join(firsts, "hash").filter(place != F.col("first")).select("id", "pos", "n").distinct()
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_spans, removed`` per document that loses sentences; ``removed`` are their numbers, from 0."""
+def removals(docs: DataFrame, ending: bool = False) -> DataFrame:
+    """``doc_id, n_spans, removed`` per document that loses sentences; ``removed`` are their numbers, from 0.
+
+    ``ending``: by all spans, as the query and ``deduplicated`` do; else by those of ``span_hashes``.
+    """
     covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("n") - 1)))))
-    return repeats(docs).groupBy("id").agg(F.count("*").alias("n_spans"), covered.alias("removed")).select(
+    return repeats(docs, ending).groupBy("id").agg(F.count("*").alias("n_spans"), covered.alias("removed")).select(
         F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "n_spans", "removed")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated sentences taken out of ``text``; other columns as they are."""
-    gone = removals(docs).select(F.col("doc_id").alias("of"), "removed")
+    gone = removals(docs, ending=True).select(F.col("doc_id").alias("of"), "removed")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["of"]), "left").select("row", "text", "removed")
 
@@ -126,4 +194,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Documents that lose sentences, and which."""
-    return removals(table(spark, sf_dir, "documents")).withColumn("n_removed", F.size("removed"))
+    return removals(table(spark, sf_dir, "documents"), ending=True).withColumn("n_removed", F.size("removed"))
