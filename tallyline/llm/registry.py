@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from tallyline.llm import (
+    conversation_repair,
     decontamination,
+    forced_boundaries,
+    hard_negatives,
     mixing,
     neighbours,
     sentence_spans,
@@ -28,8 +31,11 @@ def queries() -> dict:
         "op8_neighbours": neighbours.query,
         "op9_token_counts": token_counts.query,
         "op10_mixing": mixing.query,
+        "op11_forced_boundaries": forced_boundaries.query,
+        "op12_conversation_repair": conversation_repair.query,
+        "op13_hard_negatives": hard_negatives.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_neighbours": neighbours.SQL, "op10_mixing": mixing.SQL}
+    return {"op8_neighbours": neighbours.SQL, "op10_mixing": mixing.SQL, "op13_hard_negatives": hard_negatives.SQL}

@@ -13,7 +13,7 @@ def test_query_with_sql(spark, sf, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(name[2:].split("_")[0]) for name in registry.queries()} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in registry.queries()} == set(range(1, 14))
 
 
 def test_pipeline(spark, sf):
