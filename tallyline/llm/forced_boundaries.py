@@ -44,10 +44,9 @@ from tallyline.llm.vocabulary import Grown, _flat, _runs
 
 # Characters whose class is asked for: Latin and common punctuation. All are stable under NFC.
 PROBED = [*range(0x20), *range(0x20, 0x7F), *range(0xA0, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC]
-MOST_FRAGMENTS = 400_000
-MOST_PIECES = 400_000
-BATCH_CHARS = 1 << 21
-
+MOST_FRAGMENTS = 200_000
+MOST_PIECES = 300_000
+BATCH_CHARS = 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -112,8 +111,10 @@ class Merger:
 
     def encode(self, letters: str) -> list[int]:
         """Ids of one piece, written in byte letters."""
-        out = []
-        for fragment in self.fragments(letters):
+        out, fragments = [], self.fragments(letters)
+        if len(fragments) == 1:
+            return self.merged(fragments[0])
+        for fragment in fragments:
             ids = self.known.get(fragment)
             if ids is None:
                 if len(self.known) >= MOST_FRAGMENTS:
@@ -266,6 +267,10 @@ def _sliced(lengths: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begins.tolist(), [*begins[1:].tolist(), len(lengths)]))
 
 
+def _lists(ids: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids.astype(np.int32)))
+
+
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids`` for each row of ``docs``."""
     def run(batches):
@@ -274,8 +279,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             texts = batch.column(1).fill_null("")
             for a, b in _sliced(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)):
                 ids, sizes = encoder.encode(texts.slice(a, b - a).to_pylist())
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _lists(ids, sizes)], ["doc_id", "ids"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids array<int>")
@@ -297,11 +301,26 @@ def decoded(rows: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
         run, f"doc_id {rows.schema[id_col].dataType.simpleString()}, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, text``: what ``decoded(encoded(docs))`` gives, in one pass with one set of workers."""
+    def run(batches):
+        encoder = held(path)
+        for batch in batches:
+            texts = batch.column(1).fill_null("")
+            for a, b in _sliced(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)):
+                ids, sizes = encoder.encode(texts.slice(a, b - a).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), _lists(ids, sizes), encoder.decode(ids, sizes)], ["doc_id", "ids", "text"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids array<int>, text string")
+
+
 def query(spark, sf_dir: str, path: str | None = None) -> DataFrame:
     import public_tokenizers
 
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    both = decoded(encoded(table(spark, sf_dir, "documents"), path), path)
+    both = round_trip(table(spark, sf_dir, "documents"), path)
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),

@@ -86,3 +86,4 @@ def test_round_trip(spark):
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts(9, 200))], "doc_id long, text string")
     back = bpe.decoded(bpe.encoded(rows, BYTES), BYTES)
     assert {r.doc_id: r.text for r in back.collect()} == {r.doc_id: r.text for r in rows.collect()}
+    assert sorted(back.collect()) == sorted(bpe.round_trip(rows, BYTES).collect())
