@@ -32,7 +32,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm import near_copies
 from tallyline.llm.common import components, stored, table
 
 SHINGLE = 3
@@ -69,15 +68,21 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > count).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: one row per row of ``docs``."""
+def _printed(rows: DataFrame) -> DataFrame:
+    """The columns of ``rows`` but the last, which is the text, and ``fp``."""
+    names = rows.columns[:-1]
+
     def run(batches):
         for batch in batches:
-            prints = [fingerprint(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            prints = [fingerprint(t.as_py()) for t in batch.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints, pa.int64())], [*names, "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "fp"]))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp``: one row per row of ``docs``."""
+    return _printed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
 
 
 def references(count: int = PIVOTS) -> list[int]:
@@ -145,9 +150,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(by_print, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of each group of near copies, as the pipeline has it: 5-word shingles, similarity 0.8."""
-    return near_copies.keep_one(docs)
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns. Hashes leave nulls out, so where they are is hashed too; maps have none and go as JSON."""
+    values = [F.to_json(F.struct(c)) if "map<" in t else F.col(f"`{c}`") for c, t in docs.dtypes]
+    return F.xxhash64(*values, *[F.col(f"`{c}`").isNull() for c in docs.columns])
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` with one of each component of near duplicates.
+
+    A component keeps its row of least id, null last, then of least row hash,
+    whichever texts share an id; identical rows are one.
+    """
+    found = stored(_printed(docs.select(F.col(id_col).cast("long").alias("doc_id"), row_hash(docs).alias("h"), F.col(text_col).alias("text"))),
+                   "simhash-prints")
+    row = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "h")
+    classes = stored(found.groupBy("fp").agg(F.min(row).alias("least")), "simhash-classes")
+    joined = components(link_pairs(classes, radius), "simhash-components")
+    keep = stored(classes.join(joined, classes["fp"] == joined["node"], "left").groupBy(F.coalesce("root", "fp").alias("root"))
+                  .agg(F.min("least").alias("least")).select(F.col("least.h").alias("h")), "simhash-kept")
+    rows = docs.select(row_hash(docs).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(keep, "h", "left_semi")
+    # Dealt by the hash for the join already; all rows of one hash are the same row.
+    return rows.groupBy("h").agg(F.first("row").alias("row")).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
