@@ -44,34 +44,38 @@ def _ordered(value: Column) -> Column:
     return F.struct(*ORDER, value.alias("value"))
 
 
-def _first(value: Column, when: Column) -> Column:
-    return F.min(F.when(when, _ordered(value)))
+# How the values of a fold come together.
+TOGETHER = {"min": F.min, "max": F.max, "or": F.bool_or, "sum": F.sum}
 
 
-def _last(value: Column, when: Column) -> Column:
-    return F.max(F.when(when, _ordered(value)))
+def _first(value: Column, when: Column) -> tuple[Column, str]:
+    return F.when(when, _ordered(value)), "min"
+
+
+def _last(value: Column, when: Column) -> tuple[Column, str]:
+    return F.when(when, _ordered(value)), "max"
 
 
 def _filled(name: str) -> Column:
     return F.col(name).isNotNull() & (F.col(name) != "")
 
 
-def _contact_folds() -> dict[str, tuple[Column, object]]:
-    """Contact-level folds over events: the aggregate, and how two results of it combine."""
+def contact_folds() -> dict[str, tuple[Column, str]]:
+    """Contact-level folds: what one event adds, and how that comes together with what others add."""
     snapshot = F.struct("attributes", "queue", "third_party")
     return {
-        "c_type": (_first(F.col("contact_type"), merges() & _filled("contact_type")), F.min),
-        "c_initial": (_first(F.col("initialConnectionId"), merges() & _filled("initialConnectionId")), F.min),
-        "c_start": (F.min(F.when(merges(), F.col("ts"))), F.min),
-        "c_inbound": (F.bool_or(F.when(merges(), F.col("inbound"))), F.bool_or),
-        **{f"c_{stage}": (_first(snapshot, merges() & (F.col("status") == stage)), F.min) for stage in STAGES},
-        "c_destroyed": (F.max(F.when(F.col("event_type") == "Destroyed", F.struct(*ORDER))), F.max),
-        "c_last": (F.max("ts"), F.max),
+        "c_type": _first(F.col("contact_type"), merges() & _filled("contact_type")),
+        "c_initial": _first(F.col("initialConnectionId"), merges() & _filled("initialConnectionId")),
+        "c_start": (F.when(merges(), F.col("ts")), "min"),
+        "c_inbound": (F.when(merges(), F.col("inbound")), "or"),
+        **{f"c_{stage}": _first(snapshot, merges() & (F.col("status") == stage)) for stage in STAGES},
+        "c_destroyed": (F.when(F.col("event_type") == "Destroyed", F.struct(*ORDER)), "max"),
+        "c_last": (F.col("ts"), "max"),
     }
 
 
-def _leg_folds() -> dict[str, tuple[Column, object]]:
-    """Connection-level folds over events, likewise."""
+def leg_folds() -> dict[str, tuple[Column, str]]:
+    """Connection-level folds, likewise."""
     # An agent leg is dialled at the extension, but only a readable extension replaces the endpoint's number.
     reached = (F.col("conn_type") == "agent") & digits(F.col("extension")).isNotNull()
     phone = F.when(reached, F.col("extension")).otherwise(F.col("phone_number")).alias("phone")
@@ -79,26 +83,36 @@ def _leg_folds() -> dict[str, tuple[Column, object]]:
     agent = F.struct("extension", "soft_phone_enabled")
     has_agent = F.col("extension").isNotNull() | F.col("soft_phone_enabled").isNotNull()
     return {
-        **{f"l_{s}": (F.min(F.when(merges() & (F.col("conn_state") == s), F.col("ts"))), F.min) for s in LEG_STATES},
-        "l_first": (_first(F.struct("conn_state", "active"), merges()), F.min),
-        "l_last": (_last(state, merges()), F.max),
-        "l_agent": (_last(agent, merges() & has_agent), F.max),
-        "l_country": (_last(F.col("country"), merges() & F.col("country").isNotNull()), F.max),
-        "l_events": (F.count_if(merges()), F.sum),
+        **{f"l_{s}": (F.when(merges() & (F.col("conn_state") == s), F.col("ts")), "min") for s in LEG_STATES},
+        "l_first": _first(F.struct("conn_state", "active"), merges()),
+        "l_last": _last(state, merges()),
+        "l_agent": _last(agent, merges() & has_agent),
+        "l_country": _last(F.col("country"), merges() & F.col("country").isNotNull()),
+        "l_events": (merges().cast("bigint"), "sum"),
     }
 
 
+def _together(folds: dict[str, tuple[Column, str]]) -> list[Column]:
+    return [TOGETHER[kind](value).alias(n) for n, (value, kind) in folds.items()]
+
+
+def single_parts(events: DataFrame, prefixes: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """What each event alone comes to: a part per event, in the form that ``combine_parts`` goes on with."""
+    folds = contact_folds() | leg_folds()
+    return known_events(events).transform(with_country, prefixes, small).select(
+        *KEYS, *[value.alias(n) for n, (value, _) in folds.items()])
+
+
 def fold_parts(events: DataFrame, prefixes: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """All folds, one row per contact and connection, in the form that ``combine_parts`` goes on with."""
-    folds = _contact_folds() | _leg_folds()
     return (known_events(events).transform(with_country, prefixes, small)
-            .groupBy(*KEYS).agg(*[fold.alias(n) for n, (fold, _) in folds.items()]))
+            .groupBy(*KEYS).agg(*_together(contact_folds() | leg_folds())))
 
 
 def combine_parts(parts: DataFrame) -> DataFrame:
     """The parts of different events as one."""
-    folds = _contact_folds() | _leg_folds()
-    return parts.groupBy(*KEYS).agg(*[combine(n).alias(n) for n, (_, combine) in folds.items()])
+    folds = contact_folds() | leg_folds()
+    return parts.groupBy(*KEYS).agg(*[TOGETHER[kind](n).alias(n) for n, (_, kind) in folds.items()])
 
 
 def decide(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -108,9 +122,9 @@ def decide(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
     time limit go. A window over parts has a row per connection, not per event.
     """
     of = Window.partitionBy("contactId")
-    contact = _contact_folds()
+    contact = contact_folds()
     rest = [c for c in parts.columns if c not in contact]
-    whole = parts.select(*rest, *[combine(n).over(of).alias(n) for n, (_, combine) in contact.items()])
+    whole = parts.select(*rest, *[TOGETHER[kind](n).over(of).alias(n) for n, (_, kind) in contact.items()])
     opened = F.col("c_start").isNotNull()
     stale = F.lit(False) if as_of is None else as_of > F.col("c_last") + _limit()
     return whole.withColumn("completion", F.when(opened, _completion(as_of))).filter(opened | ~stale)
@@ -144,8 +158,7 @@ def fold_contacts(events: DataFrame, as_of: Column | None = None) -> DataFrame:
 
     A contact that only ever reported terminal events has no record.
     """
-    folded = known_events(events).groupBy("contactId").agg(
-        *[fold.alias(name) for name, (fold, _) in _contact_folds().items()]).filter(F.col("c_start").isNotNull())
+    folded = known_events(events).groupBy("contactId").agg(*_together(contact_folds())).filter(F.col("c_start").isNotNull())
     completion = _completion(as_of)
     stages = [column.alias(name) for stage in STAGES for name, column in {
         f"{stage}_at": iso_micros(f"c_{stage}.ts"),
@@ -163,7 +176,7 @@ def fold_contacts(events: DataFrame, as_of: Column | None = None) -> DataFrame:
 def fold_connections(events: DataFrame, prefixes: DataFrame | None = None) -> DataFrame:
     """One flat row per contact and connection."""
     folded = (known_events(events).filter(merges()).transform(with_country, prefixes)
-              .groupBy(*KEYS).agg(*[fold.alias(n) for n, (fold, _) in _leg_folds().items()]))
+              .groupBy(*KEYS).agg(*_together(leg_folds())))
     return folded.select(
         "contactId", "connId", *[iso_micros(f"l_{s}").alias(f"{s}Timestamp") for s in LEG_STATES],
         F.col("l_last.value.conn_type").alias("type"), F.col("l_last.value.active").alias("active"),
@@ -196,7 +209,7 @@ def contact_records(events: DataFrame, prefixes: DataFrame | None = None, as_of:
 
 def records_of(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The records of parts; their completion is what ``decide`` found, or that of all the parts together."""
-    contact = _contact_folds()
+    contact = contact_folds()
     completion = [F.max("completion").alias("completion")] if "completion" in parts.columns else []
     connection = F.struct(
         F.col("connId").alias("id"),
@@ -218,7 +231,7 @@ def records_of(parts: DataFrame, as_of: Column | None = None) -> DataFrame:
         _seen("l_agent").alias("agentSeen"), _seen("l_country").alias("countrySeen"),
         F.col("l_events").alias("entries"))
     records = parts.groupBy("contactId").agg(
-        *[combine(n).alias(n) for n, (_, combine) in contact.items()],
+        *[TOGETHER[kind](n).alias(n) for n, (_, kind) in contact.items()],
         *completion,
         F.sort_array(F.collect_list(F.when(F.col("l_events") > 0, connection))).alias("connections"),
     ).filter(F.col("c_start").isNotNull())

@@ -6,6 +6,7 @@ reads. The same rules are written in SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyline.operators.ingest import wrap_batch
 from tallyline.session import configure, scratch
 from tallyline.sources import sinks
-from tallyline.streaming.contacts import stream_contacts, write_slice
+from tallyline.streaming.contacts import complete_contacts, pending_contacts, stream_contacts, write_slice
 from tallyline.streaming.feeds import land_feed, stream_chat_usage
 from tallyline.sources import landing, schemas
 
@@ -357,53 +358,59 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS = 3
 
 
+def arrivals(events: DataFrame, count: int) -> tuple[list[DataFrame], int]:
+    """The events cut into spans of equal time, and the microsecond of the first."""
+    us = F.unix_micros("ts")
+    first, last = (x or 0 for x in events.agg(F.min(us), F.max(us)).first())
+    step = (last - first) // count + 1
+    return [events.filter(F.floor((us - first) / step) == n) for n in range(count)], first
+
+
 def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Replay the call events through the streaming fold, in as many arrivals of equal time span.
 
     Each arrival lands, the job runs until it has caught up, and stops; the next
-    run resumes from the checkpoint. One event of an otherwise unknown contact,
-    long after the others, moves the clock on so that every record times out.
+    run resumes from the checkpoint. The events are long past, so each run also
+    releases by its timers what they left pending.
     """
     def build(path: str) -> dict[str, str]:
         configure(spark)
         source, records, submitted, offsets = (scratch(spark, n) for n in ("calls", "records", "submitted", "offsets"))
-        events = call_events(spark, sf_dir)
-        us = F.unix_micros("ts")
-        first, last = events.agg(F.min(us), F.max(us)).first()
-        step = (((last or 0) - (first or 0)) // ARRIVALS) + 1
-        for arrival in range(ARRIVALS):
-            write_slice(events.filter(F.floor((us - (first or 0)) / step) == arrival), source)
+        for events in arrivals(call_events(spark, sf_dir), ARRIVALS)[0]:
+            write_slice(events, source)
             _run(spark, source, records, submitted, offsets)
-        write_slice(last_event(events), source)
-        _run(spark, source, records, submitted, offsets)
         return {"records": records, "submitted": submitted}
     return landed(spark, sf_dir, "contact_stream", build)
 
 
-CLOCK_CONTACT = "clock"
-
-
-def last_event(events: DataFrame) -> DataFrame:
-    """One event far in the future, of a contact of its own."""
-    late = F.max("ts") + F.expr("INTERVAL 100 DAYS")
-    return events.agg(late.alias("ts")).select(
-        F.lit(CLOCK_CONTACT).alias("contactId"), F.lit(-1).cast("bigint").alias("event_id"),
-        F.lit("Refresh").alias("event_type"), "ts", F.lit("connected").alias("status"), F.lit("k0").alias("connId"))
-
+def contact_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pending and the complete side of the streaming fold hold after each of two arrivals.
 
-def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str) -> None:
+    The replay lags so far behind that its clock stands at the first event: no timer is due.
+    """
+    def build(path: str) -> None:
+        configure(spark)
+        source, records, submitted, offsets = (scratch(spark, n) for n in ("calls", "records", "submitted", "offsets"))
+        slices, first = arrivals(call_events(spark, sf_dir), 2)
+        for moment, events in enumerate(slices, 1):
+            write_slice(events, source)
+            _run(spark, source, records, submitted, offsets, lag=int(time.time()) - first // 1_000_000)
+            for store, rows in (("pending", pending_contacts(spark, offsets)), ("complete", complete_contacts(spark, records))):
+                entries = F.aggregate("connections", F.lit(0).cast("bigint"), lambda n, c: n + c["entries"])
+                (rows.groupBy("contactId").agg(F.count("*").alias("records"), F.sum(entries).cast("bigint").alias("entries"))
+                 .select(F.lit(moment).alias("moment"), F.lit(store).alias("store"), "*").write.mode("append").parquet(path))
+    return spark.read.parquet(landed(spark, sf_dir, "contact_stores", build))
+
+
+def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, lag: int = 0) -> None:
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
-    stream_contacts(events, records, submitted, offsets, clock="ts", prefixes=dial_prefixes(spark),
-                    once=True).awaitTermination()
+    stream_contacts(events, records, submitted, offsets, prefixes=dial_prefixes(spark), once=True, lag=lag)
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audit trail of the streaming fold, without the event that moved the clock on."""
-    stored = spark.read.parquet(streamed_contacts(spark, sf_dir)["submitted"])
-    return stored.filter(F.col("contactId") != CLOCK_CONTACT)
+    """The audit trail of the streaming fold."""
+    return spark.read.parquet(streamed_contacts(spark, sf_dir)["submitted"])
 
 
 def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallyline.operators.contact_fold import RECORD
-    path = streamed_contacts(spark, sf_dir)["records"]
-    return spark.read.schema(schemas.struct(RECORD)).json(path)
+    return complete_contacts(spark, streamed_contacts(spark, sf_dir)["records"])

@@ -219,6 +219,23 @@ LAST_VALUES = 'type, active, "lastUpdate", status, "phoneNumber", extension, "so
 STAGE_COLUMNS = ", ".join(f"{s}_{p}" for s in ("connecting", "connected", "ended", "error")
                           for p in ("at", "attributes", "queue", "third_party"))
 
+_DECIDED = """SELECT contact, count(*) FILTER (merging) AS entries,
+    coalesce(bool_or(status = 'error') FILTER (merging), false)
+      OR coalesce(max(ord) FILTER (source = 'purchase') > min(ord) FILTER (merging AND status = 'ended'), false)
+      OR max(ts) - min(ts) FILTER (merging) > INTERVAL 1 DAY AS done"""
+
+# Two arrivals: a contact that the first completes starts anew in the second.
+STORES = EVENTS + f""",
+span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM ev),
+cut AS (SELECT ev.*, (epoch_us(ts) - lo) // ((hi - lo) // 2 + 1) AS arrival FROM ev, span),
+one AS ({_DECIDED} FROM cut WHERE arrival = 0 GROUP BY contact HAVING bool_or(merging)),
+two AS ({_DECIDED} FROM cut LEFT JOIN (SELECT contact, done AS gone FROM one) USING (contact)
+  WHERE arrival = 1 OR gone IS DISTINCT FROM true GROUP BY contact HAVING bool_or(merging)),
+held AS (
+  SELECT 1 AS moment, CASE WHEN done THEN 'complete' ELSE 'pending' END AS store, contact, entries FROM one
+  UNION ALL SELECT 2, 'complete', contact, entries FROM one WHERE done
+  UNION ALL SELECT 2, CASE WHEN done THEN 'complete' ELSE 'pending' END, contact, entries FROM two)"""
+
 HISTORY = EVENTS + f"""
 SELECT contact AS "contactId", conn AS "connId", event_id AS sequence, {iso_micros('ts')} AS timestamp,
   state AS status, CAST(active AS INTEGER) AS active FROM ev WHERE merging"""
@@ -418,7 +435,9 @@ def oracle_sql() -> dict[str, str]:
         "STR-11": _of(CONTACT_FOLD, 'SELECT "contactId", completion, record_status FROM contacts_out'),
         "STR-12": _of(EVENTS, """SELECT contact AS "contactId", 1 AS abandoned FROM ev WHERE merging GROUP BY contact
             HAVING NOT bool_or(status IN ('ended', 'error'))"""),
-        "STR-13": _of(EVENTS, """SELECT contact AS "contactId", event_id, kind AS event_type, status FROM ev
+        "STR-13": _of(STORES, """SELECT moment, store, contact AS "contactId", count(*) AS records, CAST(sum(entries) AS BIGINT) AS entries
+            FROM held GROUP BY ALL"""),
+        "STR-13-upsert": _of(EVENTS, """SELECT contact AS "contactId", event_id, kind AS event_type, status FROM ev
             QUALIFY row_number() OVER (PARTITION BY contact ORDER BY ord DESC) = 1"""),
         "STR-14": _of(EVENTS, "SELECT count(DISTINCT contact) AS contacts, count(*) AS entries FROM ev WHERE merging"),
         "STR-15": _of(EVENTS, 'SELECT contact AS "contactId", count(*) AS entries FROM ev WHERE merging GROUP BY contact'),

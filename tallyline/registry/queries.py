@@ -511,7 +511,8 @@ def queries() -> dict[str, Query]:
         "STR-10": of_contacts(lambda: [*STAGE_COLUMNS]),
         "STR-11": of_contacts(lambda: ["completion", "record_status"]),
         "STR-12": only_abandoned,
-        "STR-13": last_event,
+        "STR-13": fx.contact_stores,
+        "STR-13-upsert": last_event,
         "STR-14": emitted,
         "STR-15": recovered,
         "STR-16": exactly_once,

@@ -1,79 +1,114 @@
 """Streaming fold of call events into contact records.
 
-The state is a table with the partial fold of every contact that is not yet
-complete: a row per connection, however many events it had. Each micro-batch
-folds its own events, combines them with the table, emits the contacts that are
-complete and stores the rest. All of it is the batch job's built-in aggregates,
-so a busy contact is combined in every task before it moves, and nothing
-depends on the order that events arrive in: an event of a contact that is
-already out opens another record, and the records of a contact merge.
+The state is keyed (``keyed``): a micro-batch touches the contacts that its
+events name, and a timer per contact releases it when it is too old, also in a
+feed that has fallen silent. Nothing depends on the order that events arrive
+in: an event of a contact that is already out opens another record, and the
+records of a contact merge. A contact is in the state while it is pending and
+among the records once it is complete, in one of the two and never in both.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.contact_fold import combine_parts, decide, fold_parts, known_events, records_of
-from tallyline.operators.skew import fits_broadcast
+from tallyline.operators import contact_fold as fold
+from tallyline.session import settings
+from tallyline.sources import schemas
 from tallyline.sources.sinks import each_batch, write_batch, write_json
+from tallyline.streaming import keyed
 
 EMIT_INTERVAL = "300 seconds"
 
 
-def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, clock: str | None = None,
-                    prefixes: DataFrame | None = None, once: bool = False) -> StreamingQuery:
-    """Fold a stream of call events into contact records under ``path``.
+@dataclass(frozen=True)
+class ContactJob:
+    """The two queries of the job: the fold, and the audit trail of what was submitted to it."""
+
+    fold: StreamingQuery
+    audit: StreamingQuery
+
+    def awaitTermination(self, timeout: int | None = None) -> None:
+        for query in (self.fold, self.audit):
+            query.awaitTermination() if timeout is None else query.awaitTermination(timeout)
+
+    def stop(self) -> None:
+        for query in (self.fold, self.audit):
+            query.stop()
 
-    Each micro-batch first stores its events under ``submitted``: that is the
-    audit trail, and the source of the connection history. ``clock`` is the
-    column that ages contacts, such as an arrival time; the greatest value seen
-    counts, and no event is ever too late for it. The default is the time of
-    the micro-batch. Contacts age when a micro-batch runs, so a feed that falls
-    silent releases its last ones with its next event.
+
+def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, prefixes: DataFrame | None = None,
+                    once: bool = False, every: str = EMIT_INTERVAL, limit: int = fold.PENDING_LIMIT_SECONDS,
+                    lag: int = 0) -> ContactJob:
+    """Fold a stream of call events into contact records under ``path``, and store the events under ``submitted``.
+
+    A pending contact is released ``limit`` seconds after its first event, by
+    the clock of the machine, at the first micro-batch from then on. ``lag`` is
+    how many seconds the feed lies back: a replay of last week's events ages
+    them as last week did. ``once`` works off what is there, releases what is
+    due and stops.
 
     The folders of records and events are keyed by query and batch and
-    overwritten on replay. The state lies under the checkpoint, in two folders
-    by turns: a batch reads the one before it and writes the other, so a replay
-    finds what its first attempt found.
+    overwritten on replay; a replayed micro-batch takes the same events, state
+    and time as its first attempt, so it writes the same.
     """
-    small = None if prefixes is None else fits_broadcast(prefixes)
+    spark = events.sparkSession
+    types = keyed.part_types(spark)
+
+    def emit(batch: DataFrame, batch_id: int, run: str) -> None:
+        write_batch(fold.records_of(keyed.from_text(batch, types)), path, batch_id, run=run)
 
     def submit(batch: DataFrame, batch_id: int, run: str) -> None:
-        spark = batch.sparkSession
-        now = F.current_timestamp() if clock is None else F.col(clock)
-        arrived = known_events(batch).withColumn("_clock", now)
-        target = write_batch(arrived, submitted, batch_id, "parquet", run)
-        stored = spark.read.schema(arrived.schema).parquet(target)
-
-        parts = fold_parts(stored, prefixes, small)
-        schema = T.StructType(parts.schema.fields + [
-            T.StructField("completion", T.StringType()), T.StructField("clock_us", T.LongType()),
-            T.StructField("pending", T.BooleanType())])
-        latest = stored.agg(F.max(F.unix_micros("_clock"))).first()[0]
-        if batch_id > 0:
-            held = spark.read.schema(schema).parquet(_slot(checkpoint, batch_id - 1)).filter("pending")
-            before = held.agg(F.max("clock_us")).first()[0]
-            latest = max((us for us in (latest, before) if us is not None), default=None)
-            parts = combine_parts(parts.unionByName(held.select(parts.columns)))
-        as_of = F.timestamp_micros(F.lit(latest).cast("bigint"))
-        decided = decide(parts, as_of).withColumns({
-            "clock_us": F.lit(latest).cast("bigint"), "pending": F.col("completion").isNull()})
-        slot = _slot(checkpoint, batch_id)
-        decided.select(schema.names).write.mode("overwrite").partitionBy("pending").parquet(slot)
-        done = spark.read.schema(schema).parquet(slot).filter(~F.col("pending"))
-        write_batch(records_of(done), path, batch_id, run=run)
-
-    writer = (events.writeStream.foreachBatch(each_batch(submit)).outputMode("append")
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=EMIT_INTERVAL)
-    return writer.start()
-
-
-def _slot(checkpoint: str, batch_id: int) -> str:
-    return f"{checkpoint}/fold/slot={batch_id % 2}"
+        write_batch(fold.known_events(batch), submitted, batch_id, "parquet", run)
+
+    done = keyed.completed(events, prefixes, types, limit, lag)
+    with settings(spark, keyed.STATE_CONF):
+        started = [(frame.writeStream.foreachBatch(each_batch(store)).outputMode("append")
+                    .option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger).start())
+                   for name, frame, store, trigger in (
+                       ("fold", done, emit, {"processingTime": "0 seconds" if once else every}),
+                       ("audit", events, submit, {"availableNow": True} if once else {"processingTime": every}))]
+    job = ContactJob(*started)
+    if once:
+        _catch_up(job.fold)
+        job.audit.awaitTermination()
+    return job
+
+
+def _catch_up(query: StreamingQuery, poll: float = 0.1) -> None:
+    """Wait for a micro-batch that found nothing new, which also released what was due, and stop.
+
+    A job with timers by the clock never runs out of micro-batches by itself.
+    """
+    while query.isActive:
+        last = query.lastProgress
+        if last is not None and "addBatch" in last.durationMs and all(s.startOffset == s.endOffset for s in last.sources):
+            break
+        time.sleep(poll)
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def pending_contacts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The records of pending contacts, from the state of a job that may be running: those after its last micro-batch.
+
+    In the form of the complete ones; their completion is NULL.
+    """
+    types = keyed.part_types(spark)
+    parts = keyed.pending_parts(spark, f"{checkpoint}/fold", types)
+    return fold.records_of(parts.withColumn("completion", F.lit(None).cast("string")))
+
+
+def complete_contacts(spark: SparkSession, path: str) -> DataFrame:
+    """The records that the job has emitted, one for each time a contact became complete."""
+    schema = schemas.struct(fold.RECORD)
+    return spark.read.schema(schema).json(path).select(schema.names)
 
 
 def write_slice(events: DataFrame, path: str) -> None:

@@ -1,7 +1,9 @@
 """The contact fold: batch, partial records, and the streaming job agree."""
 
+import os
 import random
 import tempfile
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import contact_fold as fold
 from tallyline.registry import fixtures as fx
 from tallyline.sources import landing, schemas
-from tallyline.streaming.contacts import stream_contacts, write_slice
+from tallyline.streaming.contacts import complete_contacts, pending_contacts, stream_contacts, write_slice
 
 START = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -123,17 +125,18 @@ def folders():
     return tuple(f"{root}/{n}" for n in ("calls", "records", "submitted", "offsets"))
 
 
-def replay(spark, slices, where=None, max_files=landing.MAX_FILES_PER_BATCH):
+def lag():
+    """So that the clock of a job stands at START."""
+    return int(time.time() - START.timestamp())
+
+
+def replay(spark, slices, where=None, max_files=landing.MAX_FILES_PER_BATCH, behind=None):
     source, records, submitted, offsets = where or folders()
     for rows in slices:
         write_slice(frame(spark, rows).coalesce(1), source)
         events = landing.stream_json(spark, source, schemas.CALL_EVENT, max_files)
-        stream_contacts(events, records, submitted, offsets, clock="ts", once=True).awaitTermination()
-    schema = schemas.struct(fold.RECORD)
-    return spark.read.schema(schema).json(records)
-
-
-LAST = event("clock", 10**6, "Refresh", minutes=200_000)
+        stream_contacts(events, records, submitted, offsets, once=True, lag=lag() if behind is None else behind)
+    return complete_contacts(spark, records)
 
 
 def scenario():
@@ -155,13 +158,15 @@ def merging(rows):
 
 @pytest.mark.parametrize("cuts", [1, 3])
 def test_stream_equals_batch_however_it_is_cut(spark, cuts):
-    rows = scenario()
+    rows, where = scenario(), folders()
     size = -(-len(rows) // cuts)
     slices = [rows[i:i + size] for i in range(0, len(rows), size)]
-    records = replay(spark, slices + [[LAST]])
-    same_fold(records, frame(spark, merging(rows)))
+    records = replay(spark, slices, where)
+    waiting = pending_contacts(spark, where[3])
+    same_fold(records.unionByName(waiting), frame(spark, merging(rows)))
     reasons = {r.contactId: r.completion for r in records.collect() if r.contactId != "late"}
-    assert reasons == {"done": "destroyed", "broken": "error", "young": "abandoned", "split": "destroyed"}
+    assert reasons == {"done": "destroyed", "broken": "error", "split": "destroyed"}
+    assert {r.contactId for r in waiting.collect()} - {"late"} == {"young"}
 
 
 def test_pending_contacts_wait_and_survive_a_restart(spark):
@@ -169,18 +174,57 @@ def test_pending_contacts_wait_and_survive_a_restart(spark):
     rows = scenario()[:-1]
     first = replay(spark, [rows], where)
     assert {r.contactId for r in first.collect()} == {"done", "broken", "late"}
+    assert {r.contactId for r in pending_contacts(spark, where[3]).collect()} == {"young", "split"}
     again = replay(spark, [[event("young", 3000, "ACW", "ended", minutes=1500)]], where)
     young = again.filter("contactId = 'young'").collect()
     assert len(young) == 1 and young[0].connections[0].entries == 2
-    assert again.count() == 5
+    assert again.count() == 4
+    assert [r.contactId for r in pending_contacts(spark, where[3]).collect()] == ["split"]
+
+
+def test_a_late_start_releases_all_that_is_due(spark):
+    """The clock of the machine is long past the events: no event moves it."""
+    where = folders()
+    records = replay(spark, [scenario()], where, behind=0)
+    assert {r.contactId: r.completion for r in records.collect()} == {
+        "done": "destroyed", "broken": "error", "young": "abandoned", "late": "destroyed", "split": "destroyed"}
+    assert pending_contacts(spark, where[3]).count() == 0
+
+
+def test_release_in_silence(spark):
+    """One arrival, and nothing after it: the contact comes out when its time is up, and not before."""
+    source, records, submitted, offsets = folders()
+    age = 86_400 - 45
+    now = datetime.now(timezone.utc)
+    quiet = event("quiet", 1, "Connected") | {"ts": now - timedelta(seconds=age)}
+    ends = event("ends only", 2, "Ended", "ended") | {"ts": now - timedelta(seconds=age)}
+    write_slice(frame(spark, [quiet, ends]).coalesce(1), source)
+    job = stream_contacts(landing.stream_json(spark, source, schemas.CALL_EVENT), records, submitted, offsets, every="1 second")
+    try:
+        seen, until = None, time.time() + 150
+        while time.time() < until and not job.fold.exception():
+            if seen is None and job.fold.lastProgress:
+                seen = {r.contactId for r in pending_contacts(spark, offsets).collect()}
+            if seen is not None and complete_contacts(spark, records).count():
+                break
+            time.sleep(1)
+        released = time.time()
+    finally:
+        job.stop()
+    assert seen == {"quiet"}
+    assert [(r.contactId, r.completion) for r in complete_contacts(spark, records).collect()] == [("quiet", "abandoned")]
+    assert released - now.timestamp() >= 45 and pending_contacts(spark, offsets).count() == 0
 
 
 def test_event_after_completion_opens_another_record(spark):
+    where = folders()
     rows = [event("a", 1, "ACW", "ended", state="disconnected"), event("a", 2, "Destroyed", "ended")]
     later = [event("a", 3, "Connected", state="connected")]
-    records = replay(spark, [rows, later, [LAST]])
-    assert [r.completion for r in records.orderBy("initialTimestamp").collect()] == ["destroyed", "abandoned"]
-    same_fold(records, frame(spark, rows + later))
+    records = replay(spark, [rows, later], where)
+    assert [r.completion for r in records.collect()] == ["destroyed"]
+    waiting = pending_contacts(spark, where[3])
+    assert [r.completion for r in waiting.collect()] == [None]
+    same_fold(records.unionByName(waiting), frame(spark, rows + later))
 
 
 def test_busy_contact_gives_one_complete_record(spark):
@@ -191,12 +235,41 @@ def test_busy_contact_gives_one_complete_record(spark):
         F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_714_521_600) + F.col("id") % 40_000).alias("ts"),
         F.concat(F.lit("k"), F.col("id") % 3).alias("connId"))).select(schemas.struct(schemas.CALL_EVENT).names)
     write_slice(hot, where[0])
+    records = replay(spark, [[event("hot", 200_000, "Connected", minutes=600)]], where, max_files=1)
+    assert records.count() == 0
+    state = spark.read.format("statestore").option("path", f"{where[3]}/fold").option("stateVarName", "legs").load()
+    assert state.count() == 3
     ends = [event("hot", 200_001, "ACW", "ended", minutes=700), event("hot", 200_002, "Destroyed", "ended", minutes=701)]
-    records = replay(spark, [ends], where, max_files=1)
+    records = replay(spark, [ends], where)
     assert [r.completion for r in records.collect()] == ["destroyed"]
-    same_fold(records, hot.union(frame(spark, ends)))
-    held = spark.read.parquet(f"{where[3]}/fold").groupBy("slot").count()
-    assert max(r["count"] for r in held.collect()) == 3
+    same_fold(records, hot.union(frame(spark, [event("hot", 200_000, "Connected", minutes=600)] + ends)))
+
+
+def test_events_are_combined_before_they_move(spark):
+    from tallyline.streaming import keyed
+    rows = [event("hot", i, "Connected", leg=f"k{i % 2}") for i in range(500)] + [event("b", 900, "Connected")]
+    types = keyed.part_types(spark)
+    contact, legs = keyed.kinds_of()
+    texts = keyed.as_text(fold.single_parts(frame(spark, rows).coalesce(1)), types)
+    few = keyed.combined_in_tasks(texts, contact | legs)
+    assert texts.count() == 501 and few.count() == 3
+    same_fold(fold.records_of(fold.decide(keyed.from_text(few, types))), frame(spark, rows))
+
+
+def test_state_written_follows_the_batch(spark):
+    """A micro-batch with one event writes what one contact takes, whatever is pending."""
+    where = folders()
+
+    def written(since=frozenset()):
+        files = {os.path.join(d, f) for d, _, names in os.walk(f"{where[3]}/fold/state") for f in names if f.endswith(".changelog")}
+        return files, sum(os.path.getsize(f) for f in files - since)
+
+    replay(spark, [[event(f"c{i}", i, "Connected", minutes=0) for i in range(3000)]], where)
+    before, all_bytes = written()
+    replay(spark, [[event("c7", 5000, "Refresh", minutes=1)]], where)
+    _, more = written(before)
+    assert pending_contacts(spark, where[3]).count() == 3000
+    assert 0 < more < all_bytes / 20
 
 
 def test_files_in_any_order_and_one_to_a_batch(spark, sf):
@@ -204,14 +277,9 @@ def test_files_in_any_order_and_one_to_a_batch(spark, sf):
     source, records, submitted, offsets = folders()
     write_slice(events.repartition(6, F.xxhash64("event_id")), source)
     stream = landing.stream_json(spark, source, schemas.CALL_EVENT, max_files=1)
-    stream_contacts(stream, records, submitted, offsets, clock="ts", prefixes=fx.dial_prefixes(spark),
-                    once=True).awaitTermination()
-    write_slice(fx.last_event(events), source)
-    stream_contacts(stream, records, submitted, offsets, clock="ts", prefixes=fx.dial_prefixes(spark),
-                    once=True).awaitTermination()
-    mine = F.col("contactId") != fx.CLOCK_CONTACT
-    same_fold(spark.read.schema(schemas.struct(fold.RECORD)).json(records).filter(mine), events, fx.dial_prefixes(spark))
-    stored = spark.read.parquet(submitted).filter(mine)
+    stream_contacts(stream, records, submitted, offsets, prefixes=fx.dial_prefixes(spark), once=True)
+    same_fold(complete_contacts(spark, records), events, fx.dial_prefixes(spark))
+    stored = spark.read.parquet(submitted)
     assert stored.select("batch").distinct().count() > 3
     same(fold.history(stored), fold.history(events))
 
@@ -231,7 +299,6 @@ def test_streamed_records_feed_the_usage_report(spark, sf):
     contacts = fx.contacts(spark, sf)
     once = spark.read.json(streamed).groupBy("contactId").count().filter("count = 1")
     voice = once.select(F.col("contactId").alias("ContactId")).withColumn("Channel", F.lit("VOICE"))
-    voice = voice.filter(F.col("ContactId") != fx.CLOCK_CONTACT)
     contacts = voice.join(contacts.drop("ContactId", "Channel").limit(1), how="cross").select(contacts.columns)
     usage = [reports.connection_usage(contacts, landing.call_connections(spark, path, LEG_FIELDS), ordered=False)
              for path in (batch, streamed)]
@@ -255,12 +322,12 @@ def test_a_new_checkpoint_keeps_older_results(spark):
     assert set(after) == before | {("more", "error")} and len(after) == len(set(after))
 
 
-def test_arrival_clock_needs_no_column(spark):
+def test_once_stops_by_itself(spark):
     source, records, submitted, offsets = folders()
     write_slice(frame(spark, [event("a", 1, "Refresh", "error")]), source)
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
     stream_contacts(events, records, submitted, offsets, once=True).awaitTermination()
-    assert spark.read.json(records).count() == 1
+    assert complete_contacts(spark, records).count() == 1
 
 
 def test_stage_names():
