@@ -20,19 +20,22 @@ the benchmark's hashes before the join, so what is shuffled is what may match;
 a benchmark that fills the filter costs time and loses nothing.
 
 Nulls and ties: null and empty texts match nothing; an item without words
-matches nothing; repeated rows each get their result; columns other than the
-id and text are ignored; an empty table gives an empty table.
+matches nothing. A document is a doc_id, null or not, and a text: rows that share
+an id are matched apart, and each row gets the result of its own text. Items that
+share an id are one item of several texts. Columns other than the id and text are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import stored, table
@@ -182,47 +185,58 @@ def bloom_of(items: DataFrame) -> np.ndarray:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """``row, item_id, n_windows, first_pos, last_pos`` per row of ``docs(row, text)`` and item found in it."""
+    """``doc_id, row, item_id, n_windows, first_pos, last_pos`` per document of ``keyed`` rows and item found in it."""
     spark = docs.sparkSession
     texts = benchmark.select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("row"), "text")
     items = stored(windows(texts, (window,), whole_short=True), "template-items")
     widths = tuple(sorted(r[0] for r in items.select("width").distinct().collect()))  # 1 to window
     bloom = spark.sparkContext.broadcast(bloom_of(items))  # BLOOM_BITS bytes
-    own = windows(docs.select(F.lit(0).cast("long").alias("id"), "row", "text"), widths, bloom)
+    own = windows(docs.select(F.col("doc_id").alias("id"), "row", "text"), widths, bloom)
     i, d = items.alias("i"), own.alias("d")
     met = d.join(i, (F.col("d.hash") == F.col("i.hash")) & (F.col("d.view") == F.col("i.view"))
                  & (F.col("d.width") == F.col("i.width")) & (F.size("d.slots") == F.size("i.slots")))
     same = F.col("d.slots") == F.col("i.slots")
     met = met.filter(same | (F.col("d.width") - F.size("d.slots") >= literals)).select(
-        "d.row", F.col("i.id").alias("item_id"), "d.view", "d.pos", "d.width", same.alias("same"), (F.col("d.pos") - F.col("i.pos")).alias("shift"),
+        F.col("d.id").alias("doc_id"), "d.row", F.col("i.id").alias("item_id"), "d.view", "d.pos", "d.width", same.alias("same"), (F.col("d.pos") - F.col("i.pos")).alias("shift"),
         F.arrays_zip(F.col("i.slots").alias("item"), F.col("d.slots").alias("doc")).alias("pairs"))
     # An alignment has a window per position of the item, so its sort is small.
-    along = Window.partitionBy("row", "item_id", "view", "shift").orderBy("pos")
+    along = Window.partitionBy("doc_id", "row", "item_id", "view", "shift").orderBy("pos")
     begins = F.when(F.col("pos") - F.lag("pos").over(along) <= F.col("width"), 0).otherwise(1)
     met = stored(met.withColumn("begins", begins).withColumn("run", F.sum("begins").over(along)), "template-matches")
-    key = ["row", "item_id", "view", "shift", "run"]
+    key = ["doc_id", "row", "item_id", "view", "shift", "run"]
     pairs = met.select(*key, F.explode("pairs").alias("pair")).distinct()
     # An item's value that stands for two others breaks the run.
     broken = (pairs.groupBy(*key).agg(F.count("*").alias("n"), F.countDistinct("pair.item").alias("a"))
-              .filter("n > a").select(*key, F.lit(True).alias("broken")))
-    sound = met.join(broken, key, "left").filter("same or broken is null")
-    return sound.groupBy("row", "item_id").agg(F.countDistinct("pos").cast("long").alias("n_windows"),
+              .filter("n > a").select(*[F.col(c).alias(f"b_{c}") for c in key], F.lit(True).alias("broken")))
+    alike = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in key])
+    sound = met.join(broken, alike, "left").filter("same or broken is null")
+    return sound.groupBy("doc_id", "row", "item_id").agg(F.countDistinct("pos").cast("long").alias("n_windows"),
                                                F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with their columns.
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, row, text``: ``row`` is a hash of the text, which tells rows of one id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
 
-    Rows are told apart by doc_id; a row without one is told by its text's hash.
-    """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+def _with(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined with what was found in their documents; ``found`` brings its key as ``of_id, of_row``."""
+    return rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_row")), how)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, with their columns."""
     # Stored, so that its size is known: Spark broadcasts a small list and shuffles both sides of a large one.
-    bad = stored(matches(docs.select(key.alias("row"), "text"), benchmark).select("row").distinct(), "template-rows")
-    rows = docs.select(key.alias("key"), F.struct(*docs.columns).alias("row_"))
-    return rows.join(bad, rows["key"] == bad["row"], "left_anti").select("row_.*")
+    bad = stored(matches(keyed(docs), benchmark).select(F.col("doc_id").alias("of_id"), F.col("row").alias("of_row")).distinct(),
+                 "template-rows")
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("all_"))
+    return _with(rows, bad, "left_anti").select("all_.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """A row per document and benchmark item found in it."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("row"), "text")
-    return matches(docs, table(spark, sf_dir, "benchmark")).withColumnRenamed("row", "doc_id")
+    """A row per row of documents and benchmark item found in it."""
+    docs = table(spark, sf_dir, "documents")
+    found = matches(keyed(docs), table(spark, sf_dir, "benchmark"))
+    found = stored(found.withColumnsRenamed({"doc_id": "of_id", "row": "of_row"}), "template-found")
+    return _with(docs.select("doc_id", "text"), found, "inner").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "item_id", "n_windows", "first_pos", "last_pos")

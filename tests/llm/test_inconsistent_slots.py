@@ -16,12 +16,12 @@ def test_inconsistent_slots(spark):
         (3, f"{FRONT.replace('12', '7')} while none of us heard of this {BACK.replace('12', '8')}"),  # two runs of one alignment
         (4, "if you had 3 small pears and 5 large pears in the basket how many were there"),
     ]
-    found = decontamination.matches(spark.createDataFrame(texts, "row long, text string"), benchmark).collect()
-    assert {(r.row, r.item_id) for r in found} == {(1, 1), (2, 2), (3, 1)}
+    found = decontamination.matches(decontamination.keyed(spark.createDataFrame(texts, "doc_id long, text string")), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2), (3, 1)}
 
 
 def test_one_value_for_two_within_a_run(spark):
     item = "so Anna met Bert while Anna saw Carl and Anna told Bert that Anna left"
     mixed = item.replace("Anna", "Dora", 1).replace("Anna", "Emma", 1).replace("Anna", "Fay", 1)
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
-    assert not decontamination.matches(spark.createDataFrame([(1, mixed)], "row long, text string"), benchmark).count()
+    assert not decontamination.matches(decontamination.keyed(spark.createDataFrame([(1, mixed)], "doc_id long, text string")), benchmark).count()

@@ -143,8 +143,8 @@ def test_decontamination(spark, docs, nothing):
     for name in ("Boris", "Clara", "Dora", "Emil"):
         mixed = mixed.replace("Anna", name, 1)
     texts = [(1, "so. " + item + " yes"), (2, prose(20) + " " + other), (3, mixed), (4, prose(50)), (5, None), (6, "a short one here too"), (7, same)]
-    found = decontamination.matches(spark.createDataFrame(texts, "row long, text string"), benchmark).collect()
-    assert {(r.row, r.item_id) for r in found} == {(1, 1), (2, 1), (6, 3), (7, 5)}
+    found = decontamination.matches(decontamination.keyed(spark.createDataFrame(texts, "doc_id long, text string")), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (6, 3), (7, 5)}
     assert decontamination.clean(docs, benchmark).count() == docs.count()
     assert decontamination.clean(nothing, benchmark).count() == 0
 
