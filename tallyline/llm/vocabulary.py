@@ -14,9 +14,11 @@ from itertools import chain
 
 import numpy as np
 
+# Letters that lower-case out of the range below, or to more than one.
+_STRAY = "".join(chr(c) for c in range(0xC0, 0x250) if len(chr(c).lower()) > 1 or ord(chr(c).lower()) > 0x24F)
 # Words of letters that lower-case to one letter and need no normalisation, and of other visible characters.
-_PLAIN = re.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]+")
-_ODD = re.compile("[\u0130\u0250-\U0010ffff]")
+_PLAIN = re.compile(f"(?:(?![{_STRAY}])[!-~\u00a1-\u00ac\u00ae-\u024f])+")
+_ODD = re.compile(f"[{_STRAY}\u0250-\U0010ffff]")
 _JOINED = re.compile("[^a-z0-9\u00df-\u00f6\u00f8-\u00ff\\s][.,]\\s")
 # The letters and numbers among them.
 _LETTERS, _NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
