@@ -13,8 +13,9 @@ Blocks are of bounded size, so a tile fits in memory whatever the tables hold.
 Nulls and ties: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, as queries or candidates, nor do rows without an id;
 so do vectors of another length than the query's. Equal scores go to the
-smaller id, then either row. Rows that repeat a query's id are taken for the
-query's own. An empty table gives an empty table.
+smaller id. A vec_id names one vector: where it repeats, as query or candidate,
+its rows are taken together and a pair of ids has its best score, once; rows
+that repeat a query's id are the query's own. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -75,6 +76,10 @@ def tile(query_ids, queries, ids, vectors, k: int):
     if qa.shape[1] > 1000:  # beyond it, sums of products of int8 outgrow float32
         qa, ca = qa.astype(np.float64), ca.astype(np.float64)
     out = []
+    different, begins = np.unique(ids, return_index=True)
+    if repeated := len(different) < len(ids):
+        by_id = np.argsort(ids, kind="stable")
+        begins = np.searchsorted(ids[by_id], different)
     step = max(1, PAIRS // len(ids))
     for at in range(0, len(query_ids), step):
         rows = slice(at, at + step)
@@ -83,13 +88,19 @@ def tile(query_ids, queries, ids, vectors, k: int):
         slack = qe[rows, None] + ce[None, :] + qe[rows, None] * ce[None, :] + 1e-6
         own = query_ids[rows, None] == ids[None, :]
         low, high = np.where(own, -np.inf, near - slack), np.where(own, -np.inf, near + slack)
-        cut = np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(low), -np.inf)
+        # The k-th best of different ids.
+        each = np.maximum.reduceat(low[:, by_id], begins, axis=1) if repeated else low
+        cut = np.partition(each, -k, axis=1)[:, -k] if len(different) > k else np.full(len(low), -np.inf)
         i, j = np.nonzero((high >= cut[:, None]) & ~own)
         score = np.concatenate([cosines(queries[rows][i[p:p + PAIRS // 8]], vectors[j[p:p + PAIRS // 8]])
                                 for p in range(0, max(len(i), 1), PAIRS // 8)])
         for r, begin, end in zip(range(len(low)), np.searchsorted(i, np.arange(len(low))),
                                  np.searchsorted(i, np.arange(len(low)), "right")):
-            found = heapq.nsmallest(k, zip((-score[begin:end]).tolist(), ids[j[begin:end]].tolist()))
+            own_ids, own_scores = ids[j[begin:end]].tolist(), score[begin:end].tolist()
+            highest = {}
+            for c, s in zip(own_ids, own_scores):
+                highest[c] = max(s, highest.get(c, s))
+            found = heapq.nsmallest(k, ((-s, c) for c, s in highest.items()))
             out.extend((int(query_ids[at + r]), c, -s) for s, c in found)
     return out
 
@@ -124,6 +135,8 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = NEAREST, id_col:
     kept = (q.groupBy("tile", "dim").cogroup(c.groupBy("tile", "dim"))
             .applyInArrow(run, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # Ids that repeat meet in several pairs; each tile keeps different ids, so none of the best is crowded out.
+    kept = kept.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 
@@ -139,8 +152,8 @@ WITH vectors AS (
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_cosine_similarity(q.v, c.v)) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v) GROUP BY ALL),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
