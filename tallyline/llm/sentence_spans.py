@@ -9,6 +9,11 @@ span is hashed and met globally; its first occurrence is the one of least
 Spans end with their document; one of fewer words is a span as a whole, and
 meets only others.
 
+Documents are cut twice. The first time only hashes move, counted in each task
+before they do; what occurs again sets two bits each in a bitmap of fixed size.
+The second time only spans whose bits are set are kept and met. A corpus that
+fills the bitmap costs time and disk, and loses nothing.
+
 Sentences of more than ``LONG_WORDS`` words are cut at commas and the like, and
 what is still longer after words whose hash is the least of ``NEAR`` in a row,
 so that neither a long sentence nor a passage's ends inside sentences hide it:
@@ -17,8 +22,9 @@ all copies of ``NEAR`` words in a row are cut there. A repeated passage can lose
 
 Spans are compared without case and with single spaces, by 64-bit hash.
 
-Nulls and ties: null and empty texts hold no span. Rows that share a doc_id
-are taken for one document, in which equal spans at one position are one. A
+Nulls and ties: null and empty texts hold no span. A document is a doc_id and a
+text: rows that share an id are told apart by a hash of their text, and come in
+its order; rows alike in both are one document, and all keep what it keeps. A
 null doc_id comes after all others. Columns other than the id and text are
 ignored; an empty table gives an empty table.
 """
@@ -40,6 +46,8 @@ LEAST_SENTENCES = 2
 LEAST_WORDS = 20
 LONG_WORDS = 12
 NEAR = 6
+BITS = 1 << 27
+TEXTS = 256
 LAST = (1 << 63) - 1
 # A sentence ends after its closing mark, or with its line; the white space that follows belongs to it.
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?=\s|$)|\n|$|[.!?]+)\s*")
@@ -127,39 +135,92 @@ def all_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.append(starts, begins), np.append(lengths[starts], ends - begins), np.append(hashes[starts], np.array(more, np.int64)))
 
 
-def spans(docs: DataFrame, ending: bool = False) -> DataFrame:
-    """``id, pos, n, hash`` of every span; a null doc_id is ``LAST``. ``ending``: also those found by their last sentence."""
+def _found(text: str | None, ending: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if ending:
+        return all_spans(text or "")
+    hashes, lengths = span_hashes(text or "")
+    starts = np.flatnonzero(lengths)
+    return starts, lengths[starts], hashes[starts]
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.xxhash64("text").alias("row"), "text")
+
+
+def spans(docs: DataFrame, ending: bool = False, bits=None) -> DataFrame:
+    """``id, row, pos, n, hash`` of every span; a null doc_id is ``LAST``, and ``row`` a hash of the text.
+
+    ``ending``: also those found by their last sentence. ``bits``: only those whose hash may be in this broadcast bitmap.
+    """
     def run(batches):
         for batch in batches:
-            ids, at, sizes, values = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if ending:
-                    starts, lengths, hashes = all_spans(text.as_py() or "")
-                else:
-                    hashes, lengths = span_hashes(text.as_py() or "")
-                    starts = np.flatnonzero(lengths)
-                    lengths, hashes = lengths[starts], hashes[starts]
-                ids.append(np.full(len(starts), doc_id))
-                at.append(starts.astype(np.int32))
-                sizes.append(lengths)
-                values.append(hashes)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(kind)) for x, kind in
-                                                  ((ids, np.int64), (at, np.int32), (sizes, np.int32), (values, np.int64))],
-                                                 ["id", "pos", "n", "hash"])
-
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), "text").mapInArrow(
-        run, "id long, pos int, n int, hash long")
+            parts = [[] for _ in range(5)]
+            for doc_id, row, text in zip(*(batch.column(i).to_pylist() for i in range(2)), batch.column(2)):
+                starts, lengths, hashes = _found(text.as_py(), ending)
+                if bits is not None:
+                    may = _may(bits.value, hashes)
+                    starts, lengths, hashes = starts[may], lengths[may], hashes[may]
+                for held, new in zip(parts, (np.full(len(starts), doc_id), np.full(len(starts), row), starts, lengths, hashes)):
+                    held.append(new)
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x).astype(kind)) for x, kind in zip(parts, (np.int64, np.int64, np.int32, np.int32, np.int64))],
+                    ["id", "row", "pos", "n", "hash"])
+
+    return _documents(docs).mapInArrow(run, "id long, row long, pos int, n int, hash long")
+
+
+def _hashes(docs: DataFrame, ending: bool) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                found = [_found(t.as_py(), ending)[2] for t in batch.column(0).slice(at, TEXTS)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64))], ["hash"])
+
+    return docs.select("text").mapInArrow(run, "hash long")
+
+
+def _places(bits: int = BITS):
+    """The two bits of a hash, as columns."""
+    mask = F.lit(bits - 1)
+    return F.col("hash").bitwiseAND(mask), F.shiftrightunsigned("hash", 32).bitwiseAND(mask)
+
+
+def _may(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    mask = np.uint64(BITS - 1)
+    whole = hashes.astype(np.int64).view(np.uint64)
+    one, two = whole & mask, (whole >> np.uint64(32)) & mask
+    is_set = lambda at: (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
+    return (is_set(one) & is_set(two)).astype(bool)
+
+
+def repeated_bits(docs: DataFrame, ending: bool = False) -> np.ndarray:
+    """A bitmap of ``BITS`` bits with those of every hash that occurs more than once; it alone comes to the driver."""
+    again = _hashes(docs, ending).groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1")
+    at = again.select(F.explode(F.array(*_places())).alias("at"))
+    # Spark numbers buckets from 1 and, in them, bits from 0; a bucket is a row of 4 KiB.
+    rows = at.groupBy(F.bitmap_bucket_number(F.col("at") + 1).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col("at") + 1)).alias("bits")).collect()
+    out = np.zeros(BITS // 8, np.uint8)
+    for bucket, bits in rows:
+        out[(bucket - 1) * len(bits):bucket * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
 
 
 def repeats(docs: DataFrame, ending: bool = False) -> DataFrame:
-    """``id, pos, n`` of every span that is not the first of its kind."""
-    found = stored(spans(docs, ending), "sentence-spans")
-    place = F.struct("id", "pos")
+    """``id, row, pos, n`` of every span that is not the first of its kind."""
+    bits = docs.sparkSession.sparkContext.broadcast(repeated_bits(docs, ending))  # BITS / 8 bytes
+    found = stored(spans(docs, ending, bits), "sentence-spans", "zstd")
+    place = F.struct("id", "row", "pos")
     # Stored, so that both sides of the join are plain shuffles: adaptive execution splits the spans of a hot hash.
     firsts = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                    .filter("first <> last").select("hash", "first"), "sentence-firsts")
-    return found.join(firsts, "hash").filter(place != F.col("first")).select("id", "pos", "n").distinct()
+                    .filter("first <> last").select("hash", "first"), "sentence-firsts", "zstd")
+    return found.join(firsts, "hash").filter(place != F.col("first")).select("id", "row", "pos", "n").distinct()
+
+
+def _removals(docs: DataFrame, ending: bool) -> DataFrame:
+    covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("n") - 1)))))
+    return repeats(docs, ending).groupBy("id", "row").agg(F.count("*").alias("n_spans"), covered.alias("removed"))
 
 
 def removals(docs: DataFrame, ending: bool = False) -> DataFrame:
@@ -167,16 +228,16 @@ def removals(docs: DataFrame, ending: bool = False) -> DataFrame:
 
     ``ending``: by all spans, as the query and ``deduplicated`` do; else by those of ``span_hashes``.
     """
-    covered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("n") - 1)))))
-    return repeats(docs, ending).groupBy("id").agg(F.count("*").alias("n_spans"), covered.alias("removed")).select(
-        F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "n_spans", "removed")
+    return _removals(docs, ending).select(F.when(F.col("id") != LAST, F.col("id")).alias("doc_id"), "n_spans", "removed")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated sentences taken out of ``text``; other columns as they are."""
-    gone = removals(docs, ending=True).select(F.col("doc_id").alias("of"), "removed")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["of"]), "left").select("row", "text", "removed")
+    gone = _removals(docs, ending=True).select(F.col("id").alias("of"), F.col("row").alias("of_row"), "removed")
+    rows = docs.select(F.struct(*docs.columns).alias("all"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"),
+                       F.xxhash64("text").alias("row"), "text")
+    joined = rows.join(gone, (F.col("id") == F.col("of")) & (F.col("row") == F.col("of_row")), "left").select(
+        F.col("all").alias("row"), "text", "removed")
 
     def run(batches):
         for batch in batches:
