@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +30,12 @@ def read_records(spark: SparkSession, path: str, schema: str | T.StructType, fie
     """
     schema = schemas.struct(schema) if isinstance(schema, str) else schema
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    if any_spelling:
-        lines = lines.select(fold_spelling(F.col("value"), schemas.field_names(schema)).alias("value"))
-    return ingest.repair(lines, schema if fields is None else schemas.narrow(schema, fields), OPTIONS)
+    narrowed = schema if fields is None else schemas.narrow(schema, fields)
+    if not any_spelling:
+        return ingest.repair(lines, narrowed, OPTIONS)
+    bound = lines.transform(ingest.split_records).withColumn("_bound", declared_spelling(F.col("value"), narrowed))
+    parsed = bound.transform(ingest.parse_records, narrowed, "_bound", OPTIONS).drop("_bound")
+    return ingest.accepted(parsed), ingest.rejected(parsed)
 
 
 def rejects(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -61,28 +62,66 @@ def call_connections(spark: SparkSession, path: str, fields: list[str] | None =
     return read_records(spark, path, schemas.CONNECTION, fields, any_spelling)[0]
 
 
-def fold_spelling(line: Column, names: Iterable[str]) -> Column:
-    """Rewrite JSON keys that match a declared name except for case.
-
-    A name that the line also has in its declared spelling is left alone, so
-    that keys inside free-form attributes keep theirs, except for the names
-    that writers are known to vary within a record.
-    """
-    names = sorted(names)
-    declared = F.create_map(*[F.lit(x) for n in names for x in (n.lower(), n)])
-    varied = F.array(*[F.lit(n) for n in schemas.VARIANT_SPELLINGS])
-    keys = F.array_distinct(F.regexp_extract_all(line, F.lit(r'(?<!\\)"(\w+)"\s*:'), F.lit(1)))
+_RAW, _TYPED = "map<string,string>", "map<string,variant>"
 
-    def misspelt(key: Column) -> Column:
-        name = F.try_element_at(declared, F.lower(key))
-        return (name.isNotNull() & ~key.isin(names)
-                & (~F.array_contains(keys, name) | F.array_contains(varied, name)))
 
-    def respell(text: Column, key: Column) -> Column:
-        return F.regexp_replace(text, F.concat(F.lit(r'(?<!\\)"'), key, F.lit(r'"(\s*:)')),
-                                F.concat(F.lit('"'), F.element_at(declared, F.lower(key)), F.lit('"$1')))
+def declared_spelling(text: Column, schema: T.StructType) -> Column:
+    """JSON objects, joined by commas, with the keys of the declared fields in their declared spelling.
 
-    return F.aggregate(F.filter(keys, misspelt), line, respell)
+    Keys are bound object by object along the schema: a key in another case
+    stands for a declared field of the object it is in, unless that object has
+    the declared spelling too. What a field declared as text holds, such as
+    free-form attributes, is what a read without binding gives. Only lines with a
+    key to bind are taken apart; other lines, and what does not parse, stay as they are.
+    """
+    names = sorted(schemas.field_names(schema))
+    keys = F.regexp_extract_all(text, F.lit(r'"(\w+)"\s*:'), F.lit(1))
+    lower = F.array(*[F.lit(n.lower()) for n in names])
+    odd = F.exists(keys, lambda k: ~k.isin(names) & F.array_contains(lower, F.lower(k)))
+    objects = F.from_json(F.concat(F.lit("["), F.trim(text), F.lit("]")), "array<string>")
+    bound = F.array_join(F.transform(objects, lambda o: _bound_object(o, schema)), ",")
+    return F.when(odd, F.coalesce(bound, text)).otherwise(text)
+
+
+def _bound_object(text: Column, kind: T.StructType) -> Column:
+    """One object as JSON text, of its declared fields only; other text as a JSON value."""
+    name_of = F.create_map(*[F.lit(x) for f in kind.fields for x in (f.name.lower(), f.name)])
+    raw, typed = F.from_json(text, _RAW), F.from_json(text, _TYPED)
+    entries = F.arrays_zip(F.map_keys(raw).alias("key"), F.map_values(raw).alias("raw"), F.map_values(typed).alias("typed"))
+
+    def declared(e: Column) -> Column:
+        name = F.try_element_at(name_of, F.lower(e["key"]))
+        return name.isNotNull() & ((e["key"] == name) | ~F.array_contains(F.map_keys(raw), name))
+
+    def member(e: Column) -> Column:
+        low = F.lower(e["key"])
+        value = F.lit("null")
+        for f in kind.fields:
+            value = F.when((low == f.name.lower()) & e["raw"].isNotNull(), _bound_value(e["raw"], e["typed"], f.dataType)).otherwise(value)
+        return F.concat(F.lit('"'), F.element_at(name_of, low), F.lit('":'), value)
+
+    members = F.transform(F.filter(entries, declared), member)
+    return F.coalesce(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")), _json_text(text))
+
+
+def _bound_value(raw: Column, typed: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return _json_text(raw)
+    as_it_is = F.to_json(typed)
+    if isinstance(kind, T.StructType):
+        return F.when(F.from_json(raw, _RAW).isNotNull(), _bound_object(raw, kind)).otherwise(as_it_is)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        items = F.transform(F.from_json(raw, "array<string>"), lambda o: F.coalesce(_bound_object(o, kind.elementType), F.lit("null")))
+        return F.coalesce(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")), as_it_is)
+    if isinstance(kind, T.ArrayType):
+        return F.when(F.trim(raw).startswith("["), raw).otherwise(as_it_is)
+    return as_it_is
+
+
+def _json_text(text: Column) -> Column:
+    """Text as a JSON string."""
+    wrapped = F.to_json(F.struct(text.alias("t")))
+    return F.when(text.isNotNull(), F.substr(wrapped, F.lit(6), F.length(wrapped) - 6))
 
 
 def agent_events(spark: SparkSession, path: str, fields: list[str] | None = None,

@@ -199,7 +199,7 @@ def test_any_case_binds_in_every_table(spark, sf, case):
         free = landed("\n".join(lines))
         other = landed("\n".join(json.dumps(keys(json.loads(x)), separators=(",", ":")) for x in lines))
         want, got = read(spark, free), read(spark, other, any_spelling=True)
-        hidden = ["Attributes", "CurrentAgentSnapshot"]  # free-form text is kept as it is
+        hidden = ["Attributes", "TransferredToEndpoint", "CurrentAgentSnapshot"]  # free-form text is kept as it is
         assert sorted(map(repr, want.drop(*hidden).collect())) == sorted(map(repr, got.drop(*hidden).collect()))
     chat = landed(json.dumps({case("contactId"): "a", case("total_msg"): 3}))
     assert [(r.contactId, r.total_msg) for r in landing.chat_usage(spark, chat, any_spelling=True).collect()] == [("a", 3)]
@@ -217,6 +217,25 @@ def test_any_spelling_binds(spark):
     assert {r.contactId for r in loose.collect()} == {'"endpointCountryIso":'}
 
 
+def test_free_form_keys_are_not_bound(spark):
+    """Keys inside text fields stay as they are, whatever fields have their names; keys are bound object by object."""
+    attributes = '{"queue":"vip","Agent":"x","ID":{"CHANNEL":[1,"b\\"c"]},"endpointcountryiso":null}'
+    path = landed("\n".join([
+        '{"contactid":"1","Attributes":%s,"channel":"VOICE"}{"ContactId":"2","ATTRIBUTES":"plain \\"queue\\":"}' % attributes,
+        '{"CONTACTID":"3","Queue":{"name":"q","DURATION":7,"Arn":"5"},"queue":{"Name":"other"},"agent":{"numberofholds":"2"}}',
+        '{"contactId":"4","ContactId":"5","mediastreams":[{"type":"AUDIO"},null,{"Type":"CHAT"}],"Agent":{"NUMBEROFHOLDS":2}}',
+        '{"contactid":"6","attributes":']))
+    rows = {r.ContactId: r for r in landing.contact_records(spark, path, any_spelling=True).collect()}
+    assert set(rows) == {"1", "2", "3", "5"}
+    assert rows["1"].Attributes == attributes and rows["1"].Channel == "VOICE" and rows["1"].Queue is None
+    assert rows["2"].Attributes == 'plain "queue":'
+    assert rows["3"].Queue.asDict() == {"ARN": "5", "DequeueTimestamp": None, "Duration": 7, "EnqueueTimestamp": None, "Name": "q"}
+    assert rows["3"].Agent.NumberOfHolds is None  # text for a number binds no better than without another case
+    assert [m and m.Type for m in rows["5"].MediaStreams] == ["AUDIO", None, "CHAT"] and rows["5"].Agent.NumberOfHolds == 2
+    left = landing.read_records(spark, path, schemas.CONTACT, any_spelling=True)[1]
+    assert [r.value for r in left.collect()] == ['{"contactid":"6","attributes":']
+
+
 def test_narrow_schema():
     schema = schemas.narrow(schemas.struct(schemas.CONNECTION), ["contactId", "connections.id", "connections.history.timestamp"])
     assert schema.simpleString() == (
