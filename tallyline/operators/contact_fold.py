@@ -193,6 +193,49 @@ def history(events: DataFrame) -> DataFrame:
         F.col("conn_state").alias("status"), "active")
 
 
+# Entries of a history page.
+HISTORY_PAGE = 1000
+
+
+def history_pages(events: DataFrame, size: int = HISTORY_PAGE) -> DataFrame:
+    """Connection history in pages: ``contactId, connId, page, entries``, of at most ``size`` entries, in order.
+
+    Entries are sorted over all tasks, so a connection with most of them is cut
+    into pages by many; a page is grouped by where it lies in its task. Only
+    pages are numbered by connection, from 0.
+    """
+    order = ["contactId", "connId", "ts", "event_id"]
+    rows = known_events(events).filter(merges()).select(
+        *order, iso_micros("ts").alias("timestamp"), F.col("conn_state").alias("status"), "active")
+    # The number of a row within its task: the sort makes it the same on every attempt.
+    block = F.floor(F.monotonically_increasing_id() / F.lit(size))
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_block", block)
+    entry = F.struct("ts", F.col("event_id").alias("sequence"), F.col("active").cast("string").alias("active"), "status", "timestamp")
+    pages = placed.groupBy(*KEYS, "_block").agg(F.sort_array(F.collect_list(entry)).alias("sorted"))
+    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy(F.col("sorted")[0]["ts"], F.col("sorted")[0]["sequence"], "_block")) - 1
+    return pages.withColumn("page", number).select(*KEYS, "page", F.transform("sorted", lambda e: F.struct(
+        e["active"].alias("active"), e["status"].alias("status"), e["timestamp"].alias("timestamp"),
+        e["sequence"].alias("sequence"))).alias("entries"))
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """Pages as partial records: a record per page, with one connection that holds it as its history.
+
+    Records of a contact merge, so a table of these beside the contact records
+    gives each connection its whole history, and no array outgrows a page.
+    """
+    connection = F.struct(F.col("connId").alias("id"), F.col("entries").alias("history"))
+    return pages.select("contactId", F.array(connection).alias("connections"))
+
+
+def history_of(records: DataFrame) -> DataFrame:
+    """``history`` from stored ``page_records``."""
+    legs = records.select("contactId", F.explode("connections").alias("c"))
+    entries = legs.select("contactId", F.col("c.id").alias("connId"), F.explode("c.history").alias("e"))
+    return entries.select("contactId", "connId", F.col("e.sequence").alias("sequence"), F.col("e.timestamp").alias("timestamp"),
+                          F.col("e.status").alias("status"), F.col("e.active").cast("boolean").alias("active"))
+
+
 def _seen(order: str) -> Column:
     return F.when(F.col(order).isNotNull(), F.struct(
         iso_micros(f"{order}.ts").alias("timestamp"), F.col(f"{order}.event_id").alias("sequence")))
@@ -202,7 +245,7 @@ def contact_records(events: DataFrame, prefixes: DataFrame | None = None, as_of:
     """Nested contact records, in the shape the call-connection table is read with: one per contact.
 
     A connection carries its first history entry and the number of entries;
-    the whole history is rows (``history``).
+    the whole history is rows (``history``) or pages (``history_pages``).
     """
     return records_of(fold_parts(events, prefixes), as_of)
 

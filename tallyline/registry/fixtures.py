@@ -375,11 +375,12 @@ def streamed_contacts(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """
     def build(path: str) -> dict[str, str]:
         configure(spark)
-        source, records, submitted, offsets = (scratch(spark, n) for n in ("calls", "records", "submitted", "offsets"))
+        source, records, submitted, offsets, history = (
+            scratch(spark, n) for n in ("calls", "records", "submitted", "offsets", "history"))
         for events in arrivals(call_events(spark, sf_dir), ARRIVALS)[0]:
             write_slice(events, source)
-            _run(spark, source, records, submitted, offsets)
-        return {"records": records, "submitted": submitted}
+            _run(spark, source, records, submitted, offsets, history=history)
+        return {"records": records, "submitted": submitted, "history": history}
     return landed(spark, sf_dir, "contact_stream", build)
 
 
@@ -402,9 +403,9 @@ def contact_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(landed(spark, sf_dir, "contact_stores", build))
 
 
-def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, lag: int = 0) -> None:
+def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, **more) -> None:
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
-    stream_contacts(events, records, submitted, offsets, prefixes=dial_prefixes(spark), once=True, lag=lag)
+    stream_contacts(events, records, submitted, offsets, prefixes=dial_prefixes(spark), once=True, **more)
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,3 +415,8 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return complete_contacts(spark, streamed_contacts(spark, sf_dir)["records"])
+
+
+def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history pages that the streaming fold stored, as records."""
+    return complete_contacts(spark, streamed_contacts(spark, sf_dir)["history"])

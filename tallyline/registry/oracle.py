@@ -429,6 +429,7 @@ def oracle_sql() -> dict[str, str]:
         "STR-5": _of(CONTACT_FOLD, 'SELECT "contactId", inbound FROM cc'),
         "STR-6": _of(CONNECTION_FOLD, f"SELECT {LEG_KEYS}, entries FROM connections_out"),
         "STR-7": "WITH " + HISTORY,
+        "STR-7-stream": "WITH " + HISTORY,
         "STR-8": _of(CONNECTION_FOLD, f"SELECT {LEG_KEYS}, {LEG_TIMES} FROM connections_out"),
         "STR-9": _of(CONNECTION_FOLD, f"SELECT {LEG_KEYS}, {LAST_VALUES} FROM connections_out"),
         "STR-10": _of(CONTACT_FOLD, f'SELECT "contactId", {STAGE_COLUMNS} FROM cc'),

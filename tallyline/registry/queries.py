@@ -334,7 +334,11 @@ def nested_connections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def history_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return fold.history(fx.call_events(spark, sf)).withColumn("active", flag(F.col("active")))
+    """From pages that were stored as partial records and read back."""
+    def build(path: str) -> None:
+        sinks.write_json(fold.page_records(fold.history_pages(fx.call_events(spark, sf), size=3)), path)
+    records = spark.read.schema(schemas.struct(fold.RECORD)).json(fx.landed(spark, sf, "history_pages", build))
+    return fold.history_of(records).withColumn("active", flag(F.col("active")))
 
 
 def only_abandoned(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,6 +373,10 @@ def exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     return fold.history(fx.streamed_events(spark, sf)).withColumn("active", flag(F.col("active")))
 
 
+def streamed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return fold.history_of(fx.streamed_history(spark, sf)).withColumn("active", flag(F.col("active")))
+
+
 def audit_trail(spark: SparkSession, sf: str) -> DataFrame:
     return fx.streamed_events(spark, sf).groupBy("contactId").agg(F.count("*").alias("submitted"))
 
@@ -506,6 +514,7 @@ def queries() -> dict[str, Query]:
         "STR-5": of_contacts(lambda: [flag(F.col("inbound")).alias("inbound")]),
         "STR-6": nested_connections,
         "STR-7": history_rows,
+        "STR-7-stream": streamed_pages,
         "STR-8": of_connections(lambda: [*LEG_TIMES]),
         "STR-9": of_connections(last_values),
         "STR-10": of_contacts(lambda: [*STAGE_COLUMNS]),

@@ -44,9 +44,12 @@ class ContactJob:
 
 def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, prefixes: DataFrame | None = None,
                     once: bool = False, every: str = EMIT_INTERVAL, limit: int = fold.PENDING_LIMIT_SECONDS,
-                    lag: int = 0) -> ContactJob:
+                    lag: int = 0, history: str | None = None) -> ContactJob:
     """Fold a stream of call events into contact records under ``path``, and store the events under ``submitted``.
 
+    With ``history`` the connections' history is stored there too, in pages of
+    the events of a micro-batch, as partial records (``contact_fold.history_of``).
+
     A pending contact is released ``limit`` seconds after its first event, by
     the clock of the machine, at the first micro-batch from then on. ``lag`` is
     how many seconds the feed lies back: a replay of last week's events ages
@@ -64,7 +67,10 @@ def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: st
         write_batch(fold.records_of(keyed.from_text(batch, types)), path, batch_id, run=run)
 
     def submit(batch: DataFrame, batch_id: int, run: str) -> None:
-        write_batch(fold.known_events(batch), submitted, batch_id, "parquet", run)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(
+            write_batch(fold.known_events(batch), submitted, batch_id, "parquet", run))
+        if history is not None:
+            write_batch(fold.page_records(fold.history_pages(stored)), history, batch_id, run=run)
 
     done = keyed.completed(events, prefixes, types, limit, lag)
     with settings(spark, keyed.STATE_CONF):

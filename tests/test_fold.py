@@ -245,6 +245,33 @@ def test_busy_contact_gives_one_complete_record(spark):
     same_fold(records, hot.union(frame(spark, [event("hot", 200_000, "Connected", minutes=600)] + ends)))
 
 
+def test_history_of_200000_entries_comes_back(spark):
+    """Pages of a bounded size, stored as partial records, read as the connection table."""
+    from tallyline.operators.legs import LEG_FIELDS, connection_legs
+
+    n = 200_000
+    one = frame(spark, [event("hot", 0, "Connected")]).drop("event_id", "ts", "connId")
+    rows = one.crossJoin(spark.range(n).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_714_521_600) + F.col("id") % 977).alias("ts"),
+        F.when(F.col("id") % 100 == 0, "k1").otherwise("k0").alias("connId"))).select(schemas.struct(schemas.CALL_EVENT).names)
+    pages = fold.history_pages(rows.repartition(5)).persist()
+    sizes = pages.select("connId", "page", F.size("entries").alias("n")).collect()
+    assert max(r.n for r in sizes) <= 1000 and sum(r.n for r in sizes) == n
+    assert sorted(r.page for r in sizes if r.connId == "k0") == list(range(sum(r.connId == "k0" for r in sizes)))
+    ends = pages.select("connId", "page", F.col("entries")[0].alias("a"), F.element_at("entries", -1).alias("z")).orderBy("connId", "page").collect()
+    for a, b in zip(ends, ends[1:]):
+        assert a.connId != b.connId or (a.z.timestamp, a.z.sequence) < (b.a.timestamp, b.a.sequence)
+    path = folders()[1]
+    fold.page_records(pages).write.json(path)
+    same(fold.history_of(spark.read.schema(schemas.struct(fold.RECORD)).json(path)).filter("sequence % 50 = 0"),
+         fold.history(rows).filter("sequence % 50 = 0"))
+    legs = connection_legs(landing.call_connections(spark, path, LEG_FIELDS)).collect()
+    assert {(r.conn_id, r.initialconnecthistorytimestamp) for r in legs} == {
+        ("k0", "2024-05-01T00:00:00.000000Z"), ("k1", "2024-05-01T00:00:00.000000Z")}
+    assert landing.call_connections(spark, path).select(F.explode("connections").alias("c")).agg(
+        F.sum(F.size("c.history"))).first()[0] == n
+
+
 def test_events_are_combined_before_they_move(spark):
     from tallyline.streaming import keyed
     rows = [event("hot", i, "Connected", leg=f"k{i % 2}") for i in range(500)] + [event("b", 900, "Connected")]
