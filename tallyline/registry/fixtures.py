@@ -16,7 +16,7 @@ from tallyline.operators.ingest import wrap_batch
 from tallyline.session import configure, scratch
 from tallyline.sources import sinks
 from tallyline.streaming.contacts import complete_contacts, pending_contacts, stream_contacts, write_slice
-from tallyline.streaming.feeds import land_feed, stream_chat_usage
+from tallyline.streaming.feeds import land_feed, land_submissions, stream_chat_usage
 from tallyline.sources import landing, schemas
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -129,6 +129,11 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
              'queue', named_struct('name', concat('q', l_suppkey % 10)),
              'thirdPartyConnections', if(l_linenumber > 1, array(leg), array()),
              'timestamp', k_iso, 'type', 'connecting') as stageConnecting""",
+        *[f"""if({when}, named_struct('attributes', concat('{{"part":', l_partkey, '}}'),
+             'queue', named_struct('name', concat('q', l_suppkey % 10)), 'thirdPartyConnections', cast(array() as array<string>),
+             'timestamp', {at}, 'type', '{kind}'), null) as stage{kind.capitalize()}""" for kind, when, at in (
+                 ("connected", "con_iso is not null", "con_iso"), ("ended", "dis_iso is not null", "dis_iso"),
+                 ("error", "l_linenumber = 6 and l_tax = 0", "k_iso"))],
     )
 
 
@@ -296,13 +301,37 @@ def rewritten_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.chat_usage(spark, landed(spark, sf_dir, "chat_rewritten", build))
 
 
+def merged_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the keyed table, into which each version was merged."""
+    def build(path: str) -> None:
+        source, errors, offsets = (scratch(spark, n) for n in ("transcripts", "errors", "offsets"))
+        whole = transcripts(spark, sf_dir)
+        for version in (whole.withColumn("Transcript", F.slice("Transcript", 1, 0)), whole):
+            (version.select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"))
+             .write.mode("append").partitionBy("contact").text(source))
+            stream_chat_usage(spark, source, path, errors, offsets, once=True, merge=True).awaitTermination()
+    return landing.merged_chat_usage(spark, landed(spark, sf_dir, "chat_merged", build))
+
+
+def streamed_submissions(spark: SparkSession, sf_dir: str, schema: str) -> dict[str, str]:
+    """Envelopes as a stream's files, and the folders of its three sinks."""
+    def build(path: str) -> dict[str, str]:
+        source, record, envelope, broken, offsets = (
+            scratch(spark, n) for n in ("submissions", "records", "bad-envelopes", "bad-objects", "offsets"))
+        envelopes(spark, sf_dir).select(F.col("body").alias("value")).write.text(source)
+        land_submissions(spark, source, schema, record, envelope, broken, offsets, once=True).awaitTermination()
+        return {"record": record, "bad envelope": envelope, "bad object": broken}
+    return landed(spark, sf_dir, "submissions_stream", build)
+
+
 def streamed_feed(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame, schema: str,
-                  fmt: str) -> tuple[DataFrame, DataFrame]:
+                  fmt: str, hook: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """What ``land_feed`` makes of lines that are run together or cut off: (records, rejects)."""
     def build(path: str) -> dict[str, str]:
         source, table_path, errors = (scratch(spark, n) for n in ("wire", "table", "errors"))
         lines.write.text(source)
-        land_feed(spark, source, schema, table_path, errors, scratch(spark, "offsets"), fmt, once=True).awaitTermination()
+        land_feed(spark, source, schema, table_path, errors, scratch(spark, "offsets"), fmt, once=True,
+                  hook=hook).awaitTermination()
         return {"table": table_path, "errors": errors}
     made = landed(spark, sf_dir, f"feed_{name}", build)
     return (spark.read.schema(schemas.struct(schema)).format(fmt).load(made["table"]), spark.read.text(made["errors"]))

@@ -102,6 +102,27 @@ merged AS (
     min(dropped) AS dropped, min(country) AS country
   FROM legs GROUP BY contact_id, conn_id)"""
 
+CONNECTION_ROWS = f""",
+staged AS (SELECT *, '{{"part":' || l_partkey || '}}|q' || (l_suppkey % 10) || '|' AS head FROM l3),
+connection_rows AS (
+  SELECT contact_id AS "contactId", inbound_text AS inbound, initial_connection AS "initialConnectionId",
+    connecting AS "initialTimestamp", 'voice' AS type,
+    CASE WHEN has_leg THEN 1 + l_suppkey % 2 WHEN l_suppkey % 2 = 0 THEN 0 ELSE -1 END AS legs, CAST(n AS INTEGER) AS at,
+    CASE WHEN has_leg THEN conn_id END AS leg_id, CASE WHEN n = 0 THEN staged.type END AS leg_type,
+    CASE WHEN n = 1 THEN 'connecting' WHEN n = 0 AND dis_us IS NULL THEN 'connected' WHEN n = 0 THEN 'disconnected' END AS status,
+    CASE WHEN n = 1 THEN connecting WHEN n = 0 THEN coalesce(dropped, connected, connecting) END AS updated,
+    CASE WHEN n = 1 THEN {iso('k + 1000000')} WHEN n = 0 THEN connecting END AS connecting,
+    CASE WHEN n = 0 THEN connected END AS connected, CASE WHEN n = 0 THEN dropped END AS disconnected,
+    CASE WHEN n = 0 THEN CAST(softphone AS INTEGER) END AS softphone, CASE WHEN n = 0 THEN extension END AS extension,
+    CASE WHEN n = 0 THEN number END AS number, CASE WHEN n = 0 THEN country END AS country,
+    CASE WHEN n = 1 THEN 'connecting' WHEN n = 0 THEN concat_ws(',', CASE WHEN l_linenumber <> 5 THEN 'connecting' END,
+      CASE WHEN con_us IS NOT NULL THEN 'connected' END, CASE WHEN dis_us IS NOT NULL THEN 'disconnected' END,
+      CASE WHEN lost THEN 'lost' END) END AS history,
+    head || CASE WHEN l_linenumber > 1 THEN conn_id ELSE '' END || '|' || connecting || '|connecting' AS "stageConnecting",
+    head || '|' || connected || '|connected' AS "stageConnected", head || '|' || dropped || '|ended' AS "stageEnded",
+    CASE WHEN lost THEN head || '|' || connecting || '|error' END AS "stageError"
+  FROM staged JOIN (VALUES (0), (1), (NULL)) t(n) ON CASE WHEN has_leg THEN n <= l_suppkey % 2 ELSE n IS NULL END)"""
+
 VOICE = f"""
 vl AS (
   SELECT v.*, m.conn_id AS leg_id, m.type AS leg_type, m.extension, m.softphone, m.inbound, m.initial_connection,
@@ -328,18 +349,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(NULL AS VARCHAR) AS next_contact_id, 'queue-' || left(o_orderpriority, 1) AS queue_arn,
             CAST(o_custkey % 7 AS INTEGER) AS queue_seconds, queue, CAST(NULL AS VARCHAR) AS recordings, system_address,
             transferred, transfer_endpoint AS transferred_to, 'AUDIO' AS media"""),
-        "SRC-2": _of(LEGS, """SELECT contact_id AS "contactId", inbound_text AS inbound,
-            initial_connection AS "initialConnectionId", connecting AS "initialTimestamp", 'voice' AS type,
-            CASE WHEN has_leg THEN 1 + l_suppkey % 2 WHEN l_suppkey % 2 = 0 THEN 0 ELSE -1 END AS legs,
-            CASE WHEN has_leg THEN conn_id END AS leg_id, CASE WHEN has_leg THEN l3.type END AS leg_type,
-            CASE WHEN has_leg THEN CAST(softphone AS INTEGER) END AS softphone,
-            CASE WHEN has_leg THEN extension END AS extension, CASE WHEN has_leg THEN number END AS number,
-            CASE WHEN has_leg THEN country END AS country,
-            CASE WHEN has_leg THEN (CASE WHEN l_linenumber = 5 THEN 0 ELSE 1 END) + (CASE WHEN con_us IS NULL THEN 0 ELSE 1 END)
-              + (CASE WHEN dis_us IS NULL THEN 0 ELSE 1 END) + (CASE WHEN lost THEN 1 ELSE 0 END) END AS entries,
-            '{"part":' || l_partkey || '}' AS attributes, 'q' || (l_suppkey % 10) AS queue,
-            CASE WHEN l_linenumber > 1 THEN conn_id ELSE '' END AS third_parties, CAST(NULL AS VARCHAR) AS ended
-            FROM l3"""),
+        "SRC-2": _of(LEGS + CONNECTION_ROWS, "SELECT * FROM connection_rows"),
         "SRC-3": f"""SELECT 'account-0' AS "AWSAccountId", 'agent-' || user_id AS "AgentARN", 'e' || event_id AS "EventId",
             {iso('epoch_us(ts) // 1000 * 1000')} AS "EventTimestamp", event_type AS "EventType", 'instance-1' AS "InstanceARN",
             '2017-10-01' AS "Version", CASE WHEN event_id % 3 = 0 THEN 'Available' ELSE 'Busy' END AS status,
@@ -367,6 +377,7 @@ def oracle_sql() -> dict[str, str]:
             initiated AS "InitiationTimestamp", disconnected AS "DisconnectTimestamp"
             FROM ct, (VALUES (''), ('x')) t(twin)"""),
         "SNK-2": CHAT_DOCS,
+        "SNK-2-merge": CHAT_DOCS,
         "SNK-3": _of(CONTACTS, """SELECT value, count(*) AS lines FROM (
             SELECT left('{"ContactId":"' || contact_id || '","Channel":"' || channel || '"', 30) AS value
             FROM ct WHERE o_orderkey % 50 = 7) GROUP BY value"""),
@@ -376,6 +387,10 @@ def oracle_sql() -> dict[str, str]:
         "ING-2": _of(WIRE, """SELECT 'Ok' AS result, count(*) AS records FROM wire UNION ALL
             SELECT 'ProcessingFailed', count(*) FROM ct WHERE o_orderkey % 50 = 7"""),
         "ING-3": _of(SUBMISSIONS, "SELECT * FROM submitted"),
+        "ING-3-stream": _of(SUBMISSIONS, """SELECT * FROM submitted WHERE "contactId" <> '' """),
+        "ING-5-stream": _of(SUBMISSIONS, """SELECT 'record' AS sink, count(*) AS rows FROM submitted WHERE "contactId" <> ''
+            UNION ALL SELECT 'bad object', count(*) FROM submitted WHERE "contactId" = ''
+            UNION ALL SELECT 'bad envelope', count(*) FROM l3 WHERE l_orderkey % 10 < 2"""),
         "ING-4": DECODED,
         "ING-5": """SELECT l_orderkey AS key, CAST(l_orderkey % 10 >= 2 AS INTEGER) AS valid,
             CAST(l_orderkey % 10 >= 3 AS INTEGER) AS has_data FROM lineitem""",
@@ -457,7 +472,8 @@ def oracle_sql() -> dict[str, str]:
               ELSE concat_ws(',', CASE WHEN l_linenumber <> 5 THEN connecting END, connected, dropped,
                 CASE WHEN lost THEN '-' END) END AS times
             FROM (SELECT *, history_start AS connecting_full FROM legs)"""),
-        "FN-8": _of(LEGS, "SELECT contact_id, conn_id, history_start FROM legs"),
+        "FN-8": _of(LEGS, """SELECT contact_id AS "contactId", conn_id, CASE WHEN lost THEN connecting ELSE history_start END AS least,
+            history_start AS strict FROM legs"""),
         "FN-9": _of(LEGS, """
             SELECT contact_id AS "contactId", conn_id, connecting AS timestamp, 'connecting' AS status FROM l3
               WHERE has_leg AND l_linenumber <> 5
@@ -477,12 +493,12 @@ def oracle_sql() -> dict[str, str]:
         "FN-14": _ct("contact_id, queue, CAST(o_custkey % 4 AS INTEGER) AS holds"),
         "FN-15": _ct("""contact_id AS "ContactId", customer_address[2:5] AS area, '00' || customer_address[2:] AS dialled,
             CAST(position('T' IN initiated) AS INTEGER) AS at, channel || '/' || contact_id AS path"""),
-        "FN-16": DECODED,
+        "FN-16": "SELECT doc_id, md5(text || '+') AS decoded FROM documents",
         "FN-17": _of(LEGS, """SELECT contact_id AS "contactId",
             CASE WHEN NOT has_leg THEN '' WHEN l_suppkey % 2 = 1 THEN conn_id || ',' || conn_id ELSE conn_id END AS ids,
             CAST(CASE WHEN has_leg AND l_linenumber = 1 THEN 1 ELSE 0 END AS BIGINT) AS own_at
             FROM l3 WHERE has_leg OR l_suppkey % 2 = 0"""),
-        "UDF-1": _of(WIRE, 'SELECT "ContactId", "Channel" FROM wire'),
+        "UDF-1": _of(WIRE, """SELECT "ContactId", CASE "Channel" WHEN 'VOICE' THEN 'PHONE' ELSE "Channel" END AS "Channel" FROM wire"""),
         "UDF-2": CHAT_DOCS,
     }
     for n, name in enumerate(R1_NAMES, 1):

@@ -50,18 +50,24 @@ def flat_contacts(df: DataFrame) -> DataFrame:
 
 
 def connection_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per connection, and one for a record without any; the stages as text."""
+    def stage(name: str) -> Column:
+        of = F.col(name)
+        fields = [of["attributes"], of["queue"]["name"], F.array_join(of["thirdPartyConnections"], ","), of["timestamp"], of["type"]]
+        return F.when(of.isNotNull(), F.concat_ws("|", *[F.coalesce(f, F.lit("-")) for f in fields]))
+
     df = landing.call_connections(spark, fx.landed_connections(spark, sf))
-    leg = F.get("connections", F.lit(0))
-    return df.select(
+    leg, at = F.col("leg"), F.col("pos")
+    return df.select("*", F.posexplode_outer("connections").alias("pos", "leg")).select(
         "contactId", "inbound", "initialConnectionId", "initialTimestamp", "type",
-        F.coalesce(F.size("connections"), F.lit(-1)).alias("legs"),
-        leg["id"].alias("leg_id"), leg["type"].alias("leg_type"),
+        F.coalesce(F.size("connections"), F.lit(-1)).alias("legs"), at.cast("int").alias("at"),
+        leg["id"].alias("leg_id"), leg["type"].alias("leg_type"), leg["status"].alias("status"), leg["lastUpdate"].alias("updated"),
+        leg["connectingTimestamp"].alias("connecting"), leg["connectedTimestamp"].alias("connected"),
+        leg["disconnectedTimestamp"].alias("disconnected"),
         flag(leg["agentStatus"]["softPhoneEnabled"]).alias("softphone"),
         leg["agentStatus"]["extension"].alias("extension"), leg["endpoint"]["phoneNumber"].alias("number"),
-        leg["endpointCountryISO"].alias("country"), F.size(leg["history"]).alias("entries"),
-        F.col("stageConnecting.attributes").alias("attributes"), F.col("stageConnecting.queue.name").alias("queue"),
-        F.array_join("stageConnecting.thirdPartyConnections", ",").alias("third_parties"),
-        F.col("stageEnded.timestamp").alias("ended"))
+        leg["endpointCountryISO"].alias("country"), F.array_join(leg["history"]["status"], ",").alias("history"),
+        *[stage(name).alias(name) for name in ("stageConnecting", "stageConnected", "stageEnded", "stageError")])
 
 
 def agent_event_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,6 +134,11 @@ def chat_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return fx.rewritten_chat_usage(spark, sf).select(*CHAT_COLUMNS)
 
 
+def chat_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where the stream merges each batch into a keyed table."""
+    return fx.merged_chat_usage(spark, sf).select(*CHAT_COLUMNS)
+
+
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     def build(path: str) -> None:
         _, rejects = ingest.repair(fx.landed_wire(spark, sf), schemas.CONTACT)
@@ -164,6 +175,18 @@ def submissions(spark: SparkSession, sf: str) -> DataFrame:
     return (checked.select("data").transform(ingest.unwrap_batch, SUBMITTED).transform(ingest.accepted))
 
 
+def streamed_submissions(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(fx.streamed_submissions(spark, sf, SUBMITTED)["record"]).select("contactId", "inbound", "type")
+
+
+def submission_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows each sink of the submission stream holds."""
+    folders = fx.streamed_submissions(spark, sf, SUBMITTED)
+    counts = [(spark.read.parquet(path) if sink == "record" else spark.read.text(path)).agg(F.count("*").alias("rows"))
+              .select(F.lit(sink).alias("sink"), "rows") for sink, path in folders.items()]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 def decoded_keys(spark: SparkSession, sf: str) -> DataFrame:
     keys = fx.contacts(spark, sf).select(
         "ContactId", F.concat(F.lit("transcripts/2020+01/"), "ContactId", F.lit("%3Apart%20caf%C3%A9.json")).alias("key"))
@@ -404,6 +427,13 @@ def history_times(spark: SparkSession, sf: str) -> DataFrame:
         "contactId", F.col("leg.id").alias("conn_id"), F.array_join(times, ",", "-").alias("times"))
 
 
+def least_times(spark: SparkSession, sf: str) -> DataFrame:
+    """Least time of each snapshot's history, with NULL entries passed over and with any of them making it NULL."""
+    times = F.col("leg.history.timestamp")
+    return snapshots(spark, sf).select("contactId", F.col("leg.id").alias("conn_id"), F.array_min(times).alias("least"),
+                                       legs.earliest(times).alias("strict"))
+
+
 def history_entries(spark: SparkSession, sf: str) -> DataFrame:
     entries = snapshots(spark, sf).select("contactId", F.col("leg.id").alias("conn_id"), F.col("leg.history").alias("h"))
     return ingest.unnest(entries, "h", "entry", ["contactId", "conn_id"]).select(
@@ -422,6 +452,22 @@ def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
         flag(text.from_base64(coded) == F.col("text")).alias("restored"))
 
 
+def percent_decoded(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as a key would carry them, with a plus sign that is not a space."""
+    coded = F.concat(F.replace(F.url_encode("text"), F.lit("+"), F.lit("%20")), F.lit("+"))
+    return configure(spark).read.parquet(f"{sf}/documents.parquet").select(
+        "doc_id", F.md5(text.percent_decode(coded).cast("binary")).alias("decoded"))
+
+
+def hooked_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed whose lines pass through a hook of the caller before they are taken apart."""
+    def rename(lines: DataFrame) -> DataFrame:
+        return lines.withColumn("value", F.replace("value", F.lit('"Channel":"VOICE"'), F.lit('"Channel":"PHONE"')))
+
+    feed, _ = fx.streamed_feed(spark, sf, "hooked", fx.wire_lines(spark, sf), WIRE, "parquet", hook=rename)
+    return feed.select("ContactId", "Channel")
+
+
 def json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     line = F.to_json(F.struct("ContactId", "Queue", "Agent"))
     back = F.from_json(line, "ContactId string, Queue struct<Name string>, Agent struct<NumberOfHolds int>")
@@ -464,13 +510,16 @@ def queries() -> dict[str, Query]:
         "SRC-8": mixed_spelling,
         "SNK-1": contact_append,
         "SNK-2": chat_upsert,
+        "SNK-2-merge": chat_merge,
         "SNK-3": dead_letters,
         "SNK-4": published_view,
         "ING-1": split_lines,
         "ING-2": line_status,
         "ING-3": submissions,
+        "ING-3-stream": streamed_submissions,
         "ING-4": decoded_keys,
         "ING-5": envelope_check,
+        "ING-5-stream": submission_sinks,
         "ING-6": lambda spark, sf: ingest.with_contact_id(submissions(spark, sf)).select("contactId"),
         "PRJ-1": of_contact_records(lambda: [
             F.col("Queue.Name").alias("queue"), F.col("SystemEndpoint.Address").alias("system_address"),
@@ -552,7 +601,7 @@ def queries() -> dict[str, Query]:
         "FN-6": lambda spark, sf: fx.connections(spark, sf).select(
             "contactId", "inbound", flag(text.loose_boolean("inbound")).alias("is_inbound")),
         "FN-7": history_times,
-        "FN-8": lambda spark, sf: leg_rows(spark, sf).select("contact_id", "conn_id", "history_start"),
+        "FN-8": least_times,
         "FN-9": history_entries,
         "FN-10": of_base(lambda: [time.minimum_charge("xfer_disc", 60).alias("charged")]),
         "FN-11": phrases,
@@ -562,9 +611,9 @@ def queries() -> dict[str, Query]:
         "FN-13": encoded_documents,
         "FN-14": json_round_trip,
         "FN-15": text_parts,
-        "FN-16": decoded_keys,
+        "FN-16": percent_decoded,
         "FN-17": connection_ids,
-        "UDF-1": lambda spark, sf: fx.landed_wire(spark, sf).transform(
-            lambda lines: ingest.repair(lines, WIRE)[0]).select("ContactId", "Channel"),
-        "UDF-2": lambda spark, sf: fx.transcripts(spark, sf).transform(messages.count_messages).select(*CHAT_COLUMNS),
+        "UDF-1": hooked_feed,
+        "UDF-2": lambda spark, sf: landing.transcripts(spark, fx.landed_transcripts(spark, sf)).transform(
+            messages.count_messages).select(*CHAT_COLUMNS),
     }

@@ -136,6 +136,11 @@ def chat_usage(spark: SparkSession, path: str, any_spelling: bool = False) -> Da
     return latest_by_key(rows, ["instanceId", "contactId"], "written", "source_object").drop("written", "source_object")
 
 
+def merged_chat_usage(spark: SparkSession, path: str) -> DataFrame:
+    """The keyed table of message counts that the streaming job merges into: one row per chat, no versions to sort out."""
+    return spark.read.parquet(path).drop("written", "source_object", "bucket")
+
+
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
     """Transcript documents, one JSON object per file, with the object they came from."""
     return parse_transcripts(transcript_files(spark.read, path))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.operators.latest import latest_by_key
 from tallyline.sources.landing import EVENT_TIME_FORMAT
@@ -50,6 +51,38 @@ def write_chat_usage(usage: DataFrame, path: str) -> None:
     write_json(rows.drop("written", "source_object"), path, "overwrite")
 
 
+BUCKETS = 64
+
+
+def merge_by_key(updates: DataFrame, path: str, keys: list[str], order: list[str], buckets: int = BUCKETS) -> None:
+    """Keyed upsert into a Parquet table: one row per key, the last in ``order`` wins.
+
+    Keys are hashed into buckets, which are the table's partitions. Only the
+    buckets of the given keys are read and replaced, whole, when the write
+    commits; the same updates again change nothing. ``buckets`` stays as it was
+    when the table was made, and suits its size.
+    """
+    spark = updates.sparkSession
+    given = updates.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = [r[0] for r in given.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    held = table_by_key(spark, path, updates)
+    rows = given if held is None else given.unionByName(held.filter(F.col("bucket").isin(touched)).select(given.columns))
+    merged = latest_by_key(rows, [*keys, "bucket"], *order).select(given.columns)
+    # Different keys spread evenly, so a task per bucket is even too.
+    (merged.repartition(len(touched), "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+
+
+def table_by_key(spark, path: str, like: DataFrame) -> DataFrame | None:
+    """The table that ``merge_by_key`` keeps, with its ``bucket``; None before the first merge."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(T.StructType(like.schema.fields + [T.StructField("bucket", T.IntegerType())])).parquet(path)
+
+
 def write_columnar(df: DataFrame, path: str, partition_by: list[str], mode: str = "append") -> None:
     """Compact landing rows into Parquet that later reads can prune.
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.operators import ingest
 from tallyline.operators.messages import count_messages
 from tallyline.sources import landing
-from tallyline.sources.sinks import BUFFER_INTERVAL, each_batch, write_batch
+from tallyline.sources.sinks import BUFFER_INTERVAL, CHAT_KEYS, each_batch, merge_by_key, write_batch
 
 
 def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors: str, checkpoint: str,
@@ -35,19 +36,49 @@ def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors:
 
 
 def stream_chat_usage(spark: SparkSession, source: str, path: str, errors: str, checkpoint: str,
-                      once: bool = False) -> StreamingQuery:
+                      once: bool = False, merge: bool = False) -> StreamingQuery:
     """Count the messages of each new transcript object; objects that hold no transcript go to ``errors``.
 
     A transcript written again is counted again, in a later batch; readers
-    take the last version (``landing.chat_usage``).
+    take the last version (``landing.chat_usage``). With ``merge`` the counts are
+    a keyed table instead (``landing.merged_chat_usage``), of which a batch
+    rewrites the buckets of its chats.
     """
     def store(files: DataFrame, batch_id: int, run: str) -> None:
-        write_batch(count_messages(landing.parse_transcripts(files)), path, batch_id, run=run)
+        counts = count_messages(landing.parse_transcripts(files))
+        if merge:
+            merge_by_key(counts, path, CHAT_KEYS, ["written", "source_object"])
+        else:
+            write_batch(counts, path, batch_id, run=run)
         write_batch(landing.broken_transcripts(files).select("value"), errors, batch_id, "text", run)
 
     return _start(landing.stream_transcripts(spark, source), store, checkpoint, once)
 
 
+def land_submissions(spark: SparkSession, source: str, schema: str, path: str, bad_envelopes: str, bad_objects: str,
+                     checkpoint: str, once: bool = False, max_bytes: str | None = None) -> StreamingQuery:
+    """Take submission envelopes, a line each, apart into records as new objects arrive.
+
+    Each micro-batch is read once and written three times: the records that
+    name a contact, the envelopes that are not valid, and the objects of valid
+    ones that do not parse or name no contact. Every envelope and object ends in one of them.
+    """
+    def store(lines: DataFrame, batch_id: int, run: str) -> None:
+        checked = ingest.check_envelope(lines, "value").persist()
+        objects = (checked.filter("valid AND data IS NOT NULL").select("data")
+                   .transform(ingest.unwrap_batch, schema).persist())
+        records = ingest.accepted(objects)
+        named = ingest.with_contact_id(records)
+        nameless = records.filter(F.coalesce("contactId", F.lit("")) == "").select(F.to_json(F.struct("*")).alias("value"))
+        write_batch(named, path, batch_id, "parquet", run)
+        write_batch(checked.filter(~F.col("valid")).select("value"), bad_envelopes, batch_id, "text", run)
+        write_batch(ingest.rejected(objects).select("value").unionByName(nameless), bad_objects, batch_id, "text", run)
+        objects.unpersist()
+        checked.unpersist()
+
+    return _start(landing.stream_lines(spark, source, max_bytes=max_bytes), store, checkpoint, once)
+
+
 def _start(stream: DataFrame, store, checkpoint: str, once: bool) -> StreamingQuery:
     writer = (stream.writeStream.foreachBatch(each_batch(store)).outputMode("append")
               .option("checkpointLocation", checkpoint))
