@@ -6,11 +6,12 @@ bias, a weight per bucket, and for each pair of buckets the inner product of
 their factor vectors. A pair can so be worse than its parts: an insult beside
 the mention of a group scores higher than either alone.
 
-Which buckets the machine sees comes from all labelled training rows: document
-counts per bucket and label, summed in Spark, ranked by chi-square. The machine
-itself is fitted on at most ``SAMPLE`` labelled rows (those of least id
-digest) with ``FEATURES`` buckets; both bounds are parameters, and what is
-fitted is all that the driver holds. Every document is scored whole.
+The machine learns from the rows of a sample of labelled ids, about ``SAMPLE`` of
+them (those of least id digest): which buckets it sees, by document counts per
+bucket and label, summed in Spark and ranked by chi-square, and the fit itself,
+with ``FEATURES`` buckets. Both bounds are parameters. The sample is not drawn by
+label, so a rare label is as rare in it, and an id with many rows brings them all.
+What is fitted is all that the driver holds. Every document is scored whole.
 
 Nulls and ties: a null or empty text has no terms and scores the bias; rows that
 repeat a text score alike; a null doc_id is taken as the empty text for its
