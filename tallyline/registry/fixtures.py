@@ -16,7 +16,7 @@ from tallyline.operators.ingest import wrap_batch
 from tallyline.session import configure, scratch
 from tallyline.sources import sinks
 from tallyline.streaming.contacts import complete_contacts, pending_contacts, stream_contacts, write_slice
-from tallyline.streaming.feeds import land_feed, land_submissions, stream_chat_usage
+from tallyline.streaming.feeds import land_feed, land_submissions, stream_chat_usage, stream_notified_chats
 from tallyline.sources import landing, schemas
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -313,6 +313,21 @@ def merged_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.merged_chat_usage(spark, landed(spark, sf_dir, "chat_merged", build))
 
 
+def notified_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message counts of the transcripts that messages name, every one of them twice."""
+    def build(path: str) -> None:
+        objects = landed_transcripts(spark, sf_dir)
+        notices, errors, offsets = (scratch(spark, n) for n in ("notices", "errors", "offsets"))
+        key = F.regexp_extract("file", r"([^/]+/[^/]+)$", 1)
+        coded = F.replace(F.url_encode(key), F.lit("+"), F.lit("%20"))
+        message = F.to_json(F.struct(F.array(F.struct(F.struct(F.struct(coded.alias("key")).alias("object")).alias("s3"))).alias("Records")))
+        for _ in range(2):
+            (spark.read.option("recursiveFileLookup", "true").text(objects).select(F.col("_metadata.file_path").alias("file")).distinct()
+             .select(message.alias("value")).write.mode("append").text(notices))
+            stream_notified_chats(spark, notices, objects, path, errors, offsets, once=True).awaitTermination()
+    return landing.merged_chat_usage(spark, landed(spark, sf_dir, "chat_notified", build))
+
+
 def streamed_submissions(spark: SparkSession, sf_dir: str, schema: str) -> dict[str, str]:
     """Envelopes as a stream's files, and the folders of its three sinks."""
     def build(path: str) -> dict[str, str]:

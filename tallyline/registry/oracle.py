@@ -369,6 +369,7 @@ def oracle_sql() -> dict[str, str]:
             coalesce((SELECT string_agg(speaker, ',' ORDER BY i) FROM items f WHERE f.conv_id = d1.conv_id AND f.turn = d1.turn), '') AS roles
             FROM d1"""),
         "SRC-6": CHAT_DOCS,
+        "SRC-6-notified": CHAT_DOCS,
         "SRC-7": f"""SELECT 'e' || event_id || twin AS "EventId", {iso('epoch_us(ts) // 1000 * 1000')} AS "EventTimestamp",
             event_type AS "EventType", 'agent-' || user_id AS "AgentARN" FROM events, (VALUES (''), ('x')) t(twin)""",
         "SRC-8": _of(LEGS, """SELECT contact_id, conn_id, country AS "endpointCountryISO",

@@ -111,6 +111,10 @@ def new_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     return fx.streamed_chat_usage(spark, sf).select(*CHAT_COLUMNS)
 
 
+def notified_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.notified_chat_usage(spark, sf).select(*CHAT_COLUMNS)
+
+
 def agent_event_feed(spark: SparkSession, sf: str) -> DataFrame:
     lines = fx.run_together(fx.agent_events(spark, sf), "EventId")
     feed, _ = fx.streamed_feed(spark, sf, "agents", lines, schemas.AGENT_EVENT, "parquet")
@@ -506,6 +510,7 @@ def queries() -> dict[str, Query]:
         "SRC-4": chat_usage_table,
         "SRC-5": transcript_documents,
         "SRC-6": new_transcripts,
+        "SRC-6-notified": notified_transcripts,
         "SRC-7": agent_event_feed,
         "SRC-8": mixed_spelling,
         "SNK-1": contact_append,

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.functions.text import percent_decode
 from tallyline.operators import ingest
 from tallyline.operators.latest import latest_by_key
 from tallyline.sources import schemas
@@ -146,13 +150,60 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
     return parse_transcripts(transcript_files(spark.read, path))
 
 
-def transcript_files(reader, path: str, **options) -> DataFrame:
+def transcript_files(reader, path: str | list[str], **options) -> DataFrame:
     """Whole files with where and when they were written; ``reader`` is of either kind."""
     return (reader.options(recursiveFileLookup="true", **options).text(path, wholetext=True)
             .select("value", F.col("_metadata.file_path").alias("source_object"),
                     F.col("_metadata.file_modification_time").alias("written")))
 
 
+NOTICE = "Records array<struct<s3:struct<object:struct<key:string>>>>"
+
+
+def notified_keys(lines: DataFrame) -> DataFrame:
+    """``key``, each once, of the objects that object-created messages name; a message is a line, its keys percent-encoded."""
+    found = F.from_json("value", schemas.struct(NOTICE))["Records"]
+    keys = F.transform(found, lambda r: percent_decode(r["s3"]["object"]["key"]))
+    return lines.select(F.explode(keys).alias("key")).filter(F.col("key") != "").distinct()
+
+
+def unreadable_notices(lines: DataFrame) -> DataFrame:
+    """The lines that name no object."""
+    keys = F.from_json("value", schemas.struct(NOTICE))["Records"]["s3"]["object"]["key"]
+    return lines.filter(~F.coalesce(F.exists(keys, lambda k: k != ""), F.lit(False)))
+
+
+def stream_notices(spark: SparkSession, path: str, archive: str | None = None, max_bytes: int = 8 << 20) -> DataFrame:
+    """Object-created messages as an unbounded table of lines.
+
+    Messages that were taken move to ``archive``, or go if none is named, so
+    what is listed for a micro-batch is what has come since, however many
+    objects there are. ``max_bytes`` of messages make a micro-batch.
+    """
+    clean = {"cleanSource": "delete"} if archive is None else {"cleanSource": "archive", "sourceArchiveDir": archive}
+    return spark.readStream.options(maxBytesPerTrigger=max_bytes, **clean).text(path)
+
+
+def objects_at(spark: SparkSession, root: str, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """The named objects under ``root``, whole, and the keys that are not there (any more). No folder is listed."""
+    def there(key: str) -> bool:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{key}")
+        return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+    def read(some: list[str]) -> DataFrame:
+        # A key is a name and no pattern.
+        plain = [re.sub(r"([\\{}\[\]*?,^])", r"\\\1", k) for k in some]
+        return transcript_files(spark.read, [f"{root}/{k}" for k in plain])
+
+    try:
+        return read(keys), []
+    except AnalysisException:
+        kept = [k for k in keys if there(k)]
+        missing = sorted(set(keys) - set(kept))
+        empty = spark.createDataFrame([], "value string, source_object string, written timestamp")
+        return (read(kept) if kept else empty), missing
+
+
 def _document() -> Column:
     return F.from_json("value", schemas.struct(schemas.TRANSCRIPT))
 
@@ -169,10 +220,10 @@ def broken_transcripts(files: DataFrame) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH,
-                 max_bytes: str | None = None) -> DataFrame:
+                 max_bytes: int | None = None) -> DataFrame:
     """Lines of a landing folder as an unbounded table; each new object is read once.
 
-    A micro-batch takes at most ``max_files`` objects, or ``max_bytes`` (such as ``1g``) if given.
+    A micro-batch takes at most ``max_files`` objects, or ``max_bytes`` bytes if given.
     """
     bound = {"maxFilesPerTrigger": max_files} if max_bytes is None else {"maxBytesPerTrigger": max_bytes}
     return spark.readStream.options(recursiveFileLookup="true", **bound).text(path)

@@ -16,12 +16,12 @@ from tallyline.sources.sinks import BUFFER_INTERVAL, CHAT_KEYS, each_batch, merg
 
 def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors: str, checkpoint: str,
               fmt: str = "parquet", once: bool = False, hook: Callable[[DataFrame], DataFrame] | None = None,
-              max_bytes: str | None = None) -> StreamingQuery:
+              max_bytes: int | None = None) -> StreamingQuery:
     """Repair a JSON feed into a table folder as new objects arrive.
 
     Lines with several objects are split; what cannot be read goes to
     ``errors``, byte for byte. ``hook`` maps the lines (``value``) first. A
-    micro-batch is taken each minute, of at most ``max_bytes``.
+    micro-batch is taken each minute, of at most ``max_bytes`` bytes.
     """
     def store(lines: DataFrame, batch_id: int, run: str) -> None:
         lines = lines if hook is None else hook(lines)
@@ -55,8 +55,30 @@ def stream_chat_usage(spark: SparkSession, source: str, path: str, errors: str,
     return _start(landing.stream_transcripts(spark, source), store, checkpoint, once)
 
 
+def stream_notified_chats(spark: SparkSession, notices: str, objects: str, path: str, errors: str, checkpoint: str,
+                          archive: str | None = None, once: bool = False) -> StreamingQuery:
+    """Count the messages of the transcripts that object-created messages under ``notices`` name, in the keyed table ``path``.
+
+    Only named objects under ``objects`` are opened: what lies there besides
+    costs nothing. Messages that name none, objects that are gone and objects
+    that hold no transcript go to ``errors``. A message may come twice.
+    """
+    def store(lines: DataFrame, batch_id: int, run: str) -> None:
+        session = lines.sparkSession
+        keys = [r[0] for r in landing.notified_keys(lines).collect()]  # of a bounded number of messages
+        found, missing = landing.objects_at(session, objects, keys) if keys else (None, [])
+        bad = landing.unreadable_notices(lines).select("value").unionByName(
+            session.createDataFrame([(k,) for k in missing], "value string"))
+        if found is not None:
+            merge_by_key(count_messages(landing.parse_transcripts(found)), path, CHAT_KEYS, ["written", "source_object"])
+            bad = bad.unionByName(landing.broken_transcripts(found).select("value"))
+        write_batch(bad, errors, batch_id, "text", run)
+
+    return _start(landing.stream_notices(spark, notices, archive), store, checkpoint, once)
+
+
 def land_submissions(spark: SparkSession, source: str, schema: str, path: str, bad_envelopes: str, bad_objects: str,
-                     checkpoint: str, once: bool = False, max_bytes: str | None = None) -> StreamingQuery:
+                     checkpoint: str, once: bool = False, max_bytes: int | None = None) -> StreamingQuery:
     """Take submission envelopes, a line each, apart into records as new objects arrive.
 
     Each micro-batch is read once and written three times: the records that

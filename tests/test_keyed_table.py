@@ -1,13 +1,14 @@
-"""The keyed table that batches merge into."""
+"""The keyed table that batches merge into, and the feeds beside it."""
 
 import glob
+import json
 import os
 import tempfile
 
 from pyspark.sql import functions as F
 
 from tallyline.sources import landing, sinks
-from tallyline.streaming.feeds import land_submissions
+from tallyline.streaming.feeds import land_submissions, stream_notified_chats
 
 SCHEMA = "instanceId string, contactId string, total_msg int, written long, source_object string"
 
@@ -52,3 +53,31 @@ def test_every_submission_is_accounted_for(spark):
     assert [tuple(r)[:2] for r in spark.read.parquet(f"{root}/out").select("contactId", "type").collect()] == [("1", "voice")]
     assert sorted(r.value for r in spark.read.text(f"{root}/envelopes").select("value").collect()) == sorted([lines[3], "no json", lines[5]])
     assert sorted(r.value for r in spark.read.text(f"{root}/objects").select("value").collect()) == sorted([bad, none, "???"])
+
+
+def test_only_named_objects_are_opened(spark):
+    root = tempfile.mkdtemp(prefix="tallyline-test-")
+    os.makedirs(f"{root}/objects/old")
+    os.makedirs(f"{root}/notices")
+    document = lambda c, n: json.dumps({"ContactId": c, "InstanceId": "i", "Transcript": [{"Type": "MESSAGE", "ParticipantRole": "AGENT"}] * n})
+    for name, body in [("old/a b+c.json", document("1", 2)), ("old/[x]*{2}.json", document("2", 3)), ("old/bad.json", "{"), ("old/unnamed.json", document("3", 1))]:
+        with open(f"{root}/objects/{name}", "w") as f:
+            f.write(body)
+    notice = lambda *keys: json.dumps({"Records": [{"s3": {"object": {"key": k}}} for k in keys]})
+
+    def run(name, *lines):
+        if lines:
+            with open(f"{root}/notices/{name}", "w") as f:
+                f.write("\n".join(lines))
+        stream_notified_chats(spark, f"{root}/notices", f"{root}/objects", f"{root}/table", f"{root}/errors", f"{root}/offsets",
+                              once=True).awaitTermination()
+        return {r.contactId: r.agent_msg for r in landing.merged_chat_usage(spark, f"{root}/table").collect()}
+
+    assert run("1", notice("old/a%20b+c.json", "old/gone.json"), "no json", notice()) == {"1": 2}
+    assert run("2", notice("old/%5Bx%5D%2A%7B2%7D.json"), notice("old/bad.json", "old/a%20b+c.json")) == {"1": 2, "2": 3}
+    assert run("3") == {"1": 2, "2": 3}
+    with open(f"{root}/objects/old/a b+c.json", "w") as f:
+        f.write(document("1", 5))
+    assert run("4", notice("old/a%20b+c.json")) == {"1": 5, "2": 3}
+    errors = sorted(r.value for r in spark.read.text(f"{root}/errors").select("value").collect())
+    assert errors == sorted(["old/gone.json", "no json", notice(), "{"])
