@@ -449,7 +449,8 @@ def contact_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run(spark: SparkSession, source: str, records: str, submitted: str, offsets: str, **more) -> None:
     events = landing.stream_json(spark, source, schemas.CALL_EVENT)
-    stream_contacts(events, records, submitted, offsets, prefixes=dial_prefixes(spark), once=True, **more)
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    stream_contacts(events, records, submitted, offsets, prefixes=dial_prefixes(spark), once=True, partitions=partitions, **more)
 
 
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:

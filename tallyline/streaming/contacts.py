@@ -44,7 +44,7 @@ class ContactJob:
 
 def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: str, prefixes: DataFrame | None = None,
                     once: bool = False, every: str = EMIT_INTERVAL, limit: int = fold.PENDING_LIMIT_SECONDS,
-                    lag: int = 0, history: str | None = None) -> ContactJob:
+                    lag: int = 0, history: str | None = None, partitions: int | None = None) -> ContactJob:
     """Fold a stream of call events into contact records under ``path``, and store the events under ``submitted``.
 
     With ``history`` the connections' history is stored there too, in pages of
@@ -54,7 +54,8 @@ def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: st
     the clock of the machine, at the first micro-batch from then on. ``lag`` is
     how many seconds the feed lies back: a replay of last week's events ages
     them as last week did. ``once`` works off what is there, releases what is
-    due and stops.
+    due and stops. ``partitions`` of the state, each a worker in every
+    micro-batch, are fixed by the first start; the session's shuffle partitions by default.
 
     The folders of records and events are keyed by query and batch and
     overwritten on replay; a replayed micro-batch takes the same events, state
@@ -73,7 +74,8 @@ def stream_contacts(events: DataFrame, path: str, submitted: str, checkpoint: st
             write_batch(fold.page_records(fold.history_pages(stored)), history, batch_id, run=run)
 
     done = keyed.completed(events, prefixes, types, limit, lag)
-    with settings(spark, keyed.STATE_CONF):
+    sized = {} if partitions is None else {"spark.sql.shuffle.partitions": str(partitions)}
+    with settings(spark, keyed.STATE_CONF | sized):
         started = [(frame.writeStream.foreachBatch(each_batch(store)).outputMode("append")
                     .option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger).start())
                    for name, frame, store, trigger in (
