@@ -103,26 +103,44 @@ def span_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     return _starting(*_joined(text))
 
 
-def _starting(joined: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+# Sentences' hashes are digits of a number to this odd base, modulo 2^64: a span's hash comes from two prefix sums.
+_BASE = 0x9E3779B97F4A7C15
+_BASE_BACK = pow(_BASE, -1, 1 << 64)
+
+
+def _power_sums(joined: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    digest = xxhash.xxh64_intdigest
+    own = np.fromiter((digest(j.encode(), 11) for j in joined), np.uint64, len(joined))
+    up, back = (np.cumprod(np.append(np.uint64(1), np.full(len(own), base, np.uint64))) for base in (_BASE, _BASE_BACK))
+    return np.append(np.uint64(0), np.cumsum(own * up[:-1])), back
+
+
+def _of_spans(sums: np.ndarray, back: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each run of sentences from ``begins`` to before ``ends``."""
+    value = (sums[ends] - sums[begins]) * back[begins]
+    value = (value ^ (value >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (value ^ (value >> np.uint64(29))).view(np.int64)
+
+
+def _starting(joined: list[str], counts: np.ndarray, sums=None) -> tuple[np.ndarray, np.ndarray]:
     n = len(joined)
     hashes, lengths = np.zeros(n, np.int64), np.zeros(n, np.int32)
-    digest = xxhash.xxh64_intdigest
     if 0 < counts[-1] < LEAST_WORDS:
         # The whole text, however it is cut.
-        hashes[0], lengths[0] = _signed(digest(" ".join(j for j in joined if j).encode(), 12)), n
+        hashes[0], lengths[0] = _signed(xxhash.xxh64_intdigest(" ".join(j for j in joined if j).encode(), 12)), n
         return hashes, lengths
     ends = np.maximum(np.searchsorted(counts, counts[:-1] + LEAST_WORDS), np.arange(n) + LEAST_SENTENCES)
-    for at, end in enumerate(ends.tolist()):
-        if end > n:
-            break
-        hashes[at], lengths[at] = _signed(digest("\n".join(joined[at:end]).encode(), 11)), end - at
+    at = np.flatnonzero(ends <= n)
+    hashes[at] = _of_spans(*(sums or _power_sums(joined)), at, ends[at])
+    lengths[at] = ends[at] - at
     return hashes, lengths
 
 
 def all_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The first sentence, the number of sentences and the hash of each span that starts or ends with a sentence."""
     joined, counts = _joined(text)
-    hashes, lengths = _starting(joined, counts)
+    sums = _power_sums(joined)
+    hashes, lengths = _starting(joined, counts, sums)
     starts = np.flatnonzero(lengths)
     if counts[-1] < LEAST_WORDS:
         return starts, lengths[starts], hashes[starts]
@@ -130,9 +148,7 @@ def all_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins = np.minimum(np.searchsorted(counts, counts[ends] - LEAST_WORDS, "right") - 1, ends - LEAST_SENTENCES)
     new = (begins >= 0) & (lengths[np.maximum(begins, 0)] != ends - begins)
     begins, ends = begins[new], ends[new]
-    digest = xxhash.xxh64_intdigest
-    more = [_signed(digest("\n".join(joined[a:b]).encode(), 11)) for a, b in zip(begins.tolist(), ends.tolist())]
-    return (np.append(starts, begins), np.append(lengths[starts], ends - begins), np.append(hashes[starts], np.array(more, np.int64)))
+    return np.append(starts, begins), np.append(lengths[starts], ends - begins), np.append(hashes[starts], _of_spans(*sums, begins, ends))
 
 
 def _found(text: str | None, ending: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

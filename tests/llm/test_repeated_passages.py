@@ -45,3 +45,16 @@ def test_every_repeated_passage_is_removed(spark):
 def test_cuts_leave_no_gaps():
     for text in ("  x " * 30, words(100) + "\n\n " + words(50), "\t".join(words(40).split()), " \n", "a,b;" * 40):
         assert "".join(sentence_spans.sentences(text)) == text
+
+
+def test_equal_runs_of_sentences_hash_alike_and_others_do_not():
+    """Whatever stands before them."""
+    body = [words(8) + "." for _ in range(60)]
+    seen = {}
+    for lead in ("", words(3) + ". ", words(30) + ". " + words(11) + ". "):
+        text = lead + " ".join(body)
+        cut = sentence_spans.sentences(text)
+        for at, n, value in zip(*sentence_spans.all_spans(text)):
+            run = "\n".join(" ".join(x.lower().split()) for x in cut[at:at + n])
+            assert seen.setdefault(int(value), run) == run
+    assert len(set(seen.values())) == len(seen) > 50
