@@ -216,6 +216,23 @@ def test_release_in_silence(spark):
     assert released - now.timestamp() >= 45 and pending_contacts(spark, offsets).count() == 0
 
 
+def test_release_after_a_silent_restart(spark):
+    """A job that starts again, and finds nothing new, releases what fell due while it was down."""
+    where = folders()
+    source, records, submitted, offsets = where
+    began = datetime.now(timezone.utc)
+    rows = [event("quiet", 1, "Connected") | {"ts": began}]
+    write_slice(frame(spark, rows).coalesce(1), source)
+    for n in range(2):
+        events = landing.stream_json(spark, source, schemas.CALL_EVENT)
+        stream_contacts(events, records, submitted, offsets, once=True, limit=60)
+        if n == 0:
+            assert [r.contactId for r in pending_contacts(spark, offsets).collect()] == ["quiet"]
+            time.sleep(max(0.0, 61 - (datetime.now(timezone.utc) - began).total_seconds()))
+    assert [(r.contactId, r.completion) for r in complete_contacts(spark, records).collect()] == [("quiet", "abandoned")]
+    assert pending_contacts(spark, offsets).count() == 0
+
+
 def test_event_after_completion_opens_another_record(spark):
     where = folders()
     rows = [event("a", 1, "ACW", "ended", state="disconnected"), event("a", 2, "Destroyed", "ended")]
