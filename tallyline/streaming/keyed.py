@@ -14,6 +14,7 @@ the order of events and a fold is the least or the greatest text.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -79,7 +80,7 @@ def _from_text(name: str, kind: T.DataType) -> Column:
             body = T.StructType([T.StructField("value", kind["value"].dataType)])
             parts.append(F.from_json(F.substr(text, F.lit(TIME_WIDTH + ID_WIDTH + 1)), body)["value"].alias("value"))
         return F.when(text.isNotNull(), F.struct(*parts))
-    return text
+    return text.cast(kind)
 
 
 def part_types(spark) -> dict[str, T.DataType]:
@@ -118,63 +119,93 @@ def combined_in_tasks(texts: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return texts.mapInArrow(run, texts.schema)
 
 
+def packed(texts: DataFrame, names: list[str]) -> DataFrame:
+    """Each row as ``contactId`` and a JSON array of its ``names``.
+
+    Spark hands the rows of a contact to Python, and takes them back, in Arrow
+    batches of their own, whose cost goes by the number of columns.
+    """
+    return texts.select("contactId", F.to_json(F.array(*[F.col(n).cast("string") for n in names])).alias("part"))
+
+
+def unpacked(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """The inverse of ``packed``: the members of the array as columns of text in its place."""
+    rest = [c for c in rows.columns if c != column]
+    return (rows.withColumn("_members", F.from_json(column, "array<string>"))
+            .select(*rest, *[F.get("_members", F.lit(i)).alias(n) for i, n in enumerate(names)]))
+
+
 def _together(kind: str, a, b):
     if a is None or b is None:
         return b if a is None else a
-    return a + b if kind == "sum" else min(a, b) if kind == "min" else max(a, b)
+    return int(a) + int(b) if kind == "sum" else min(a, b) if kind == "min" else max(a, b)
 
 
 class ContactState(StatefulProcessor):
     """Folds the parts of a contact's events into its state; emits them when the contact is complete."""
 
     def __init__(self, contact: dict[str, str], legs: dict[str, str], limit: int, lag: int):
-        self.contact_kinds, self.leg_kinds = contact, legs
+        self.names, self.contact_kinds, self.leg_kinds = list(contact), list(contact.values()), list(legs.values())
         self.limit, self.lag = limit, lag
 
     def init(self, handle) -> None:
-        kind = lambda k: "long" if k == "sum" else "string"
-        columns = lambda kinds: ", ".join(f"{n} {kind(k)}" for n, k in kinds.items())
         self.handle = handle
-        self.contact = handle.getValueState("contact", columns(self.contact_kinds) + ", due long")
-        self.legs = handle.getMapState("legs", "connId string", columns(self.leg_kinds))
+        self.contact = handle.getValueState("contact", "folds string, due long")
+        self.legs = handle.getMapState("legs", "connId string", "folds string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.contact.get() if self.contact.exists() else None
-        contact = dict(zip(self.contact_kinds, held)) if held else dict.fromkeys(self.contact_kinds)
-        due = held[len(contact)] if held else None
+        # Every call on the state is a message to the JVM and back, so none is made whose answer is known:
+        # a contact that is not held has no connections, and one that is due already need not be held.
+        held = self.contact.get()
+        folds, due = (json.loads(held[0]), held[1]) if held else ([None] * len(self.contact_kinds), None)
         touched = {}
         for row in rows:
-            leg = touched.get(row["connId"])
+            conn, *values = json.loads(row["part"])
+            leg = touched.get(conn)
             if leg is None:
-                old = self.legs.getValue((row["connId"],)) if self.legs.containsKey((row["connId"],)) else None
-                leg = touched[row["connId"]] = dict(zip(self.leg_kinds, old)) if old else dict.fromkeys(self.leg_kinds)
-            for into, kinds in ((contact, self.contact_kinds), (leg, self.leg_kinds)):
-                for name, kind in kinds.items():
-                    into[name] = _together(kind, into[name], row[name])
-        for conn, leg in touched.items():
-            self.legs.updateValue((conn,), tuple(leg.values()))
+                old = self.legs.getValue((conn,)) if held else None
+                leg = touched[conn] = json.loads(old[0]) if old else [None] * len(self.leg_kinds)
+            self.merge(folds, self.contact_kinds, values)
+            self.merge(leg, self.leg_kinds, values[len(folds):])
+        contact = dict(zip(self.names, folds))
         reason = self.reason(contact)
-        if reason:
-            yield from self.emitted(key[0], contact, reason, due)
-            return
         # What only reported terminal events goes without a record once it is as old.
         now_due = self.micros(contact["c_start"] or contact["c_last"]) // 1000 + 1000 * (self.limit + self.lag) + 1
+        # A timer fires once its time lies before that of the micro-batch, also in the one that set it.
+        if reason or now_due < timerValues.getCurrentProcessingTimeInMs():
+            if contact["c_start"] is not None:
+                yield from self.emitted(folds, (self.held_legs() if held else {}) | touched, reason or "abandoned", key[0])
+            if held:
+                self.handle.deleteTimer(due)
+                self.legs.clear()
+                self.contact.clear()
+            return
+        for conn, leg in touched.items():
+            self.legs.updateValue((conn,), (json.dumps(leg),))
         if now_due != due:
             if due is not None:
                 self.handle.deleteTimer(due)
             self.handle.registerTimer(now_due)
-        self.contact.update((*contact.values(), now_due))
+        self.contact.update((json.dumps(folds), now_due))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.contact.exists():
-            return
         held = self.contact.get()
-        contact = dict(zip(self.contact_kinds, held))
-        if contact["c_start"] is not None:
-            yield from self.emitted(key[0], contact, "abandoned", None)
-        else:
-            self.contact.clear()
-            self.legs.clear()
+        if held is None:
+            return
+        folds = json.loads(held[0])
+        if folds[self.names.index("c_start")] is not None:
+            yield from self.emitted(folds, self.held_legs(), "abandoned", key[0])
+        self.legs.clear()
+        self.contact.clear()
+
+    @staticmethod
+    def merge(into: list, kinds: list[str], values: list) -> None:
+        for i, kind in enumerate(kinds):
+            if values[i] is not None:
+                into[i] = _together(kind, into[i], values[i])
+
+    def held_legs(self) -> dict[str, list]:
+        return {conn[0]: json.loads(leg[0]) for conn, leg in self.legs.iterator()}
 
     @staticmethod
     def micros(text: str) -> int:
@@ -193,26 +224,28 @@ class ContactState(StatefulProcessor):
             return "abandoned"
         return None
 
-    def emitted(self, contact_id: str, contact: dict, reason: str, due: int | None) -> Iterator[Row]:
-        for conn, leg in self.legs.iterator():
-            yield Row(contactId=contact_id, connId=conn[0], **contact, **dict(zip(self.leg_kinds, leg)), completion=reason)
-        if due is not None:
-            self.handle.deleteTimer(due)
-        self.legs.clear()
-        self.contact.clear()
+    @staticmethod
+    def emitted(folds: list, legs: dict[str, list], reason: str, contact_id: str) -> Iterator[Row]:
+        for conn, leg in legs.items():
+            yield Row(part=json.dumps([contact_id, conn, *folds, *leg, reason]))
 
     def close(self) -> None:
         pass
 
 
 def completed(events: DataFrame, prefixes: DataFrame | None, types: dict[str, T.DataType], limit: int, lag: int) -> DataFrame:
-    """A stream of the parts, as text, of the contacts that become complete, with why they are."""
+    """A stream of the parts, as text, of the contacts that become complete, with why they are; ``completed_parts`` reads it."""
     contact, legs = kinds_of()
     texts = as_text(fold.single_parts(events, prefixes), types)
-    given = combined_in_tasks(texts, contact | legs)
-    out = T.StructType(given.schema.fields + [T.StructField("completion", T.StringType())])
+    given = packed(combined_in_tasks(texts, contact | legs), ["connId", *contact, *legs])
     return given.groupBy("contactId").transformWithState(
-        ContactState(contact, legs, limit, lag), out, "append", "processingTime")
+        ContactState(contact, legs, limit, lag), "part string", "append", "processingTime")
+
+
+def completed_parts(batch: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """The parts in a batch of ``completed``."""
+    contact, legs = kinds_of()
+    return from_text(unpacked(batch, "part", [*fold.KEYS, *contact, *legs, "completion"]), types)
 
 
 def pending_parts(spark, checkpoint: str, types: dict[str, T.DataType]) -> DataFrame:
@@ -221,7 +254,6 @@ def pending_parts(spark, checkpoint: str, types: dict[str, T.DataType]) -> DataF
         return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
 
     contact, legs = kinds_of()
-    contacts = read("contact").select(F.col("key.contactId"), *[F.col(f"value.{n}") for n in contact])
-    connections = read("legs").select(
-        F.col("key.contactId"), F.col("user_map_key.connId"), *[F.col(f"user_map_value.{n}") for n in legs])
-    return from_text(connections.join(contacts, "contactId"), types)
+    contacts = read("contact").select("key.contactId", F.col("value.folds").alias("folds"))
+    connections = read("legs").select("key.contactId", "user_map_key.connId", F.col("user_map_value.folds").alias("folds"))
+    return from_text(unpacked(connections, "folds", list(legs)).join(unpacked(contacts, "folds", list(contact)), "contactId"), types)
