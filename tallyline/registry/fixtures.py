@@ -271,13 +271,24 @@ def landed_agent_events(spark: SparkSession, sf_dir: str) -> str:
     return landed(spark, sf_dir, "agent_events", lambda p: sinks.write_json(agent_events(spark, sf_dir), p))
 
 
+# Transcripts in one object of a landing folder.
+TRANSCRIPTS_PER_OBJECT = 1000
+
+
+def write_transcripts(documents: DataFrame, path: str) -> None:
+    """Append transcripts to a landing folder, many to an object, a line each.
+
+    The number of objects goes by the bytes and not by the transcripts. Of the
+    rows of one contact in a task the first is its transcript.
+    """
+    (documents.select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"),
+                      F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("row"))
+     .groupBy("contact", "task").agg(F.min_by("value", "row").alias("value")).select("value")
+     .write.mode("append").option("maxRecordsPerFile", TRANSCRIPTS_PER_OBJECT).text(path))
+
+
 def landed_transcripts(spark: SparkSession, sf_dir: str) -> str:
-    """One file per transcript, in a folder per contact."""
-    def build(path: str) -> None:
-        (transcripts(spark, sf_dir)
-         .select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"))
-         .write.partitionBy("contact").text(path))
-    return landed(spark, sf_dir, "transcripts", build)
+    return landed(spark, sf_dir, "transcripts", lambda p: write_transcripts(transcripts(spark, sf_dir), p))
 
 
 def streamed_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,8 +306,7 @@ def rewritten_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         source, errors, offsets = (scratch(spark, n) for n in ("transcripts", "errors", "offsets"))
         whole = transcripts(spark, sf_dir)
         for version in (whole.withColumn("Transcript", F.slice("Transcript", 1, 0)), whole):
-            (version.select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"))
-             .write.mode("append").partitionBy("contact").text(source))
+            write_transcripts(version, source)
             stream_chat_usage(spark, source, path, errors, offsets, once=True).awaitTermination()
     return landing.chat_usage(spark, landed(spark, sf_dir, "chat_rewritten", build))
 
@@ -307,18 +317,17 @@ def merged_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         source, errors, offsets = (scratch(spark, n) for n in ("transcripts", "errors", "offsets"))
         whole = transcripts(spark, sf_dir)
         for version in (whole.withColumn("Transcript", F.slice("Transcript", 1, 0)), whole):
-            (version.select(F.col("ContactId").alias("contact"), F.to_json(F.struct("*")).alias("value"))
-             .write.mode("append").partitionBy("contact").text(source))
+            write_transcripts(version, source)
             stream_chat_usage(spark, source, path, errors, offsets, once=True, merge=True).awaitTermination()
     return landing.merged_chat_usage(spark, landed(spark, sf_dir, "chat_merged", build))
 
 
 def notified_chat_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Message counts of the transcripts that messages name, every one of them twice."""
+    """Message counts of the transcripts in the objects that messages name, every one of them twice."""
     def build(path: str) -> None:
         objects = landed_transcripts(spark, sf_dir)
         notices, errors, offsets = (scratch(spark, n) for n in ("notices", "errors", "offsets"))
-        key = F.regexp_extract("file", r"([^/]+/[^/]+)$", 1)
+        key = F.regexp_extract("file", r"([^/]+)$", 1)
         coded = F.replace(F.url_encode(key), F.lit("+"), F.lit("%20"))
         message = F.to_json(F.struct(F.array(F.struct(F.struct(F.struct(coded.alias("key")).alias("object")).alias("s3"))).alias("Records")))
         for _ in range(2):

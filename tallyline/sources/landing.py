@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.text import percent_decode
+from tallyline.functions.text import percent_decode, split_objects
 from tallyline.operators import ingest
 from tallyline.operators.latest import latest_by_key
 from tallyline.sources import schemas
@@ -146,7 +146,7 @@ def merged_chat_usage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """Transcript documents, one JSON object per file, with the object they came from."""
+    """Transcript documents, one or more JSON objects per file, with the file they came from."""
     return parse_transcripts(transcript_files(spark.read, path))
 
 
@@ -208,15 +208,22 @@ def _document() -> Column:
     return F.from_json("value", schemas.struct(schemas.TRANSCRIPT))
 
 
+def _documents(files: DataFrame) -> DataFrame:
+    """The JSON objects of whole files that may hold several back to back, a row each; a blank file is one blank row."""
+    pieces = split_objects("value")
+    return ingest.unnest(files.withColumn("_pieces", F.when(F.size(pieces) > 0, pieces).otherwise(F.array("value"))),
+                         "_pieces", "value", [c for c in files.columns if c != "value"])
+
+
 def parse_transcripts(files: DataFrame) -> DataFrame:
-    """The files that hold a transcript of a contact."""
-    return (files.select(_document().alias("d"), "source_object", "written")
+    """The transcripts of a contact that the files hold."""
+    return (_documents(files).select(_document().alias("d"), "source_object", "written")
             .filter(F.col("d.ContactId").isNotNull()).select("d.*", "source_object", "written"))
 
 
 def broken_transcripts(files: DataFrame) -> DataFrame:
-    """The other files, text and all."""
-    return files.filter(_document()["ContactId"].isNull())
+    """What else the files hold, text and all."""
+    return _documents(files).filter(_document()["ContactId"].isNull())
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = MAX_FILES_PER_BATCH,
