@@ -263,7 +263,7 @@ def landed_mixed_spelling(spark: SparkSession, sf_dir: str) -> str:
         spelt = (F.when(F.col("contactId").rlike("[0-4]$"), F.replace(
             F.replace(line, F.lit("endpointCountryISO"), F.lit("endpointCountryIso")),
             F.lit("softPhoneEnabled"), F.lit("softphoneEnabled"))).otherwise(line))
-        connections(spark, sf_dir).select(spelt.alias("value")).write.text(path)
+        sinks.write_lines(connections(spark, sf_dir).select(spelt.alias("value")), path)
     return landed(spark, sf_dir, "spelling", build)
 
 
@@ -342,7 +342,7 @@ def streamed_submissions(spark: SparkSession, sf_dir: str, schema: str) -> dict[
     def build(path: str) -> dict[str, str]:
         source, record, envelope, broken, offsets = (
             scratch(spark, n) for n in ("submissions", "records", "bad-envelopes", "bad-objects", "offsets"))
-        envelopes(spark, sf_dir).select(F.col("body").alias("value")).write.text(source)
+        sinks.write_lines(envelopes(spark, sf_dir).select(F.col("body").alias("value")), source)
         land_submissions(spark, source, schema, record, envelope, broken, offsets, once=True).awaitTermination()
         return {"record": record, "bad envelope": envelope, "bad object": broken}
     return landed(spark, sf_dir, "submissions_stream", build)
@@ -353,7 +353,7 @@ def streamed_feed(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame,
     """What ``land_feed`` makes of lines that are run together or cut off: (records, rejects)."""
     def build(path: str) -> dict[str, str]:
         source, table_path, errors = (scratch(spark, n) for n in ("wire", "table", "errors"))
-        lines.write.text(source)
+        sinks.write_lines(lines, source)
         land_feed(spark, source, schema, table_path, errors, scratch(spark, "offsets"), fmt, once=True,
                   hook=hook).awaitTermination()
         return {"table": table_path, "errors": errors}
@@ -385,7 +385,7 @@ def wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = landed(spark, sf_dir, "wire", lambda p: wire_lines(spark, sf_dir).write.text(p))
+    path = landed(spark, sf_dir, "wire", lambda p: sinks.write_lines(wire_lines(spark, sf_dir), p))
     return spark.read.text(path)
 
 

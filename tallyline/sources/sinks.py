@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.operators.ingest import FAILED
 from tallyline.operators.latest import latest_by_key
 from tallyline.sources.landing import EVENT_TIME_FORMAT
 
@@ -13,8 +14,18 @@ BUFFER_INTERVAL = "60 seconds"
 CHAT_KEYS = ["instanceId", "contactId"]
 
 
+# Text and JSON, of records that repeat their field names, take a small part of their size when compressed. Such a file
+# is read by one task, so its rows are bounded.
+TEXT_OPTIONS = {"compression": "gzip", "maxRecordsPerFile": 100_000}
+
+
 def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
-    (df.write.mode(mode).option("compression", "none").option("timestampFormat", EVENT_TIME_FORMAT).json(path))
+    df.write.mode(mode).options(**TEXT_OPTIONS).option("timestampFormat", EVENT_TIME_FORMAT).json(path)
+
+
+def write_lines(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Lines of a landing folder."""
+    df.write.mode(mode).options(**TEXT_OPTIONS).text(path)
 
 
 def each_batch(store):
@@ -34,15 +45,30 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "json", run:
     is written too, so that a replay that turns out empty leaves nothing behind."""
     target = f"{path}/batch={batch_id}" if run is None else f"{path}/run={run}/batch={batch_id}"
     writer = df.write.mode("overwrite")
+    if fmt in ("json", "text"):
+        writer = writer.options(**TEXT_OPTIONS)
     if fmt == "json":
         writer = writer.option("timestampFormat", EVENT_TIME_FORMAT)
     writer.format(fmt).save(target)
     return target
 
 
+def staged(parsed: DataFrame, checkpoint: str) -> DataFrame:
+    """Parsed lines of a micro-batch in a compressed folder beside its checkpoint, for several sinks to read.
+
+    The next micro-batch, or a replay, overwrites it, so it holds one at a
+    time. Cached rows would take several times what the batch reads. Text is
+    kept of what did not parse only.
+    """
+    folder = f"{checkpoint}/staged"
+    kept = parsed.withColumn("value", F.when(F.col("result") == FAILED, F.col("value")))
+    kept.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return parsed.sparkSession.read.schema(kept.schema).parquet(folder)
+
+
 def write_dead_letters(rejects: DataFrame, path: str) -> None:
     """Rejected lines, byte for byte, under an error prefix."""
-    rejects.select("value").write.mode("append").text(path)
+    write_lines(rejects.select("value"), path)
 
 
 def write_chat_usage(usage: DataFrame, path: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyline.operators import ingest
 from tallyline.operators.messages import count_messages
 from tallyline.sources import landing
-from tallyline.sources.sinks import BUFFER_INTERVAL, CHAT_KEYS, each_batch, merge_by_key, write_batch
+from tallyline.sources.sinks import BUFFER_INTERVAL, CHAT_KEYS, each_batch, merge_by_key, staged, write_batch
 
 
 def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors: str, checkpoint: str,
@@ -25,11 +25,10 @@ def land_feed(spark: SparkSession, source: str, schema: str, path: str, errors:
     """
     def store(lines: DataFrame, batch_id: int, run: str) -> None:
         lines = lines if hook is None else hook(lines)
-        parsed = lines.transform(ingest.split_records).transform(
-            ingest.parse_records, schema, options=landing.OPTIONS).persist()
+        parsed = staged(lines.transform(ingest.split_records).transform(
+            ingest.parse_records, schema, options=landing.OPTIONS), checkpoint)
         write_batch(ingest.accepted(parsed), path, batch_id, fmt, run)
         write_batch(ingest.rejected(parsed).select("value"), errors, batch_id, "text", run)
-        parsed.unpersist()
 
     lines = landing.stream_lines(spark, source, max_bytes=max_bytes)
     return _start(lines, store, checkpoint, once)
@@ -86,17 +85,17 @@ def land_submissions(spark: SparkSession, source: str, schema: str, path: str, b
     ones that do not parse or name no contact. Every envelope and object ends in one of them.
     """
     def store(lines: DataFrame, batch_id: int, run: str) -> None:
-        checked = ingest.check_envelope(lines, "value").persist()
-        objects = (checked.filter("valid AND data IS NOT NULL").select("data")
-                   .transform(ingest.unwrap_batch, schema).persist())
-        records = ingest.accepted(objects)
+        # One pass over the lines: an envelope that is not valid goes along as a row that fails.
+        checked = ingest.check_envelope(lines, "value").filter("NOT valid OR data IS NOT NULL").select(
+            "data", "valid", F.when(~F.col("valid"), F.col("value")).alias("envelope"))
+        objects = staged(ingest.unwrap_batch(checked, schema), checkpoint)
+        valid = objects.filter("valid").drop("valid", "envelope")
+        records = ingest.accepted(valid)
         named = ingest.with_contact_id(records)
         nameless = records.filter(F.coalesce("contactId", F.lit("")) == "").select(F.to_json(F.struct("*")).alias("value"))
         write_batch(named, path, batch_id, "parquet", run)
-        write_batch(checked.filter(~F.col("valid")).select("value"), bad_envelopes, batch_id, "text", run)
-        write_batch(ingest.rejected(objects).select("value").unionByName(nameless), bad_objects, batch_id, "text", run)
-        objects.unpersist()
-        checked.unpersist()
+        write_batch(objects.filter("NOT valid").select(F.col("envelope").alias("value")), bad_envelopes, batch_id, "text", run)
+        write_batch(ingest.rejected(valid).select("value").unionByName(nameless), bad_objects, batch_id, "text", run)
 
     return _start(landing.stream_lines(spark, source, max_bytes=max_bytes), store, checkpoint, once)
 
