@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,42 +39,48 @@ def earliest(times: Column) -> Column:
     return F.when(~F.exists(times, lambda t: t.isNull()), F.array_min(times))
 
 
-def flatten_legs(records: DataFrame) -> DataFrame:
+def flatten_legs(records: DataFrame, fields: Collection[str] | None = None) -> DataFrame:
     """One row per element of ``connections``; records without any give none.
 
     The wanted leaves are zipped before they are exploded, so a columnar scan
-    reads only those leaves rather than whole connection structs.
+    reads only those leaves rather than whole connection structs. ``fields``:
+    only these of them beside the ids, where a caller reads no others.
     """
-    zipped = F.arrays_zip(*[F.col(path).alias(name) for name, path in _ZIPPED.items()])
+    names = [name for name in _ZIPPED if fields is None or name == "conn_id" or name in fields]
+    zipped = F.arrays_zip(*[F.col(_ZIPPED[name]).alias(name) for name in names])
+    start = [earliest(F.col("leg.history.timestamp")).alias("history_start")] if "history" in names else []
     return (records.withColumn("_legs", zipped)
             .transform(unnest, "_legs", "leg", ["contactId", "inbound", "initialConnectionId"])
             .select(
                 F.col("contactId").alias("contact_id"), "inbound", "initialConnectionId",
-                *[F.col("leg").getField(name).alias(name) for name in _ZIPPED if name != "history"],
-                earliest(F.col("leg.history.timestamp")).alias("history_start")))
+                *[F.col("leg").getField(name).alias(name) for name in names if name != "history"], *start))
 
 
-def merge_legs(legs: DataFrame) -> DataFrame:
+def merge_legs(legs: DataFrame, *within: str) -> DataFrame:
     """One row per (contact, connection) from any number of snapshots.
 
     "Any value" is pinned to the least one, which makes the result repeatable.
     Every aggregate combines before the shuffle, so repeated snapshots of one
-    connection never travel.
+    connection never travel. Legs that are already placed by ``within``, which
+    the contact and connection decide, are merged where they are.
     """
-    return legs.groupBy("contact_id", "conn_id").agg(
-        F.min("history_start").alias("initialconnecthistorytimestamp"),
-        F.min("type").alias("type"),
-        F.min("extension").alias("extension"),
-        F.min("endpoint_type").alias("endpoint_type"),
-        F.min("endpoint_number").alias("endpoint_number"),
-        F.bool_and(loose_boolean("softphoneEnabled")).alias("softphoneEnabled"),
-        F.bool_or(loose_boolean("inbound")).alias("inbound"),
-        F.min("initialConnectionId").alias("initialConnectionId"),
-        F.min("connectingTimestamp").alias("connectingTimestamp"),
-        F.min("connectedTimestamp").alias("connectedTimestamp"),
-        F.min("disconnectedTimestamp").alias("disconnectedTimestamp"),
-        F.min("endpointCountryISO").alias("endpointCountryISO"),
-    )
+    merged = {
+        "initialconnecthistorytimestamp": ("history_start", F.min),
+        "type": ("type", F.min),
+        "extension": ("extension", F.min),
+        "endpoint_type": ("endpoint_type", F.min),
+        "endpoint_number": ("endpoint_number", F.min),
+        "softphoneEnabled": ("softphoneEnabled", lambda name: F.bool_and(loose_boolean(name))),
+        "inbound": ("inbound", lambda name: F.bool_or(loose_boolean(name))),
+        "initialConnectionId": ("initialConnectionId", F.min),
+        "connectingTimestamp": ("connectingTimestamp", F.min),
+        "connectedTimestamp": ("connectedTimestamp", F.min),
+        "disconnectedTimestamp": ("disconnectedTimestamp", F.min),
+        "endpointCountryISO": ("endpointCountryISO", F.min),
+    }
+    keys = [*(within or ["contact_id"]), "conn_id"]
+    found = [combine(source).alias(name) for name, (source, combine) in merged.items() if source in legs.columns]
+    return legs.groupBy(*keys).agg(*found) if found else legs.select(*keys).distinct()
 
 
 def connection_legs(records: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.metrics import connection_metrics, contact_metrics
 from tallyline.functions.time import epoch_seconds
-from tallyline.operators.legs import connection_legs
+from tallyline.operators.legs import flatten_legs, merge_legs
 from tallyline.operators.skew import hot_keys, row_bytes, salted_left_join, spread_ties
 
 # What the reports read from a contact record.
@@ -89,11 +91,20 @@ def contact_base(contacts: DataFrame) -> DataFrame:
     ).drop("_disc", "_init", "_sys", "_xfer")
 
 
-def latest_first(report: DataFrame, *ties: str) -> DataFrame:
+def latest_first(report: DataFrame, *ties: str, time: str = "CTR_Initiation_Timestamp",
+                 packed: Collection[str] = ()) -> DataFrame:
     """Newest contacts first. Ties are ordered too, so that a timestamp shared
-    by very many rows still spreads over several range partitions."""
-    return (report.withColumn("_tie", spread_ties())
-            .orderBy(F.desc("CTR_Initiation_Timestamp"), *ties, "_tie").drop("_tie"))
+    by very many rows still spreads over several range partitions.
+
+    ``packed`` columns move as one value. Those that the rows of a contact share
+    are then the same bytes in each, which the shuffle's compression stores once.
+    """
+    rest = [name for name in report.columns if name not in packed]
+    moved = report.select(F.struct(*packed).alias("_packed"), *rest) if packed else report
+    at = {name: F.col("_packed")[name] if name in packed else F.col(name) for name in report.columns}
+    return (moved.withColumn("_tie", spread_ties())
+            .orderBy(at[time].desc(), *[at[name] for name in ties], "_tie")
+            .select(*[at[name].alias(name) for name in report.columns]))
 
 
 def contact_usage(contacts: DataFrame, ordered: bool = True) -> DataFrame:
@@ -107,40 +118,62 @@ def contact_usage(contacts: DataFrame, ordered: bool = True) -> DataFrame:
     return latest_first(report, "contactid") if ordered else report
 
 
-def voice_legs(contacts: DataFrame, connections: DataFrame, split_hot: bool = True) -> DataFrame:
-    """Voice contacts with their merged connection legs, unmatched contacts kept.
+# What the voice reports read from a leg.
+REPORT_LEG = ("type", "extension", "softphoneEnabled", "inbound", "initialConnectionId", "connectingTimestamp",
+              "connectedTimestamp", "disconnectedTimestamp", "endpointCountryISO")
+_LEG_NAMES = {"type": "leg_type", "softphoneEnabled": "softphone", "disconnectedTimestamp": "leg_disconnected"}
 
-    A contact with very many legs would be one task of a plain left join, where
-    adaptive execution may not split the right side. Its legs are dealt into
-    lanes instead.
-    """
-    voice = contact_base(contacts.filter(F.col("Channel") == "VOICE"))
-    legs = connection_legs(connections.filter(F.col("contactId").isNotNull())).select(
+
+def _merged(snapshots: DataFrame, fields: Collection[str], *within: str) -> DataFrame:
+    """The legs of the reports from their snapshots."""
+    seconds = epoch_seconds("disconnectedTimestamp") - epoch_seconds("connectedTimestamp")
+    timed = {"connectedTimestamp", "disconnectedTimestamp"} <= set(fields)
+    return merge_legs(snapshots, *within).select(
         "contact_id",
         F.col("contact_id").alias("leg_contact_id"),
         F.col("conn_id").alias("leg_id"),
-        F.col("type").alias("leg_type"),
-        "extension", F.col("softphoneEnabled").alias("softphone"), "inbound", "initialConnectionId",
-        "connectingTimestamp", "connectedTimestamp",
-        F.col("disconnectedTimestamp").alias("leg_disconnected"),
-        "endpointCountryISO",
-    )
-    hot = hot_keys(legs, "contact_id", row_bytes(legs)) if split_hot else None
-    legs = legs.withColumn(
-        "leg_seconds",
-        (epoch_seconds("leg_disconnected") - epoch_seconds("connectedTimestamp")).cast("int"))
-    if hot is None:
-        return voice.join(legs, "contact_id", "left")
-    return salted_left_join(voice, legs, "contact_id", "leg_id", hot)
+        *[F.col(name).alias(_LEG_NAMES.get(name, name)) for name in REPORT_LEG if name in fields],
+        *([seconds.cast("int").alias("leg_seconds")] if timed else []))
+
+
+def voice_legs(contacts: DataFrame, connections: DataFrame, split_hot: bool = True,
+               fields: Collection[str] = REPORT_LEG) -> DataFrame:
+    """Voice contacts with their merged connection legs, unmatched contacts kept.
+
+    Snapshots of legs move once: they are placed by contact, then weighed, merged
+    and joined there, and no task sorts what it scans. A contact with very many
+    snapshots would be one task; such contacts are left out of that join, and
+    their legs merged by connection and dealt into lanes instead.
+    ``fields``: what the caller reads of a leg, if less.
+    """
+    voice = contact_base(contacts.filter(F.col("Channel") == "VOICE"))
+    snapshots = (flatten_legs(connections.filter(F.col("contactId").isNotNull()), fields)
+                 .select("contact_id", "conn_id", *[name for name in REPORT_LEG if name in fields])
+                 .repartition("contact_id"))
+    if not split_hot:
+        return voice.join(_merged(snapshots, fields, "contact_id"), "contact_id", "left")
+    hot = hot_keys(snapshots, "contact_id", row_bytes(snapshots))
+
+    # Not by anti and semi joins: those sink below the placing, and then it would be done once for each use.
+    def usual(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), "contact_id", "left").filter(F.col("_lanes").isNull()).drop("_lanes")
+
+    def split(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), "contact_id").drop("_lanes")
+
+    cold = usual(voice).join(_merged(usual(snapshots), fields, "contact_id"), "contact_id", "left")
+    return cold.unionByName(salted_left_join(split(voice), _merged(split(snapshots), fields), "contact_id", "leg_id", hot))
 
 
 def connection_usage(contacts: DataFrame, connections: DataFrame, ordered: bool = True,
                      split_hot: bool = True) -> DataFrame:
     """Connection-level usage: one row per voice contact and connection."""
     metrics = [column.alias(name) for name, column in connection_metrics().items()]
-    report = voice_legs(contacts, connections, split_hot).select(
-        *_named(_IDENTITY), *_named(_LEG), *_named(_COURSE), *metrics)
-    return latest_first(report, "contactid", "connection_id") if ordered else report
+    rows = voice_legs(contacts, connections, split_hot)
+    if ordered:  # before the metrics, which need not move
+        of_contact = [*_IDENTITY.values(), *_COURSE.values(), "init_disc", "sys_disc", "xfer_disc"]
+        rows = latest_first(rows, "contact_id", "leg_id", time="initiated", packed=of_contact)
+    return rows.select(*_named(_IDENTITY), *_named(_LEG), *_named(_COURSE), *metrics)
 
 
 def chat_report(chats: DataFrame, contacts: DataFrame) -> DataFrame:

@@ -97,12 +97,13 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     phone = """case when l_partkey % 13 = 0 then 'anonymous' when l_returnflag = 'R' then concat('+49', 3000000 + l_partkey)
                  when l_linenumber % 2 = 0 then concat('+1204', 1000000 + l_partkey)
                  else concat('+1555', 1000000 + l_partkey) end"""
-    history = f"""filter(array(
-        if(l_linenumber = 5, null, named_struct('active', 'true', 'status', 'connecting', 'timestamp', k_iso)),
-        if(con_iso is null, null, named_struct('active', 'true', 'status', 'connected', 'timestamp', con_iso)),
-        if(dis_iso is null, null, named_struct('active', 'false', 'status', 'disconnected', 'timestamp', dis_iso)),
-        if(l_linenumber = 6 and l_tax = 0, named_struct('active', 'false', 'status', 'lost', 'timestamp',
-           cast(null as string)), null)), h -> h is not null)"""
+    # Joined, not filtered: a function of elements would take the whole row out of the generated code.
+    history = """concat(
+        if(l_linenumber = 5, array(), array(named_struct('active', 'true', 'status', 'connecting', 'timestamp', k_iso))),
+        if(con_iso is null, array(), array(named_struct('active', 'true', 'status', 'connected', 'timestamp', con_iso))),
+        if(dis_iso is null, array(), array(named_struct('active', 'false', 'status', 'disconnected', 'timestamp', dis_iso))),
+        if(l_linenumber = 6 and l_tax = 0, array(named_struct('active', 'false', 'status', 'lost', 'timestamp',
+           cast(null as string))), array()))"""
     full = f"""named_struct('id', leg, 'connectingTimestamp', k_iso, 'connectedTimestamp', con_iso,
         'disconnectedTimestamp', dis_iso, 'agentStatus', {agent}, 'active', 'false',
         'endpoint', named_struct('phoneNumber', {phone}, 'type', 'phone_number'),

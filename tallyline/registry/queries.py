@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -254,16 +254,17 @@ def merged_legs(spark: SparkSession, sf: str) -> DataFrame:
     return legs.merge_legs(leg_rows(spark, sf))
 
 
-def voice(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.voice_legs(fx.contacts(spark, sf), fx.connections(spark, sf))
+def voice(spark: SparkSession, sf: str, fields: Collection[str] = reports.REPORT_LEG) -> DataFrame:
+    return reports.voice_legs(fx.contacts(spark, sf), fx.connections(spark, sf), fields=fields)
 
 
 def contact_metric(name: str) -> Query:
     return lambda spark, sf: base(spark, sf).select("contact_id", contact_metrics()[name].alias(name))
 
 
-def connection_metric(name: str) -> Query:
-    return lambda spark, sf: voice(spark, sf).select("contact_id", "leg_id", connection_metrics()[name].alias(name))
+def connection_metric(name: str, *fields: str) -> Query:
+    """A metric of the connection report; ``fields`` is what it reads of a leg beside its id."""
+    return lambda spark, sf: voice(spark, sf, fields).select("contact_id", "leg_id", connection_metrics()[name].alias(name))
 
 
 # Columns come as a function, because none can be built before a session exists.
@@ -290,7 +291,7 @@ def nested_with(spark: SparkSession, sf: str) -> DataFrame:
 def customer_leg(spark: SparkSession, sf: str) -> DataFrame:
     leg_id = F.col("leg_id")
     mine = (F.col("contact_id") == leg_id) | (leg_id.isNull() & F.col("initial_contact_id").isNull())
-    return voice(spark, sf).select("contact_id", "leg_id", flag(mine).alias("customer_leg"))
+    return voice(spark, sf, ()).select("contact_id", "leg_id", flag(mine).alias("customer_leg"))
 
 
 def customer_messages(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,6 +496,7 @@ def connection_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    connected = ("connectedTimestamp", "disconnectedTimestamp")
     customer, third, service, desk = (
         "CustomerCallLength_Telco_inSeconds", "Thirdparty_Telco_inSeconds", "Connect_Service_Seconds",
         "AgentDeskPhone_Telco_inSeconds")
@@ -545,7 +547,7 @@ def queries() -> dict[str, Query]:
         "FLT-5": of_base(lambda: [F.when(F.col("method") == "CALLBACK", 1).when(F.col("method") != "CALLBACK", 2).alias("way")]),
         "FLT-6": of_base(lambda: [F.when(F.col("xfer_disc") < 60, F.lit("short")).otherwise(F.lit("other")).alias("kind")]),
         "FLT-7": customer_messages,
-        "JON-1": lambda spark, sf: voice(spark, sf).select("contact_id", "leg_id"),
+        "JON-1": lambda spark, sf: voice(spark, sf, ()).select("contact_id", "leg_id"),
         "JON-2": chat_contacts,
         "JON-3": lambda spark, sf: leg_rows(spark, sf).select("contact_id", "conn_id", "history_start"),
         "JON-4": leg_countries,
@@ -588,12 +590,12 @@ def queries() -> dict[str, Query]:
         "MET-5": contact_metric(f"{third}_Rounded"),
         "MET-6": contact_metric(f"{customer}_Rounded"),
         "MET-7": connection_metric(service),
-        "MET-8": connection_metric(desk),
-        "MET-9": connection_metric(third),
+        "MET-8": connection_metric(desk, "type", "softphoneEnabled", *connected),
+        "MET-9": connection_metric(third, "type", *connected),
         "MET-10": connection_metric(customer),
         "MET-11": connection_metric(f"{service}_Rounded"),
-        "MET-12": connection_metric(f"{desk}_Rounded"),
-        "MET-13": connection_metric(f"{third}_Rounded"),
+        "MET-12": connection_metric(f"{desk}_Rounded", "type", "softphoneEnabled", *connected),
+        "MET-13": connection_metric(f"{third}_Rounded", "type", *connected),
         "MET-14": connection_metric(f"{customer}_Rounded"),
         "FN-1": of_contact_records(lambda: [time.epoch_micros("DisconnectTimestamp").alias("micros")]),
         "FN-2": of_contact_records(lambda: [time.unix_time("DisconnectTimestamp").alias("unixtime")]),
