@@ -75,17 +75,23 @@ def sentences(text: str) -> list[str]:
 def cut_by_content(part: str) -> list[str]:
     """``part`` cut after each word whose hash is the least, and the last such, of some ``NEAR`` words in a row."""
     words = _WORD.findall(part)
-    values = [crc32(w.strip().lower().encode()) for w in words]
+    return ["".join(words[at:end]) for at, end in _cuts([w.strip().lower() for w in words])]
+
+
+def _cuts(words: list[str]) -> list[tuple[int, int]]:
+    """The runs of words, by first and end, that ``cut_by_content`` makes of lower-case words."""
+    values = [crc32(w.encode()) for w in words]
     out, at, least = [], 0, -1
     for i in range(len(words) - NEAR + 1):
         if least < i:
-            least = min(range(i + NEAR - 1, i - 1, -1), key=values.__getitem__)
+            window = values[i:i + NEAR][::-1]
+            least = i + NEAR - 1 - window.index(min(window))
         elif values[i + NEAR - 1] <= values[least]:
             least = i + NEAR - 1
         if least >= at:
-            out.append("".join(words[at:least + 1]))
+            out.append((at, least + 1))
             at = least + 1
-    return out + ["".join(words[at:])] if at < len(words) else out
+    return out + [(at, len(words))] if at < len(words) else out
 
 
 def _signed(value: int) -> int:
@@ -94,10 +100,30 @@ def _signed(value: int) -> int:
 
 def _joined(text: str) -> tuple[list[str], np.ndarray]:
     """The sentences without case and with single spaces, and the number of words before each and in all."""
-    words = [s.lower().split() for s in sentences(text)]
+    if "\u03a3" in text:  # its lower case depends on what follows, also behind a sentence's end
+        words = [s.lower().split() for s in sentences(text)]
+    else:
+        words = _sentence_words(text.lower())
     return [" ".join(w) for w in words], np.cumsum([0, *map(len, words)])
 
 
+def _sentence_words(text: str) -> list[list[str]]:
+    """The words of each of ``sentences``, each word split off once; the text is in lower case."""
+    out = []
+    for part in _SENTENCE.findall(text):
+        words = part.split()
+        if len(words) > LONG_WORDS:
+            for clause in _CLAUSE.findall(part):
+                words = clause.split()
+                if len(words) > LONG_WORDS:
+                    out.extend([words[at:end] for at, end in _cuts(words)])
+                elif clause:
+                    out.append(words)
+        elif part:
+            out.append(words)
+    return out
+
+
 def span_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """For each sentence that starts a span: the span's hash and its number of sentences, 0 where none starts."""
     return _starting(*_joined(text))
