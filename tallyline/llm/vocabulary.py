@@ -14,16 +14,23 @@ from itertools import chain
 
 import numpy as np
 
+from tallyline.llm import octets
+
 # Letters that lower-case out of the range below, or to more than one.
 _STRAY = "".join(chr(c) for c in range(0xC0, 0x250) if len(chr(c).lower()) > 1 or ord(chr(c).lower()) > 0x24F)
 # Words of letters that lower-case to one letter and need no normalisation, and of other visible characters.
 _PLAIN = re.compile(f"(?:(?![{_STRAY}])[!-~\u00a1-\u00ac\u00ae-\u024f])+")
-_ODD = re.compile(f"[{_STRAY}\u0250-\U0010ffff]")
-_JOINED = re.compile("[^a-z0-9\u00df-\u00f6\u00f8-\u00ff\\s][.,]\\s")
 # The letters and numbers among them.
 _LETTERS, _NUMBERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+# What a byte is to a word: an end of it, a letter, a digit, a mark; words with any other byte, or which may hold a contraction
+# or a special token, are left whole.
+_END, _LETTER, _DIGIT, _MARK, _WHOLE = range(5)
+_KIND = np.array([_END if c in " \n" else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _WHOLE if c in "'<" else _MARK
+                  for c in map(chr, range(128))] + [_WHOLE] * 128, np.uint8)
+_KIND[[*(b for b in range(32) if b != 10), 127]] = _WHOLE
 MOST_CACHED = 600_000
 MOST_PIECES = 400_000
+PLACES = 1 << 21
 
 
 class Grown:
@@ -88,19 +95,6 @@ class PlainWords:
             return None
         return cls(path, split["pattern"]["Regex"])
 
-    @staticmethod
-    def loosened(text: str) -> str:
-        """The text with the same tokens and fewer different words: lower-cased, full stops and commas apart.
-
-        A mark after anything but a letter or digit may be one piece with it; such texts keep theirs.
-        """
-        if "<|" in text or not (text.isascii() or _ODD.search(text) is None):
-            return text
-        text = text.lower()
-        if _JOINED.search(text) is None:
-            text = text.replace(". ", " . ").replace(", ", " , ").replace(".\n", " . ")
-        return text
-
     @staticmethod
     def fits(word: str) -> bool:
         return _PLAIN.fullmatch(word) is not None and "<|" not in word
@@ -114,8 +108,7 @@ class PlainWords:
         index = self.index
         new = [p for p in dict.fromkeys(pieces) if p not in index]
         if new:
-            letters = [p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in new]
-            ids, sizes = _flat([c.ids for c in self.merges.encode_batch_fast(letters, add_special_tokens=False)])
+            ids, sizes = self.merged([p.encode() for p in new])
             index.update(zip(new, range(len(index), len(index) + len(new))))
             self.begins.add(self.ids.size + np.cumsum(sizes) - sizes)
             self.sizes.add(sizes)
@@ -126,6 +119,29 @@ class PlainWords:
         ends = np.append(0, np.cumsum(own))[np.cumsum([0, *map(len, cut)])]
         return ids, np.diff(ends)
 
+    def merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased pieces of the pattern, and how many each has."""
+        letters = [p.decode() if p.isascii() else p.decode("latin-1").translate(self.letters) for p in pieces]
+        return _flat([c.ids for c in self.merges.encode_batch_fast(letters, add_special_tokens=False)])
+
+    @staticmethod
+    def units(low: np.ndarray, latin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and size of every piece of the pattern, and which are words left whole.
+
+        Between white space, runs of letters, single digits and runs of marks are what the pattern takes; letters of U+00C0 to U+00FF
+        need no normalisation. All else is left whole, with the word that it is in.
+        """
+        kind = _KIND[low]
+        kind[latin] = kind[latin + 1] = _LETTER
+        begins, ends = octets.words(kind == _END)
+        whole = np.zeros(len(begins), bool)
+        whole[np.searchsorted(begins, np.flatnonzero(kind == _WHOLE), "right") - 1] = True
+        kind[_runs((ends - begins)[whole], begins[whole])] = _WHOLE
+        cuts = np.flatnonzero((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)) + 1
+        sizes, kinds = np.diff(np.append(cuts, len(kind))), kind[cuts]
+        take = np.flatnonzero(kinds != _END)
+        return cuts[take], sizes[take], kinds[take] == _WHOLE
+
 
 class Encoder:
     """Token ids and character spans of texts.
@@ -147,16 +163,25 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str | bytes, int] = {"": 0}  # pieces in bytes are lower-cased ones of the pattern
         self.ids, self.sizes, self.begins = Grown(np.uint32), Grown(np.int64), Grown(np.int64)
         self.offsets = Grown(np.int64, 2)
+        self.sizes.add(np.zeros(1, np.int64))
+        self.begins.add(np.zeros(1, np.int64))
+        if self.plain is not None:
+            # A short piece's bytes by its number, and the number that its place holds: another's, or none's, if they differ.
+            self.first, self.second = Grown(np.uint64), Grown(np.uint64)
+            self.place = np.zeros(PLACES, np.int32)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str | bytes]) -> None:
         if self.plain is not None:
-            simple = [p for p in pieces if PlainWords.fits(p)]
+            ready = [p for p in pieces if isinstance(p, bytes)]
+            if ready:
+                self._add(ready, *self.plain.merged(ready))
+            simple = [p for p in pieces if isinstance(p, str) and PlainWords.fits(p)]
             if simple:
                 self._add(simple, *self.plain.encode(simple))
-                pieces = [p for p in pieces if p not in self.index]
+            pieces = [p for p in pieces if p not in self.index]
         if pieces:
             encode = self.tokenizer.encode_batch if self.with_spans else self.tokenizer.encode_batch_fast
             coded = encode(pieces, add_special_tokens=False)
@@ -164,7 +189,7 @@ class Encoder:
             if self.with_spans:
                 self.offsets.add(np.array([o for c in coded for o in c.offsets], np.int64).reshape(-1, 2))
 
-    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _add(self, pieces: list[str | bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         at = len(self.index)
         self.index.update(zip(pieces, range(at, at + len(pieces))))
         self.begins.add(self.ids.size + np.cumsum(sizes) - sizes)
@@ -174,13 +199,9 @@ class Encoder:
     def pieces(self, text: str) -> list[str]:
         if self.split is not None:
             return self.split(text)
-        if self.plain is not None:
-            text = PlainWords.loosened(text)
         return text.replace("\n", " ").split(" ")
 
-    def _numbers(self, pieces: list[str]) -> np.ndarray:
-        if len(self.index) > MOST_CACHED:
-            self.forget()
+    def _numbers(self, pieces: list[str | bytes]) -> np.ndarray:
         out = list(map(self.index.get, pieces))
         if None in out:
             missing = [i for i, n in enumerate(out) if n is None]
@@ -190,17 +211,50 @@ class Encoder:
                 out[i] = index[pieces[i]]
         return np.array(out, np.int64)
 
+    def _found(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each piece of all texts end to end, and where each text begins and the last ends among them.
+
+        A short piece is told from its bytes, without an object of its own, if its place holds its number.
+        """
+        raw, ends = octets.joined(texts)
+        low, latin = octets.lowered(raw)
+        at, sizes, whole = self.plain.units(low, latin)
+        first, second = octets.eight(low, at, sizes), np.zeros(len(at), np.uint64)
+        longer = np.flatnonzero(sizes > 8)
+        second[longer] = octets.eight(low, at[longer] + 8, sizes[longer] - 8)
+        places = octets.places(first, second, PLACES)
+        numbers = self.place[places].astype(np.int64)
+        short = ~whole & (sizes <= 16)
+        missing = np.flatnonzero(~(short & (self.first.rows[numbers] == first) & (self.second.rows[numbers] == second)))
+        if len(missing):
+            given, lower = raw.tobytes(), low.tobytes()
+            begins, stops = at[missing], at[missing] + sizes[missing]
+            own = self._numbers([given[a:b].decode() if w else lower[a:b]
+                                 for a, b, w in zip(begins.tolist(), stops.tolist(), whole[missing].tolist())])
+            numbers[missing] = own
+            for kept, bytes_ in ((self.first, first), (self.second, second)):
+                kept.add(np.zeros(len(self.index) - kept.size, np.uint64))
+                kept.rows[own[short[missing]]] = bytes_[missing[short[missing]]]
+            self.place[places[missing[short[missing]]]] = own[short[missing]]
+        return numbers, np.append(0, np.searchsorted(at, ends))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts laid end to end, and how many each text has."""
-        cut = [self.pieces(t) for t in texts]
-        numbers = self._numbers([p for pieces in cut for p in pieces])
+        if len(self.index) > MOST_CACHED:
+            self.forget()
+        if self.plain is not None:
+            numbers, cuts = self._found(texts)
+        else:
+            cut = [self.pieces(t) for t in texts]
+            numbers, cuts = self._numbers([p for pieces in cut for p in pieces]), np.cumsum([0, *map(len, cut)])
         own = self.sizes.rows[numbers]
-        each = np.add.reduceat(np.append(own, 0), np.cumsum([0, *map(len, cut)])[:-1]) if cut else np.zeros(0, np.int64)
-        each[[not pieces for pieces in cut]] = 0
+        each = np.diff(np.append(0, np.cumsum(own))[cuts])
         return self.ids.rows[_runs(own, self.begins.rows[numbers])], each
 
     def spans(self, text: str) -> np.ndarray:
         """(start, end) character offsets of a text's tokens; the pieces must be the text without gaps."""
+        if len(self.index) > MOST_CACHED:
+            self.forget()
         pieces = self.pieces(text)
         numbers = self._numbers(pieces)
         lengths = np.array([len(p) for p in pieces], np.int64)
