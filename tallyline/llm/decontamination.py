@@ -30,7 +30,6 @@ from __future__ import annotations
 
 import re
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.llm import octets
 from tallyline.llm.common import stored, table
 from tallyline.llm.vocabulary import Grown
 
@@ -56,64 +56,110 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
 _EDGE = ".,;:!?\"'()[]{}«»“”‘’…|*#&$%_-"
 _NAME, _NUM, _UNIT = (xxhash.xxh64_intdigest(kind, 7) for kind in (b"<name>", b"<number>", b"<unit>"))
 _FACTOR = 0x9E3779B97F4A7C15 | 1
+# What a byte is: ASCII letters and signs, marks that a token may lose at its ends, digits and bytes beyond ASCII, white space.
+_WORD, _MARK, _OTHER, _GAP = 0, 1, 2, 3
+_KIND = np.array([_GAP if chr(b).isspace() and b < 128 else _MARK if chr(b) in _EDGE and b < 128
+                  else _OTHER if b > 127 or chr(b).isdigit() else _WORD for b in range(256)], np.uint8)
 
 
-def classify(token: str) -> tuple[int, int, bool, bool, bool] | None:
-    """(literal hash, named hash, is number, is unit word, is name) of a token; None if only punctuation."""
+def classify(token: str) -> tuple[str, bool, bool, bool] | None:
+    """(lower-cased, is number, is unit word, is name) of a token; None if only punctuation."""
     bare = token.strip(_EDGE)
     if not bare:
         return None
     low = bare.lower()
-    own = xxhash.xxh64_intdigest(low.encode(), 7)
     if _NUMBER.match(bare) or low in NUMBER_WORDS:
-        return _NUM, _NUM, True, False, False
-    name = bare[0].isupper()
-    return own, (_NAME if name else own), False, low in UNITS, name
+        return low, True, False, False
+    return low, False, low in UNITS, bare[0].isupper()
+
+
+class Among:
+    """Whether hashes are those of certain words; most of the others are told by their low bits."""
+
+    def __init__(self, words: frozenset[str]):
+        self.hashes = octets.hashes_of([w.encode() for w in words])
+        self.low = np.zeros(1 << 16, bool)
+        self.low[self.hashes & np.uint64(0xFFFF)] = True
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.low[hashes & np.uint64(0xFFFF)]
+        at = np.flatnonzero(out)
+        out[at] = np.isin(hashes[at], self.hashes)
+        return out
 
 
 class Templates:
-    """Template tokens of texts, with a table of the tokens seen."""
+    """Template tokens of texts: words of common Latin letters all at once, with a table of the others seen."""
 
     def __init__(self):
+        self.number_words, self.units = Among(NUMBER_WORDS), Among(UNITS)
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.plain, self.named, self.marks = Grown(np.uint64), Grown(np.uint64), Grown(np.uint8)
+        self.known: dict[bytes, int] = {}
+        self.own, self.marks = Grown(np.uint64), Grown(np.uint8)
 
-    def _learn(self, tokens: list[str]) -> None:
-        rows = [classify(t) or (0, 0, False, False, False) for t in tokens]
-        kept = [r[0] != 0 for r in rows]
+    def _learn(self, tokens: list[bytes]) -> None:
+        rows = [classify(t.decode()) or ("", False, False, False) for t in tokens]
         self.known.update(zip(tokens, range(len(self.known), len(self.known) + len(tokens))))
-        self.plain.add(np.array([r[0] for r in rows], np.uint64))
-        self.named.add(np.array([r[1] for r in rows], np.uint64))
-        self.marks.add(np.array([k + 2 * r[2] + 4 * r[3] + 8 * r[4] for k, r in zip(kept, rows)], np.uint8))
+        self.own.add(octets.hashes_of([r[0].encode() for r in rows]))
+        self.marks.add(np.array([bool(r[0]) + 2 * r[1] + 4 * r[2] + 8 * r[3] for r in rows], np.uint8))
 
-    def tokens(self, texts: list[str]):
-        """The tokens of all texts end to end, the end of each text among them, and per view the hashes and slot marks."""
+    def _looked_up(self, tokens: list[bytes]) -> np.ndarray:
         if len(self.known) > MOST_CACHED:
             self.forget()
-        cut = [t.split() for t in texts]
-        words = list(chain.from_iterable(cut))
-        ends = np.cumsum([len(c) for c in cut])
-        get = self.known.get
-        numbers = list(map(get, words))
+        numbers = list(map(self.known.get, tokens))
         if None in numbers:
-            self._learn(list(dict.fromkeys(w for w, n in zip(words, numbers) if n is None)))
-            numbers = list(map(get, words))
-        numbers = np.array(numbers, np.int64)
-        marks = self.marks.rows[numbers]
-        kept = np.flatnonzero(marks & 1)  # the others are punctuation
-        ends = np.searchsorted(kept, ends)
-        numbers, marks = numbers[kept], marks[kept]
+            self._learn(list(dict.fromkeys(t for t, n in zip(tokens, numbers) if n is None)))
+            numbers = list(map(self.known.get, tokens))
+        return np.array(numbers, np.int64)
+
+    def tokens(self, texts: list[str]):
+        """Gives a token's value as a slot, the end of each text among the tokens, and per view the hashes and slot marks."""
+        raw, text_ends = octets.joined(texts)
+        octets.blank_spaces(raw)
+        low, latin = octets.lowered(raw)
+        kind = _KIND[raw]
+        kind[latin] = kind[latin + 1] = _WORD
+        begins, ends = octets.words(kind == _GAP)
+        odd = np.zeros(len(begins), bool)
+        odd[np.searchsorted(begins, np.flatnonzero(kind == _OTHER), "right") - 1] = True
+        # A token without its edges: from its first to its last byte that is none.
+        inner = (kind & 1) == 0
+        inner_at, n_inner = np.flatnonzero(inner), np.add.reduceat(inner, begins, dtype=np.int64)
+        last = np.cumsum(n_inner)
+        full = n_inner > 0  # the others are punctuation
+        begins, ends, odd, last, n_inner = begins[full], ends[full], odd[full], last[full], n_inner[full]
+        at = inner_at[last - n_inner]
+        sizes = inner_at[last - 1] + 1 - at
+        odd |= sizes > octets.LONGEST
+        own = octets.hashes(low, at, np.minimum(sizes, octets.LONGEST))
+        number = self.number_words(own)
+        name = (raw[at] != low[at]) | ((raw[at] == 0xC3) & (raw[at + 1] != low[at + 1]))
+        marks = 1 + 2 * number.astype(np.uint8) + 8 * (name & ~number).astype(np.uint8)
+        data = raw.tobytes()
+        others = np.flatnonzero(odd)
+        if len(others):
+            rows = self._looked_up([data[a:b] for a, b in zip(begins[others].tolist(), ends[others].tolist())])
+            own[others], marks[others] = self.own.rows[rows], self.marks.rows[rows]
+            kept = (marks & 1) > 0
+            begins, ends, own, marks = begins[kept], ends[kept], own[kept], marks[kept]
+        text_ends = np.searchsorted(begins, text_ends)
         number, name = (marks & 2) > 0, (marks & 8) > 0
-        unit = ((marks & 4) > 0) & np.append(False, number[:-1])[:len(number)]
-        begins = np.append(0, ends[:-1])
-        unit[begins[begins < len(unit)]] = False
-        plain, named = self.plain.rows[numbers], self.named.rows[numbers]
-        plain[unit] = named[unit] = np.uint64(_UNIT)
+        after = np.flatnonzero(number[:-1]) + 1
+        unit = np.zeros(len(own), bool)
+        unit[after] = ~number[after] & self.units(own[after])
+        firsts = np.append(0, text_ends[:-1])
+        unit[firsts[firsts < len(unit)]] = False
+        own[number], own[unit] = _NUM, _UNIT
+        named = own.copy()
+        named[name & ~unit] = _NAME
         slot = number | unit
-        return words, kept, ends, [(plain, slot), (named, slot | (name & ~unit))]
+
+        def value(i: int) -> str:
+            return data[begins[i]:ends[i]].decode().strip(_EDGE).lower()
+
+        return value, text_ends, [(own, slot), (named, slot | (name & ~unit))]
 
 
 def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
@@ -140,7 +186,7 @@ def windows(texts: DataFrame, widths: tuple[int, ...], bloom=None, whole_short:
                 yield found_in(cut, bits, batch.slice(at, TEXTS))
 
     def found_in(cut, bits, part):
-        words, kept, ends, views = cut.tokens([t or "" for t in part.column(2).to_pylist()])
+        value, ends, views = cut.tokens([t or "" for t in part.column(2).to_pylist()])
         sizes = np.diff(np.append(0, ends))
         out = []
         for view, (tokens, slot) in enumerate(views):
@@ -152,7 +198,7 @@ def windows(texts: DataFrame, widths: tuple[int, ...], bloom=None, whole_short:
                 if whole_short:
                     inside &= np.minimum(widths[0], sizes)[doc] == width
                 for i, d in zip(take[inside].tolist(), doc[inside].tolist()):
-                    slots = [words[kept[i + j]].strip(_EDGE).lower() for j in np.flatnonzero(slot[i:i + width])]
+                    slots = [value(i + j) for j in np.flatnonzero(slot[i:i + width])]
                     out.append((d, view, i - int(ends[d] - sizes[d]), int(hashes[i:i + 1].view(np.int64)[0]), slots, width))
         d, view, pos, hashes, slots, width = zip(*out) if out else ((),) * 6
         rows = pa.array(d, pa.int64())
@@ -171,7 +217,10 @@ def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     a, b = _probes(hashes)
-    return bits[a.astype(np.int64)] & bits[b.astype(np.int64)]
+    out = bits[a.astype(np.int64)]
+    at = np.flatnonzero(out)
+    out[at] = bits[b[at].astype(np.int64)]
+    return out
 
 
 def bloom_of(items: DataFrame) -> np.ndarray:
