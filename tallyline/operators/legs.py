@@ -34,6 +34,12 @@ _ZIPPED = {
 }
 
 
+def record_fields(fields: Collection[str]) -> list[str]:
+    """What ``flatten_legs`` with these ``fields`` reads from a call-connection record."""
+    leaves = [path for name, path in _ZIPPED.items() if name == "conn_id" or name in fields]
+    return [*LEG_FIELDS[:3], *(f for f in LEG_FIELDS if any(f == p or f.startswith(f"{p}.") for p in leaves))]
+
+
 def earliest(times: Column) -> Column:
     """Least element of an array, or NULL as soon as one element is NULL."""
     return F.when(~F.exists(times, lambda t: t.isNull()), F.array_min(times))

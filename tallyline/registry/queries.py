@@ -122,8 +122,9 @@ def agent_event_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mixed_spelling(spark: SparkSession, sf: str) -> DataFrame:
-    df = landing.call_connections(spark, fx.landed_mixed_spelling(spark, sf), legs.LEG_FIELDS, any_spelling=True)
-    return df.transform(legs.flatten_legs).select(
+    leaves = ["endpointCountryISO", "softphoneEnabled"]
+    df = landing.call_connections(spark, fx.landed_mixed_spelling(spark, sf), legs.record_fields(leaves), any_spelling=True)
+    return df.transform(legs.flatten_legs, leaves).select(
         "contact_id", "conn_id", "endpointCountryISO", flag(F.col("softphoneEnabled")).alias("softphone"))
 
 

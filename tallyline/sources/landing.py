@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tallyline.functions.text import percent_decode, split_objects
 from tallyline.operators import ingest
 from tallyline.operators.latest import latest_by_key
-from tallyline.sources import schemas
+from tallyline.sources import schemas, spelling
 
 # New objects taken into one micro-batch, so that a backlog is worked off in steps.
 MAX_FILES_PER_BATCH = 10_000
@@ -75,9 +75,20 @@ def declared_spelling(text: Column, schema: T.StructType) -> Column:
     Keys are bound object by object along the schema: a key in another case
     stands for a declared field of the object it is in, unless that object has
     the declared spelling too. What a field declared as text holds, such as
-    free-form attributes, is what a read without binding gives. Only lines with a
-    key to bind are taken apart; other lines, and what does not parse, stay as they are.
+    free-form attributes, is what a read without binding gives. Lines without a
+    key to bind, and what does not parse, stay as they are. In most others the
+    keys are renamed where they stand; a line where that might bind more than
+    this, such as one that has a name in both spellings, is taken apart.
     """
+    names = schemas.field_names(schema)
+    if len({n.lower() for n in names}) < len(names):
+        return _taken_apart(text, schema)
+    bound = spelling.renamed(schema)(text)
+    return F.when(bound.isNull(), text).when(bound == "", _taken_apart(text, schema)).otherwise(bound)
+
+
+def _taken_apart(text: Column, schema: T.StructType) -> Column:
+    """The objects put together anew from their declared fields, where a key is in another case."""
     names = sorted(schemas.field_names(schema))
     keys = F.regexp_extract_all(text, F.lit(r'"(\w+)"\s*:'), F.lit(1))
     lower = F.array(*[F.lit(n.lower()) for n in names])
