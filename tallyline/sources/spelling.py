@@ -6,17 +6,18 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes worked on at a time; what is made of them stays in a processor's cache.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
-_QUOTE, _BACKSLASH, _COLON, _BRACKET = b'"\\:['
-_SPACE = b" \t\n\r\f\v"
+_QUOTE, _BACKSLASH, _COLON, _SINGLE, _BRACKET, _OBJECT, _END = b'"\\:\'[{]'
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-_OBJECTS = np.isin(np.arange(256), list(b"{]"))
-_AFTER = np.isin(np.arange(256), list(b":" + _SPACE))
+
+# What became of a line, if anything.
+_RENAMED, _APART = 1, 2
 
 # An escape in a string that is a key, and a string in single quotes.
 _ESCAPED_KEY = re.compile(rb'\\.(?:[^"\\]++|\\.)*+"\s*:', re.S)
@@ -37,7 +38,6 @@ _PLAIN = {kind: re.compile(rb"\s*:\s*(?:" + value + rb")", re.S) for kind, value
 # First bytes of a value that settle it at a glance.
 _GLANCE = {"text": b'"ntf-0123456789', "object": b"{n", "objects": b"n", "texts": b"n", "flag": bytes(range(33, 127)),
            "number": b'"ntf', "other": b""}
-_KINDS = list(_VALUES)
 
 
 def _kind(kind: T.DataType) -> str:
@@ -68,12 +68,7 @@ class Names:
         fields = _fields(schema)
         self.names = sorted({name.encode() for name, _ in fields})
         self.kinds = [sorted(k for n, k in fields if n.encode() == name) for name in self.names]
-        self.by_length: dict[int, list[int]] = {}
-        for n, name in enumerate(self.names):
-            self.by_length.setdefault(len(name), []).append(n)
-        self.long = max(self.by_length)
-        self.fits = np.zeros(self.long + 2, bool)
-        self.fits[list(self.by_length)] = True
+        self.sizes = np.array([len(name) for name in self.names])
         self.lists = np.array([kinds == ["objects"] for kinds in self.kinds])
         self.glance = np.zeros((len(self.names), 256), bool)
         for n, kinds in enumerate(self.kinds):
@@ -81,105 +76,87 @@ class Names:
 
     def bind(self, lines: pa.Array) -> pa.Array:
         """Per line: its text with the keys renamed, NULL if there is no key to rename, empty if it has to be taken apart."""
-        wide = pa.types.is_large_string(lines.type)
-        buffers = lines.buffers()
-        found: list[bytes | None] = [None] * len(lines)
-        if len(lines) and buffers[2] is not None:
-            ends = np.frombuffer(buffers[1], np.int64 if wide else np.int32)[lines.offset:lines.offset + len(lines) + 1].astype(np.int64)
-            whole = np.frombuffer(buffers[2], np.uint8)
-            first = 0
-            while first < len(lines):
-                last = max(int(np.searchsorted(ends, ends[first] + BLOCK, "right")) - 1, first + 1)
-                self._bind_block(whole[ends[first]:ends[last]], ends[first:last + 1] - ends[first], found, first)
-                first = last
-        return pa.array(found, pa.large_binary() if wide else pa.binary()).view(lines.type)
-
-    def _bind_block(self, text: np.ndarray, ends: np.ndarray, found: list[bytes | None], first: int) -> None:
-        padded = np.concatenate([text, np.zeros(8, np.uint8)])
-        at, name, same = self._keys(padded)
+        whole = lines.buffers()[2]
+        if whole is None:
+            return pa.nulls(len(lines), lines.type)
+        offset = np.int64 if pa.types.is_large_string(lines.type) else np.int32
+        ends = np.frombuffer(lines.buffers()[1], offset)[lines.offset:lines.offset + len(lines) + 1].astype(np.int64)
+        front = max(self.sizes.max(), 8) + 2
+        text = np.concatenate([np.zeros(front, np.uint8), np.frombuffer(whole, np.uint8)[ends[0]:ends[-1]], np.zeros(8, np.uint8)])
+        ends += front - ends[0]
+        state = np.zeros(len(lines), np.int8)
+        first = 0
+        while first < len(lines):
+            last = max(int(np.searchsorted(ends, ends[first] + BLOCK, "right")) - 1, first + 1)
+            self._bind_block(text, ends[first:last + 1], state[first:last])
+            first = last
+        bound = pa.Array.from_buffers(lines.type, len(lines), [None, pa.py_buffer((ends - front).astype(offset)), pa.py_buffer(text[front:])])
+        other = pc.if_else(pa.array(state == _APART), pa.scalar("", lines.type), pa.scalar(None, lines.type))
+        return pc.if_else(pa.array(state == _RENAMED), bound, other)
+
+    def _bind_block(self, text: np.ndarray, ends: np.ndarray, state: np.ndarray) -> None:
+        """Renames keys in these lines of the text and marks what became of each line."""
+        at, name, same = self._keys(text, ends[0], ends[-1])
         if same.all():
             return
-        size = np.array([len(n) for n in self.names])[name]
+        size = self.sizes[name]
         line = np.searchsorted(ends, at, "right") - 1
         # A key, its quotes and its colon are in one line.
-        whole = (at - 1 >= ends[line]) & (at + size + 1 < ends[line + 1])
-        at, name, same, size, line = at[whole], name[whole], same[whole], size[whole], line[whole]
-        raw = padded.tobytes()
-        spaced = padded[at + size + 1] != _COLON
-        if spaced.any():
-            keep = ~spaced
-            for i in np.flatnonzero(spaced):
-                keep[i] = _PLAIN["flag"].match(raw, at[i] + size[i] + 1, ends[line[i] + 1]) is not None
-            at, name, same, size, line = at[keep], name[keep], same[keep], size[keep], line[keep]
-        odd = ~same
+        kept = (at - 1 >= ends[line]) & (at + size + 1 < ends[line + 1])
+        for i in np.flatnonzero(kept & (text[at + size + 1] != _COLON)):
+            kept[i] = _PLAIN["flag"].match(text, at[i] + size[i] + 1, ends[line[i] + 1]) is not None
+        odd = kept & ~same
         lines = np.unique(line[odd])
-        if not len(lines):
-            return
+        state[lines] = _RENAMED
 
         # Lines that hold a name in both spellings, or a value that hides or may hide keys.
         pairs = line * len(self.names) + name
-        apart = set(line[odd][np.isin(pairs[odd], pairs[same])].tolist())
-        touched = np.zeros(len(ends), bool)
-        touched[lines] = True
+        state[line[odd][np.isin(pairs[odd], pairs[kept & same])]] = _APART
         value = at + size + 2
-        plain = self.glance[name, padded[value]] | (self.lists[name] & (padded[value] == _BRACKET) & _OBJECTS[padded[value + 1]])
-        for i in np.flatnonzero(touched[line] & ~plain):
-            if not all(_PLAIN[k].match(raw, at[i] + size[i] + 1, ends[line[i] + 1]) for k in self.kinds[name[i]]):
-                apart.add(int(line[i]))
+        first, second = text[value], text[value + 1]
+        plain = self.glance[name, first] | (self.lists[name] & (first == _BRACKET) & ((second == _OBJECT) | (second == _END)))
+        for i in np.flatnonzero(kept & ~plain & (state[line] == _RENAMED)):
+            if not all(_PLAIN[k].match(text, at[i] + size[i] + 1, ends[line[i] + 1]) for k in self.kinds[name[i]]):
+                state[line[i]] = _APART
+        if len(lines) and (text[ends[0]:ends[-1]] == _SINGLE).any():
+            for i in lines:
+                if _SINGLE_QUOTED.search(text, ends[i], ends[i + 1]):
+                    state[i] = _APART
+        for i, begin, end in zip(lines.tolist(), ends[lines].tolist(), ends[lines + 1].tolist()):
+            if _ESCAPED_KEY.search(text, begin, end):
+                state[i] = _APART
 
         for n in np.unique(name[odd]):
-            here = at[odd & (name == n)]
-            padded[here[:, None] + np.arange(len(self.names[n]))] = np.frombuffer(self.names[n], np.uint8)
-        bound = padded.tobytes()
-        for i in lines.tolist():
-            begin, end = int(ends[i]), int(ends[i + 1])
-            strange = i in apart or _ESCAPED_KEY.search(raw, begin, end) or (
-                raw.find(b"'", begin, end) >= 0 and _SINGLE_QUOTED.search(raw, begin, end))
-            found[first + i] = b"" if strange else bound[begin:end]
-
-    def _keys(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            text[at[odd & (name == n)][:, None] + np.arange(self.sizes[n])] = np.frombuffer(self.names[n], np.uint8)
+
+    def _keys(self, text: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the names stand between quotes that a colon or space follows, which, and whether as they are declared.
 
-        The text ends in bytes of zero. A name has no escapes, so its closing quote is a real one; so is the opening one
-        unless a backslash is before it. Strings that end so are no names.
+        A name has no escapes, so its closing quote is a real one; so is the opening one unless a backslash is before it.
+        Strings that end so are no names.
         """
-        quotes = np.flatnonzero(text == _QUOTE)
-        close = np.flatnonzero(_AFTER[text[quotes[1:] + 1]])
-        starts = quotes[close] + 1
-        sizes = np.minimum(quotes[close + 1] - starts, self.long + 1)
-        kept = self.fits[sizes] & (text[starts - 2] != _BACKSLASH)
-        starts, sizes = starts[kept], sizes[kept]
+        after = text[begin + 1:end + 1]
+        close = begin + np.flatnonzero((text[begin:end] == _QUOTE) & ((after == _COLON) | (after <= 32)))
         # The eight bytes from each place on, as one number.
         words = np.ndarray(len(text) - 7, "<u8", text, strides=(1,))
+        last = words[close - 8] | _number(b" " * 8)
         at, name, same = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-        for size, names in self.by_length.items():
-            here = starts[sizes == size]
-            parts = [(k, words[here + k]) for k in _parts(size)]
-            if size < 8:
-                parts = [(k, part & np.uint64((1 << 8 * size) - 1)) for k, part in parts]
-            for n in names:
-                exact = np.ones(len(here), bool)
-                for k, part in parts:
-                    exact &= part == _number(self.names[n][k:k + 8])
-                alike = exact.copy()
-                other = np.flatnonzero(~exact)
-                for k, part in parts:
-                    letters = _number(bytes([0x20]) * min(size, 8))
-                    other = other[part[other] | letters == _number(self.names[n][k:k + 8]) | letters]
-                if len(other):  # rare, so compared byte by byte
-                    lower = _LOWER[text[here[other][:, None] + np.arange(size)]]
-                    alike[other[(lower == np.frombuffer(self.names[n].lower(), np.uint8)).all(axis=1)]] = True
-                at.append(here[alike])
-                name.append(np.full(len(at[-1]), n))
-                same.append(exact[alike])
+        for n, word in enumerate(self.names):
+            # A short name is told by the quote before it too. Case is told by one bit, which says so of letters only.
+            tail = (b'"' + word)[-8:]
+            unread = np.uint64(64 - 8 * len(tail))
+            here = close[last >> unread == _number(tail) | _number(b" " * len(tail))] - len(word)
+            here = here[(text[here - 1] == _QUOTE) & (text[here - 2] != _BACKSLASH)]
+            letters = text[here[:, None] + np.arange(len(word))]
+            exact = (letters == np.frombuffer(word, np.uint8)).all(axis=1)
+            alike = exact.copy()
+            alike[~exact] = (_LOWER[letters[~exact]] == np.frombuffer(word.lower(), np.uint8)).all(axis=1)
+            at.append(here[alike])
+            name.append(np.full(len(at[-1]), n))
+            same.append(exact[alike])
         return np.concatenate(at), np.concatenate(name), np.concatenate(same)
 
 
-def _parts(size: int) -> list[int]:
-    """Where to take eight bytes each so that they cover so many."""
-    return [0] if size <= 8 else [*range(0, size - 8, 8), size - 8]
-
-
 def _number(word: bytes) -> np.uint64:
     return np.uint64(int.from_bytes(word, "little"))
 
